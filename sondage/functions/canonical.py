@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,8 @@ NUM, STR, TS, OTHER = 0, 1, 2, 3
 # Whole rows of the i-th table form the family ROW + i.
 ROW = 100
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
+
 # Strings longer than this travel through shuffles as a digest.
 DIGEST_OVER = 64
 
@@ -41,7 +43,7 @@ def as_number(col: Column, dtype: T.DataType) -> Column:
 
 def as_text(col: Column, dtype: T.DataType) -> Column:
     """One text per distinct value; nested values become JSON text."""
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(col)
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
@@ -50,54 +52,72 @@ def as_text(col: Column, dtype: T.DataType) -> Column:
     return col.cast("string")
 
 
-def value_key(col: Column, dtype: T.DataType) -> tuple[Column, Column, Column, Column]:
-    """``(family, whole, frac, text)``: family is NULL for a missing value.
+def value_key(name: str, dtype: T.DataType) -> tuple[str, str, str, str]:
+    """SQL for ``(family, whole, frac, text)`` of a column; family is NULL for a missing value.
 
     Integers, booleans and integral doubles share ``whole``, so 1 meets 1.0 but never '1';
     64-bit keys keep all digits. Long strings are replaced by their MD5 behind a NUL byte, which
     no short string of a text export starts with.
     """
-    no_whole, no_frac, no_text = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
+    col = "`" + name.replace("`", "``") + "`"
+    no_whole, no_frac, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
 
-    def family(number: int, present: Column) -> Column:
-        return F.when(present.isNotNull(), F.lit(number))
+    def family(number: int, value: str) -> str:
+        return f"IF({value} IS NULL, NULL, {number})"
 
     if isinstance(dtype, (T.IntegralType, T.BooleanType)):
-        return family(NUM, col), col.cast("bigint"), no_frac, no_text
+        return family(NUM, col), f"CAST({col} AS BIGINT)", no_frac, no_text
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        number = clean(col, dtype).cast("double")
-        integral = (number == F.rint(number)) & (F.abs(number) < F.lit(9.0e18))
+        number = f"NANVL(CAST({col} AS DOUBLE), NULL)"
+        integral = f"{number} = RINT({number}) AND ABS({number}) < 9.0E18D"
         return (
             family(NUM, number),
-            F.when(integral, number.cast("bigint")),
-            F.when(~integral, number),
+            f"IF({integral}, CAST({number} AS BIGINT), NULL)",
+            f"IF({integral}, NULL, {number})",
             no_text,
         )
     if isinstance(dtype, T.DecimalType):
-        whole = col.try_cast("bigint")
-        integral = whole.cast(dtype) == col
+        whole = f"TRY_CAST({col} AS BIGINT)"
+        integral = f"COALESCE({whole} = {col}, FALSE)"
         return (
             family(NUM, col),
-            F.when(integral, whole),
-            F.when(~F.coalesce(integral, F.lit(False)), col.cast("double")),
+            f"IF({integral}, {whole}, NULL)",
+            f"IF({integral}, NULL, CAST({col} AS DOUBLE))",
             no_text,
         )
     if isinstance(dtype, (T.DateType, T.TimestampType)):
-        return family(TS, col), F.unix_micros(col.cast("timestamp")), no_frac, no_text
+        return family(TS, col), f"UNIX_MICROS(CAST({col} AS TIMESTAMP))", no_frac, no_text
     if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return family(TS, col), F.timestamp_diff("MICROSECOND", epoch, col), no_frac, no_text
-    text = as_text(col, dtype)
-    short = F.when(F.octet_length(text) <= DIGEST_OVER, text).otherwise(
-        F.concat(F.lit("\0"), F.md5(text))
-    )
+        return family(TS, col), _wall_clock_micros(col), no_frac, no_text
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        text = f"TO_JSON({col})"
+    else:
+        text = f"HEX({col})" if isinstance(dtype, T.BinaryType) else col
+    short = f"IF(OCTET_LENGTH({text}) <= {DIGEST_OVER}, {text}, CONCAT('\\0', MD5({text})))"
     return family(STR if is_string(dtype) else OTHER, text), no_whole, no_frac, short
 
 
-def row_digest(fields: list[tuple[Column, T.DataType]]) -> Column:
-    """MD5 of a whole row; each text carries its length, and NULL equals NULL."""
-    parts = []
+def _wall_clock_micros(col: str) -> str:
+    """Microseconds of a timestamp without time zone. The quick way goes through the session's
+    zone, which is safe only if that zone skips no hours."""
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return f"UNIX_MICROS(CAST({col} AS TIMESTAMP))"
+    return f"TIMESTAMPDIFF(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})"
+
+
+def row_digest(fields: list[tuple[Column, T.DataType]]) -> tuple[Column, Column]:
+    """128 bits for a whole row: two 64-bit hashes of all its values with different starts. NULL
+    equals NULL; which values are missing is hashed too, since the hash passes over them. Among
+    10^12 rows the chance that any two different ones share a digest is about 10^-15."""
+    values, missing = [], []
     for col, dtype in fields:
-        text = as_text(col, dtype)
-        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("~")))
-    return F.md5(F.concat(*parts))
+        value = clean(col, dtype)
+        missing.append(value.isNull())
+        if isinstance(dtype, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0).cast(dtype)
+        elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            value = F.to_json(value)
+        values.append(value)
+    start = [F.struct(*missing)] if missing else []
+    return tuple(F.xxhash64(F.lit(seed), *start, *values) for seed in (1, 2))

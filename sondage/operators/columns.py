@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sondage.functions.canonical import as_text, clean, is_string, quoted
 
@@ -57,13 +58,14 @@ def null_stats(facts: DataFrame) -> DataFrame:
 
 
 def smallest_values(table: str, df: DataFrame, k: int = 3) -> DataFrame:
-    """``(table, column, place, sample)``: the first ``k`` distinct values of every column, in
-    value order.
+    """``(table, column, place, sample)``: the first ``k`` distinct values of every column of
+    single values, in value order.
 
     Step i takes the minimum above the value found in step i - 1. A step is one aggregate over a
     scan, so no distinct values are shuffled, however many there are.
     """
-    fields = df.schema.fields
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, nested)]
     steps = []
     previous = None
     for _ in range(k):

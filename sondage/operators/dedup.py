@@ -16,7 +16,7 @@ def duplicate_rows(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for table, df in tables.items():
         digest = row_digest([(quoted(f.name), f.dataType) for f in df.schema.fields])
-        kinds = df.select(F.unhex(digest).alias("row")).groupBy("row").agg(F.count("*").alias("rows"))
+        kinds = df.select(*digest).toDF("first", "second").groupBy("first", "second").agg(F.count("*").alias("rows"))
         extra = kinds.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("duplicate_rows"))
         parts.append(extra.select(F.lit(table).alias("table"), "duplicate_rows"))
     return reduce(DataFrame.unionAll, parts)

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from sondage.functions.canonical import ROW, quoted, row_digest, value_key
 
 BITS_PER_WORD = 62
+ROW_FIRST, ROW_SECOND = "_row_first", "_row_second"
 
 
 @dataclass(frozen=True)
 class Slot:
-    """One bit: a column of a table, or the whole row of it when ``column`` is None."""
+    """One bit: a column of a table, or the whole row of it when ``column`` is None. Slots are
+    numbered from 0 without gaps."""
 
     index: int
     table: str
@@ -36,8 +38,9 @@ class Slot:
     def bit(self) -> int:
         return 1 << (self.index % BITS_PER_WORD)
 
-    def present(self) -> Column:
-        return F.col(self.word).bitwiseAND(F.lit(self.bit).cast("bigint")) != 0
+    @property
+    def present(self) -> str:
+        return f"({self.word} & {self.bit}L) <> 0"
 
 
 def assign_slots(tables: dict[str, DataFrame], columns: bool = True, rows: bool = True) -> list[Slot]:
@@ -57,19 +60,21 @@ def _word_names(slots: list[Slot]) -> list[str]:
 def _table_values(df: DataFrame, row_family: int, slots: list[Slot], words: list[str]) -> DataFrame:
     """Every (slot, value) pair of one table, expanded inside the scan stage."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    if any(s.column is None for s in slots):
+        first, second = row_digest([(quoted(c), t) for c, t in types.items()])
+        df = df.withColumns({ROW_FIRST: first, ROW_SECOND: second})
     projected, entries = [], []
     for slot in slots:
         if slot.column is None:
-            digest = row_digest([(quoted(c), t) for c, t in types.items()])
-            key = (F.lit(row_family), F.lit(None).cast("bigint"), F.lit(None).cast("double"), digest)
+            key = (str(row_family), ROW_FIRST, "CAST(NULL AS DOUBLE)", f"HEX({ROW_SECOND})")
         else:
-            key = value_key(quoted(slot.column), types[slot.column])
+            key = value_key(slot.column, types[slot.column])
         cells = dict(zip(("family", "whole", "frac", "text"), key))
-        cells |= {w: F.lit(slot.bit if w == slot.word else 0).cast("bigint") for w in words}
+        cells |= {w: f"{slot.bit if w == slot.word else 0}L" for w in words}
         names = [f"s{slot.index}_{name}" for name in cells]
-        projected += [cell.alias(name) for cell, name in zip(cells.values(), names)]
+        projected += [f"{cell} AS {name}" for cell, name in zip(cells.values(), names)]
         entries.append("(" + ", ".join(names) + ")")
-    wide = df.select(*projected)
+    wide = df.selectExpr(*projected)
     output = ", ".join(["family", "whole", "frac", "text", *words])
     return wide.sparkSession.sql(
         f"SELECT {output} FROM {{wide}} UNPIVOT INCLUDE NULLS "
@@ -96,14 +101,19 @@ def signatures(tables: dict[str, DataFrame], slots: list[Slot]) -> DataFrame:
 
 
 def _present_slots(slots: list[Slot]) -> Column:
-    return F.array_compact(F.array(*[F.when(s.present(), F.lit(s.index)) for s in slots]))
+    return F.expr("ARRAY_COMPACT(ARRAY(" + ", ".join(f"IF({s.present}, {s.index}, NULL)" for s in slots) + "))")
 
 
 def _named(df: DataFrame, slots: list[Slot], index: str, table: str, column: str) -> DataFrame:
     """Replace a slot index by its table and column name."""
-    names = F.array(*[F.struct(F.lit(s.table), F.lit(s.column).cast("string")) for s in slots])
-    lookup = F.element_at(names, F.col(index) + 1)
-    return df.withColumn(table, lookup["col1"]).withColumn(column, lookup["col2"])
+
+    def text(value: str | None) -> Column:
+        return F.lit(value).cast("string")
+
+    tables = F.array(*[text(s.table) for s in slots])
+    columns = F.array(*[text(s.column) for s in slots])
+    place = F.col(index) + 1
+    return df.withColumns({table: F.element_at(tables, place), column: F.element_at(columns, place)})
 
 
 def slot_distincts(sigs: DataFrame, slots: list[Slot]) -> DataFrame:
@@ -118,9 +128,6 @@ def slot_distincts(sigs: DataFrame, slots: list[Slot]) -> DataFrame:
     )
     every = sigs.sparkSession.range(len(slots)).select(F.col("id").cast("int").alias("slot"))
     joined = every.join(counts, "slot", "left").fillna(0, ["distinct_count"])
-    by_position = slots[0].index
-    if by_position != 0 or [s.index for s in slots] != list(range(len(slots))):
-        raise ValueError("slots must be numbered from 0 without gaps")
     return _named(joined, slots, "slot", "table", "column").select("table", "column", "distinct_count")
 
 

@@ -67,17 +67,18 @@ def smallest_values(table: str, df: DataFrame, k: int = 3) -> DataFrame:
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, nested)]
     steps = []
-    previous = None
-    for _ in range(k):
+    rows = df
+    for number in range(k):
         minima = []
         for i, field in enumerate(fields):
             value = clean(quoted(field.name), field.dataType)
-            if previous is not None:
-                value = F.when(value > previous[f"v{i}"], value)
+            if number > 0:
+                value = F.when(value > F.col(f"_last.v{i}"), value)
             minima.append(F.min(value).alias(f"v{i}"))
-        step = df.agg(*minima)
+        step = rows.agg(*minima)
         steps.append(step)
-        previous = step.select(F.struct("*")).scalar()
+        # One row of minima, computed once and handed to the next scan.
+        rows = df.withColumn("_last", step.select(F.struct("*")).scalar())
     parts = []
     for place, step in enumerate(steps, start=1):
         entries = [

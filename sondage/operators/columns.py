@@ -66,32 +66,29 @@ def smallest_values(table: str, df: DataFrame, k: int = 3) -> DataFrame:
     """
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, nested)]
-    steps = []
-    rows = df
-    for number in range(k):
-        minima = []
-        for i, field in enumerate(fields):
-            value = clean(quoted(field.name), field.dataType)
-            if number > 0:
-                value = F.when(value > F.col(f"_last.v{i}"), value)
-            minima.append(F.min(value).alias(f"v{i}"))
-        step = rows.agg(*minima)
-        steps.append(step)
-        # One row of minima, computed once and handed to the next scan.
-        rows = df.withColumn("_last", step.select(F.struct("*")).scalar())
-    parts = []
-    for place, step in enumerate(steps, start=1):
-        entries = [
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.lit(place).alias("place"),
-                as_text(F.col(f"v{i}"), field.dataType).alias("sample"),
-            )
-            for i, field in enumerate(fields)
-        ]
-        parts.append(step.select(F.inline(F.array(*entries))))
-    found = reduce(DataFrame.unionAll, parts).filter(F.col("sample").isNotNull())
-    return found.select(F.lit(table).alias("table"), "column", "place", "sample")
+    wide = df.select(*[clean(quoted(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    source, rows = None, "{wide}"
+    for place in range(1, k + 1):
+        minima = ", ".join(
+            f"min(c{i}) AS v{i}" if source is None else f"min(CASE WHEN c{i} > last.v{i} THEN c{i} END) AS v{i}"
+            for i in range(len(fields))
+        )
+        # One row: this step's minima and, nested in it, those of the steps before.
+        carried = "" if source is None else ", any_value(last) AS earlier"
+        source = f"SELECT {minima}{carried} FROM {rows}"
+        rows = f"(SELECT *, (SELECT struct(*) FROM ({source})) AS last FROM {{wide}})"
+    found = df.sparkSession.sql(source, wide=wide)
+    entries = []
+    for place in range(1, k + 1):
+        depth = "earlier." * (k - place)
+        for i, f in enumerate(fields):
+            sample = as_text(F.col(f"{depth}v{i}"), f.dataType)
+            entries.append(F.struct(F.lit(f.name).alias("column"), F.lit(place).alias("place"), sample.alias("sample")))
+    return (
+        found.select(F.inline(F.array(*entries)))
+        .filter("sample IS NOT NULL")
+        .select(F.lit(table).alias("table"), "column", "place", "sample")
+    )
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

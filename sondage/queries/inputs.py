@@ -73,6 +73,7 @@ def tables(spark: SparkSession, folder: str, names=None) -> dict[str, DataFrame]
 def run(spark: SparkSession, folder: str, sql: str, *names: str) -> DataFrame:
     """SQL over the named tables, without leaving temporary views behind."""
     frames = tables(spark, folder, names)
+    sql = sql.replace("{", "{{").replace("}", "}}")
     for name in names:
         sql = _mention(sql, name)
     return spark.sql(sql, **frames)

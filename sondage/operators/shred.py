@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sondage.functions.variants import entries, is_nested, is_object, items, member
 from sondage.operators.dedup import first_per_key
 from sondage.plans.flattening import ChildTable, FlatteningPlan
+from sondage.session import scratch_path
 from sondage.sources.sinks import replace_all
 
 
@@ -81,8 +82,12 @@ def table_row_counts(records: DataFrame, plan: FlatteningPlan, record: str = "re
 
 
 def load_records(records: DataFrame, plan: FlatteningPlan, folder: str, order: str, record: str = "record") -> DataFrame:
-    """Replace the tables in ``folder`` by those of the plan, and count what was loaded."""
+    """Replace the tables in ``folder`` by those of the plan, and count what was loaded. The records
+    are parsed once: their parsed form is stored, and every table is made from it."""
     spark = records.sparkSession
+    parsed = scratch_path(spark, "parsed")
+    records.select(order, record).write.parquet(parsed)
+    records = spark.read.parquet(parsed)
     tables = shred(records, plan, order, record)
     replace_all(spark, folder, tables)
     written = [

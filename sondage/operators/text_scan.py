@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sondage.functions.canonical import quoted
@@ -87,7 +87,8 @@ def scan_names(df: DataFrame, column: str, key: str, names: DataFrame, entity: s
 
 def casing_variants(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """``(table, column, normal_form, form, rows)`` of values that appear in more than one casing
-    or spacing. Equal spellings are merged before each shuffle."""
+    or spacing. Equal spellings are merged before the first shuffle; normal forms with several
+    spellings are found by a second aggregate, so no group is gathered in one task."""
     cells = [F.struct(F.lit(c).alias("column"), quoted(c).alias("form")) for c in columns]
     forms = (
         df.select(F.inline(F.array(*cells)))
@@ -97,9 +98,13 @@ def casing_variants(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
         .withColumn("normal_form", normal_form(F.col("form")))
         .filter("normal_form <> ''")
     )
-    spellings = F.count("*").over(Window.partitionBy("column", "normal_form"))
-    several = forms.withColumn("spellings", spellings).filter("spellings > 1")
-    return several.select(F.lit(table).alias("table"), "column", "normal_form", "form", "rows")
+    several = (
+        forms.groupBy("column", "normal_form")
+        .agg(F.min("form").alias("first"), F.max("form").alias("last"))
+        .filter("first <> last")
+    )
+    found = forms.join(several, ["column", "normal_form"], "left_semi")
+    return found.select(F.lit(table).alias("table"), "column", "normal_form", "form", "rows")
 
 
 def casing_variants_of(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame | None:

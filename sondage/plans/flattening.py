@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sondage.functions.variants import member
 from sondage.operators.fields import catalog_of, field_type_counts, object_fields
 from sondage.operators.keys import looks_like_identifier
+from sondage.session import durable
 
 KINDS = ("objects", "values", "keyvalue")
 SCALARS = ("bool", "float", "int", "null", "str")
@@ -79,22 +80,21 @@ def choose_key(records: DataFrame, catalog: DataFrame, record: str = "record") -
     field that is one."""
     scalars = F.forall("types", lambda t: t.isin(*SCALARS))
     always = catalog.filter(scalars & (F.col("present_pct") >= 100))
-    names = [
-        row["field"]
-        for row in always.orderBy(F.desc(looks_like_identifier(F.col("field"))), "field").select("field").collect()
-    ]
-    if names:
-        keys = {r["field"] for r in key_candidates(records, names, record).filter("is_key").collect()}
-        for name in names:
-            if name in keys:
-                return name
+    rows = always.select("field", looks_like_identifier(F.col("field")).alias("hinted")).orderBy("field").collect()
+    for hinted in (True, False):
+        names = [r["field"] for r in rows if r["hinted"] == hinted]
+        if names:
+            keys = {r["field"] for r in key_candidates(records, names, record).filter("is_key").collect()}
+            for name in names:
+                if name in keys:
+                    return name
     raise ValueError("no field is present in all records with distinct values")
 
 
 def propose(records: DataFrame, name: str, order=None, record: str = "record", catalog: DataFrame | None = None) -> FlatteningPlan:
     """A plan by rule from the field catalog. Only field names reach the driver."""
     if catalog is None:
-        catalog = catalog_of(field_type_counts(records, record=record))
+        catalog = durable(catalog_of(field_type_counts(records, record=record)))
     return _plan_from(table_kinds(catalog), name, choose_key(records, catalog, record), records, order, record)
 
 
@@ -114,7 +114,7 @@ def consensus(proposals: DataFrame) -> DataFrame:
 
 
 def propose_by_consensus(records: DataFrame, name: str, shard, order=None, runs: int = CONSENSUS_RUNS, record: str = "record") -> FlatteningPlan:
-    catalog = catalog_of(field_type_counts(records, record=record))
+    catalog = durable(catalog_of(field_type_counts(records, record=record)))
     kinds = consensus(proposals_by_shard(records, shard, runs, record))
     return _plan_from(kinds, name, choose_key(records, catalog, record), records, order, record)
 

@@ -55,7 +55,7 @@ def append_load(spark, folder):
     total = sinks.append_chunks(chunks, stored, "lineitem")
     loaded = files.load_tables(spark, stored)["lineitem"]
     return loaded.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"), F.lit(total).alias("total_rows")
+        F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"), F.lit(total).cast("bigint").alias("total_rows")
     )
 
 

@@ -188,7 +188,7 @@ _TYPES = "types AS (" + union(
 _KIND = """CASE WHEN max(CASE WHEN type = 'list[object]' THEN 1 ELSE 0 END) = 1 THEN 'objects'
     WHEN max(CASE WHEN type LIKE 'list[%' THEN 1 ELSE 0 END) = 1 THEN 'values'
     WHEN max(CASE WHEN type = 'object' THEN 1 ELSE 0 END) = 1 THEN 'keyvalue' ELSE 'main' END"""
-_OBJECT_ROWS = """SELECT o_orderkey AS order_id, i AS line, o_custkey + i AS part, CASE WHEN i = 2 THEN 1.5 END AS qty
+_OBJECT_ROWS = """SELECT o_orderkey AS order_id, i AS line, o_custkey + i AS part, CASE WHEN i = 2 THEN CAST(1.5 AS DOUBLE) END AS qty
     FROM orders, range(1, 4) AS r(i) WHERE i <= o_orderkey % 4"""
 _VALUE_ROWS = """SELECT o_orderkey AS order_id, unnest(string_split(o_orderpriority, '-')) AS value FROM orders WHERE o_orderkey % 11 <> 0
     UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 5 = 0"""

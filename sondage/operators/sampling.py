@@ -60,5 +60,10 @@ def systematic_sample(df: DataFrame, rows: int, threshold: int = SAMPLE_ROW_THRE
 
 
 def head_lines(lines: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` raw lines, blank and unreadable ones included."""
-    return with_line_position(lines, "line_no").filter(F.col("line_no") < count)
+    """The first ``count`` raw lines, blank and unreadable ones included. Files are taken in name
+    order, twice as many each time, until they hold enough lines; the others are never read."""
+    names, needed = sorted(lines.inputFiles()), 1
+    reader = lines.sparkSession.read
+    while needed < len(names) and reader.text(names[:needed]).count() < count:
+        needed *= 2
+    return with_line_position(reader.text(names[:needed]), "line_no").filter(F.col("line_no") < count)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sondage.functions.canonical import quoted
+
 
 def list_folder(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder of any file system Spark can reach, sorted; empty when it is missing."""
@@ -76,5 +78,8 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType | st
 def parse_objects(lines: DataFrame, column: str = "value", into: str = "record") -> DataFrame:
     """Add the parsed record of each line; blank lines, malformed JSON and lines that hold no
     object are dropped."""
-    parsed = lines.withColumn(into, F.try_parse_json(F.trim(column)))
-    return parsed.filter(F.schema_of_variant(into).startswith("OBJECT<"))
+    text = F.btrim(quoted(column), F.lit(" \t\r\n\f\v"))
+    # JSON text that starts with a brace and can be read is an object. The record goes through a
+    # generator, because a filter on it would otherwise parse every line a second time.
+    parsed = lines.filter(text.startswith("{")).select("*", F.explode(F.array(F.try_parse_json(text))).alias(into))
+    return parsed.filter(F.col(into).isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,20 +52,26 @@ def _scalar_type(shape: Column) -> Column:
     )
 
 
-def _item_type(item: Column) -> Column:
-    shape = F.schema_of_variant(item)
-    return F.when(shape.startswith("OBJECT<"), "dict").when(shape.startswith("ARRAY<"), "list").otherwise(_scalar_type(shape))
+def with_type_name(df: DataFrame, value: str, into: str) -> DataFrame:
+    """Add the type name of a JSON value: bool, int, float, str, null, object, or list[...], where a
+    list is ``list[object]`` when its first item is an object, else the sorted types of all items,
+    ``empty`` for none. Shapes are read in steps of their own, so that each is read once."""
+    outer = df.withColumn("_shape", F.schema_of_variant(value))
+    listed = F.when(F.col("_shape").startswith("ARRAY<"), F.transform(items(F.col(value)), F.schema_of_variant))
+    shaped = outer.withColumn("_shapes", listed)
 
+    def item_type(shape: Column) -> Column:
+        nested = F.when(shape.startswith("OBJECT<"), "dict").when(shape.startswith("ARRAY<"), "list")
+        return nested.otherwise(_scalar_type(shape))
 
-def type_name(value: Column) -> Column:
-    """bool, int, float, str, null, object, or list[...]: ``list[object]`` when the first item is
-    an object, else the sorted types of all items, ``empty`` for none."""
-    shape = F.schema_of_variant(value)
-    kinds = F.array_sort(F.array_distinct(F.transform(items(value), _item_type)))
     inner = (
-        F.when(F.size(kinds) == 0, "empty")
-        .when(is_object(F.get(items(value), 0)), "object")
-        .otherwise(F.array_join(kinds, "|"))
+        F.when(F.size("_shapes") == 0, "empty")
+        .when(F.get("_shapes", F.lit(0)).startswith("OBJECT<"), "object")
+        .otherwise(F.array_join(F.array_sort(F.array_distinct(F.transform(F.array_distinct("_shapes"), item_type))), "|"))
+    )
+    named = (
+        F.when(F.col("_shapes").isNotNull(), F.concat(F.lit("list["), inner, F.lit("]")))
+        .when(F.col("_shape").startswith("OBJECT<"), "object")
+        .otherwise(_scalar_type(F.col("_shape")))
     )
-    listed = F.concat(F.lit("list["), inner, F.lit("]"))
-    return F.when(shape.startswith("OBJECT<"), "object").when(shape.startswith("ARRAY<"), listed).otherwise(_scalar_type(shape))
+    return shaped.withColumn(into, named).drop("_shape", "_shapes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.functions.variants import entries, is_object, items, member, type_name
+from sondage.functions.variants import entries, is_object, items, member, with_type_name
 
 # Fixed values.
 MIN_FIELD_PRESENT_PCT = 5.0
@@ -25,14 +25,14 @@ def record_fields(records: DataFrame, keep: list[str] = (), record: str = "recor
 def field_types(records: DataFrame, keep: list[str], record: str = "record") -> DataFrame:
     """``(*keep, field, type)`` for every field of every record."""
     found = record_fields(records, keep, record).filter("field IS NOT NULL")
-    return found.select(*keep, "field", type_name(F.col("value")).alias("type"))
+    return with_type_name(found, "value", "type").select(*keep, "field", "type")
 
 
 def field_type_counts(records: DataFrame, by: list[str] = (), record: str = "record") -> DataFrame:
     """``(*by, field, type, rows, starts)``; the ``starts`` add up to the number of records. Fields
     and types are merged inside each task, so the shuffle holds one row per kind of field."""
     start = F.col("pos").isNull() | (F.col("pos") == 0)
-    typed = record_fields(records, list(by), record).withColumn("type", type_name(F.col("value")))
+    typed = with_type_name(record_fields(records, list(by), record), "value", "type")
     return typed.groupBy(*by, "field", "type").agg(F.count("*").alias("rows"), F.count_if(start).alias("starts"))
 
 

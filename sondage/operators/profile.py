@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,15 @@ class DatabaseProfile:
         prepare(next(iter(self.tables.values())).sparkSession)
         self.slots = occurrence.assign_slots(self.tables)
 
+    def _together(self, *names: str) -> None:
+        """Compute independent parts at the same time, so that the cluster works on one while
+        another waits for its last tasks."""
+        spark = next(iter(self.tables.values())).sparkSession
+        with ThreadPoolExecutor(len(names)) as pool:
+            parts = [pool.submit(inheritable_thread_target(spark)(getattr), self, name) for name in names]
+        for part in parts:
+            part.result()
+
     @cached_property
     def facts(self) -> DataFrame:
         return durable(columns.column_facts(self.tables))
@@ -84,10 +95,12 @@ class DatabaseProfile:
 
     @cached_property
     def pk_candidates(self) -> DataFrame:
+        self._together("facts", "signatures")
         return keys.pk_candidates(self.facts, self.distincts)
 
     @cached_property
     def free_text(self) -> DataFrame:
+        self._together("facts", "signatures")
         return durable(text_scan.free_text_flags(self.facts, self.distincts))
 
     @cached_property
@@ -129,8 +142,10 @@ class DatabaseProfile:
         found = reduce(DataFrame.unionAll, parts)
         flags = self.free_text.filter("is_free_text").select("table", "column", F.lit(True).alias("hide"))
         shown = F.when(F.coalesce("hide", F.lit(False)), redact(F.col("sample"))).otherwise(F.col("sample"))
-        return found.join(F.broadcast(flags), ["table", "column"], "left").select(
-            "table", "column", "place", shown.alias("sample")
+        return durable(
+            found.join(F.broadcast(flags), ["table", "column"], "left").select(
+                "table", "column", "place", shown.alias("sample")
+            )
         )
 
     @cached_property
@@ -175,6 +190,8 @@ class DatabaseProfile:
         """One row per column. Lists in it are short by nature: at most three samples and one entry
         per PII entity; the spelling variants themselves are in ``casing``."""
         key = ["table", "column"]
+        _ = self._text_columns
+        self._together("iqr_bounds", "pii", "casing", "samples")
         profile = (
             self.facts.join(columns.null_stats(self.facts), key)
             .join(self.distincts, key, "left")

@@ -72,15 +72,14 @@ def tables(spark: SparkSession, folder: str, names=None) -> dict[str, DataFrame]
 
 def run(spark: SparkSession, folder: str, sql: str, *names: str) -> DataFrame:
     """SQL over the named tables, without leaving temporary views behind."""
-    frames = tables(spark, folder, names)
-    sql = sql.replace("{", "{{").replace("}", "}}")
-    for name in names:
-        sql = _mention(sql, name)
-    return spark.sql(sql, **frames)
+    return run_over(tables(spark, folder, names), sql)
 
 
-def _mention(sql: str, name: str) -> str:
-    return re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+def run_over(frames: dict[str, DataFrame], sql: str) -> DataFrame:
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    for name in frames:
+        sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+    return next(iter(frames.values())).sparkSession.sql(sql, **frames)
 
 
 def untidy(spark: SparkSession, folder: str, names=None) -> dict[str, DataFrame]:

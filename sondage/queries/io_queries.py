@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sondage.operators.profile import DatabaseProfile
 from sondage.queries.inputs import COLUMNS, table, tables
 from sondage.queries.profile_queries import named
-from sondage.session import scratch_path
+from sondage.session import scratch_path, spread
 from sondage.sources import files, sinks
 
 PREFIX, SUFFIX = "export_", "_dataset"
@@ -40,7 +40,7 @@ def _lineitems(df):
 def csv_gz_load(spark, folder):
     """A compressed export, read with a given schema and stored as Parquet, which can be split."""
     exported, stored = scratch_path(spark, "gz"), scratch_path(spark, "stored")
-    sinks.write_csv(table(spark, folder, "lineitem"), exported, "gzip")
+    sinks.write_csv(spread(table(spark, folder, "lineitem")), exported, "gzip")
     sinks.write_table(files.read_csv(spark, exported, _schema("lineitem")), stored, "lineitem")
     return _lineitems(files.load_tables(spark, stored)["lineitem"])
 
@@ -48,7 +48,7 @@ def csv_gz_load(spark, folder):
 def append_load(spark, folder):
     """An export of several files, appended chunk by chunk."""
     exported, stored = scratch_path(spark, "parts"), scratch_path(spark, "stored")
-    sinks.write_csv(table(spark, folder, "lineitem").repartition(8), exported)
+    sinks.write_csv(spread(table(spark, folder, "lineitem")), exported)
     parts = [f"{exported}/{n}" for n in files.list_folder(spark, exported) if n.endswith(".csv")]
     size = max(len(parts) // 4, 1)
     chunks = [files.read_csv(spark, parts[i : i + size], _schema("lineitem")) for i in range(0, len(parts), size)]

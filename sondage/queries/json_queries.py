@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from sondage.operators import columns, dedup, fields, sampling, shred
 from sondage.plans import flattening
 from sondage.plans.flattening import ChildTable, FlatteningPlan
-from sondage.queries.inputs import run, table
+from sondage.queries.inputs import run_over, table
 from sondage.queries.profile_queries import named
 from sondage.queries.profile_sql import union
-from sondage.session import scratch_path
+from sondage.session import scratch_path, spread
 from sondage.sources import files
 
 LINES = """SELECT o_orderkey * 2 + pos AS line, value FROM (SELECT o_orderkey, posexplode(array_compact(array(
@@ -54,7 +54,7 @@ LOOSE_PLAN = FlatteningPlan("record", "mixed", ("order_id",), PLAN.children)
 
 
 def lines(spark, folder) -> DataFrame:
-    return run(spark, folder, LINES, "orders")
+    return run_over({"orders": spread(table(spark, folder, "orders"))}, LINES)
 
 
 def records(spark, folder) -> DataFrame:

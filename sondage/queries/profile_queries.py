@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.operators import columns, dedup, keys, occurrence, quantiles, report, sampling, text_scan
+from sondage.operators import columns, dedup, keys, occurrence, report, sampling, text_scan
 from sondage.operators.profile import DatabaseProfile
 from sondage.queries import profile_sql as sql
 from sondage.queries.inputs import TABLES, table, tables, untidy
@@ -28,14 +28,6 @@ def _distincts(data):
     return occurrence.slot_distincts(occurrence.signatures(data, slots), slots)
 
 
-def _quartiles(data):
-    numeric = {t: {c: None for c in quantiles.numeric_columns(df)} for t, df in data.items()}
-    for row in columns.column_facts(data).select("table", "column", "non_null").collect():
-        if row["column"] in numeric[row["table"]]:
-            numeric[row["table"]][row["column"]] = row["non_null"]
-    return quantiles.exact_quantiles(data, numeric)
-
-
 def table_row_counts(spark, folder):
     return named(columns.row_counts(tables(spark, folder)))
 
@@ -53,14 +45,12 @@ def duplicate_rows(spark, folder):
 
 
 def iqr_bounds(spark, folder):
-    bounds = quantiles.iqr_bounds(_quartiles(untidy(spark, folder)))
+    bounds = _profile(spark, folder).iqr_bounds
     return named(bounds.select("table", "column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "iqr")]))
 
 
 def iqr_outliers(spark, folder):
-    data = untidy(spark, folder)
-    bounds = durable(quantiles.iqr_bounds(_quartiles(data)))
-    return named(quantiles.outlier_counts(data, bounds, columns.column_facts(data)))
+    return named(_profile(spark, folder).outliers)
 
 
 def sample_values(spark, folder):

@@ -32,6 +32,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal the rows of a table read from files out to all cores, if its files make fewer tasks than
+    there are cores. Meant for small files ahead of costly work; large tables are left as they are."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint that outlives lost executors."""
     context = df.sparkSession.sparkContext

@@ -19,7 +19,24 @@ DIGEST_OVER = 64
 
 def quoted(name: str) -> Column:
     """The column called ``name``, whatever punctuation the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
+
+
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_clean(value: str, dtype: T.DataType) -> str:
+    """``clean`` as SQL, for statements over many columns."""
+    return f"NANVL({value}, NULL)" if isinstance(dtype, (T.DoubleType, T.FloatType)) else value
+
+
+def sql_number(name: str, dtype: T.DataType) -> str:
+    return f"CAST({sql_clean(sql_name(name), dtype)} AS DOUBLE)"
 
 
 def is_numeric(dtype: T.DataType) -> bool:
@@ -41,15 +58,13 @@ def as_number(col: Column, dtype: T.DataType) -> Column:
     return clean(col, dtype).cast("double")
 
 
-def as_text(col: Column, dtype: T.DataType) -> Column:
-    """One text per distinct value; nested values become JSON text."""
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(col)
+def sql_as_text(value: str, dtype: T.DataType) -> str:
+    """SQL for the text of a single value; negative zero reads as zero."""
     if isinstance(dtype, T.BinaryType):
-        return F.hex(col)
+        return f"HEX({value})"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return (clean(col, dtype) + F.lit(0.0)).cast("string")
-    return col.cast("string")
+        return f"CAST({value} + CAST(0 AS {dtype.simpleString()}) AS STRING)"
+    return f"CAST({value} AS STRING)"
 
 
 def value_key(name: str, dtype: T.DataType) -> tuple[str, str, str, str]:
@@ -59,7 +74,7 @@ def value_key(name: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     64-bit keys keep all digits. Long strings are replaced by their MD5 behind a NUL byte, which
     no short string of a text export starts with.
     """
-    col = "`" + name.replace("`", "``") + "`"
+    col = sql_name(name)
     no_whole, no_frac, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
 
     def family(number: int, value: str) -> str:

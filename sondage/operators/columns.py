@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sondage.functions.canonical import as_text, clean, is_string, quoted
+from sondage.functions.canonical import clean, is_string, quoted, sql_as_text, sql_clean, sql_name, sql_text
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -24,26 +24,21 @@ def column_facts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _facts_of(table: str, df: DataFrame) -> DataFrame:
-    aggregates = [F.count("*").alias("row_count")]
-    entries = []
+    aggregates, entries = ["count(*) AS row_count"], []
     for i, field in enumerate(df.schema.fields):
-        value = clean(quoted(field.name), field.dataType)
-        aggregates.append(F.count(value).alias(f"present{i}"))
-        chars = F.lit(None).cast("bigint")
+        value = sql_clean(sql_name(field.name), field.dataType)
+        aggregates.append(f"count({value}) AS present{i}")
+        chars = "CAST(NULL AS BIGINT)"
         if is_string(field.dataType):
-            aggregates.append(F.sum(F.char_length(value).cast("bigint")).alias(f"chars{i}"))
-            chars = F.col(f"chars{i}")
+            aggregates.append(f"sum(CAST(char_length({value}) AS BIGINT)) AS chars{i}")
+            chars = f"chars{i}"
+        dtype = field.dataType.simpleString()
         entries.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.lit(i + 1).alias("ordinal"),
-                F.lit(field.dataType.simpleString()).alias("dtype"),
-                F.col("row_count"),
-                F.col(f"present{i}").alias("non_null"),
-                chars.alias("chars"),
-            )
+            f"named_struct('column', {sql_text(field.name)}, 'ordinal', {i + 1}, 'dtype', {sql_text(dtype)}, "
+            f"'row_count', row_count, 'non_null', present{i}, 'chars', {chars})"
         )
-    return df.agg(*aggregates).select(F.lit(table).alias("table"), F.inline(F.array(*entries)))
+    wide = df.selectExpr(*aggregates)
+    return wide.selectExpr(f"{sql_text(table)} AS `table`", f"inline(array({', '.join(entries)}))")
 
 
 def null_stats(facts: DataFrame) -> DataFrame:
@@ -66,7 +61,7 @@ def smallest_values(table: str, df: DataFrame, k: int = 3) -> DataFrame:
     """
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     fields = [f for f in df.schema.fields if not isinstance(f.dataType, nested)]
-    wide = df.select(*[clean(quoted(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+    wide = df.selectExpr(*[f"{sql_clean(sql_name(f.name), f.dataType)} AS c{i}" for i, f in enumerate(fields)])
     source, rows = None, "{wide}"
     for place in range(1, k + 1):
         minima = ", ".join(
@@ -82,13 +77,10 @@ def smallest_values(table: str, df: DataFrame, k: int = 3) -> DataFrame:
     for place in range(1, k + 1):
         depth = "earlier." * (k - place)
         for i, f in enumerate(fields):
-            sample = as_text(F.col(f"{depth}v{i}"), f.dataType)
-            entries.append(F.struct(F.lit(f.name).alias("column"), F.lit(place).alias("place"), sample.alias("sample")))
-    return (
-        found.select(F.inline(F.array(*entries)))
-        .filter("sample IS NOT NULL")
-        .select(F.lit(table).alias("table"), "column", "place", "sample")
-    )
+            sample = sql_as_text(f"{depth}v{i}", f.dataType)
+            entries.append(f"named_struct('column', {sql_text(f.name)}, 'place', {place}, 'sample', {sample})")
+    listed = found.selectExpr(f"{sql_text(table)} AS `table`", f"inline(array({', '.join(entries)}))")
+    return listed.filter("sample IS NOT NULL")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sondage.functions.canonical import as_number, is_numeric, quoted
+from sondage.functions.canonical import as_number, is_numeric, quoted, sql_number
 
 QUARTILES = (0.25, 0.75)
 # Rows a bracket may hold before it is narrowed again, and accuracy of the sketch.
@@ -162,15 +162,12 @@ def _bracket_values(df: DataFrame, ids: list[tuple[int, Bracket]]) -> DataFrame:
     that they shrink to one count before the shuffle."""
     projected, entries = [], []
     for number, b in ids:
-        value = _number(df, b.column)
-        keep = value.isNotNull() if b.high is None else value <= F.lit(b.high)
-        shown = value if b.low is None else F.when(value >= F.lit(b.low), value)
-        projected += [
-            F.when(keep, F.lit(number)).alias(f"b{number}"),
-            F.when(keep, shown).alias(f"v{number}"),
-        ]
+        value = sql_number(b.column, df.schema[b.column].dataType)
+        keep = f"{value} IS NOT NULL" if b.high is None else f"{value} <= CAST('{b.high!r}' AS DOUBLE)"
+        shown = value if b.low is None else f"IF({value} >= CAST('{b.low!r}' AS DOUBLE), {value}, NULL)"
+        projected += [f"IF({keep}, {number}, NULL) AS b{number}", f"IF({keep}, {shown}, NULL) AS v{number}"]
         entries.append(f"(b{number}, v{number})")
-    wide = df.select(*projected)
+    wide = df.selectExpr(*projected)
     return wide.sparkSession.sql(
         "SELECT bracket, value FROM {wide} UNPIVOT INCLUDE NULLS "
         f"((bracket, value) FOR entry IN ({', '.join(entries)})) WHERE bracket IS NOT NULL",
@@ -220,8 +217,8 @@ def outlier_counts(tables: dict[str, DataFrame], bounds: DataFrame, facts: DataF
         mine = [(number[table, c], c) for c in numeric_columns(df)]
         if not mine:
             continue
-        wide = df.select(
-            *[_number(df, c).alias(f"v{i}") for i, c in mine], *[F.lit(i).alias(f"e{i}") for i, _ in mine]
+        wide = df.selectExpr(
+            *[f"{sql_number(c, df.schema[c].dataType)} AS v{i}" for i, c in mine], *[f"{i} AS e{i}" for i, _ in mine]
         )
         cells = ", ".join(f"(e{i}, v{i})" for i, _ in mine)
         values.append(

@@ -166,6 +166,13 @@ def test_quantiles_of_tiny_columns(spark):
             assert r["value"] == pytest.approx(np.quantile(values, r["probability"]))
 
 
+def test_quantiles_beside_infinite_values(spark):
+    values = [float("-inf")] * 30 + [float(i) for i in range(40)] + [float("inf")] * 30
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = quantiles.exact_quantiles({"t": df}, {"t": {"x": 100}}, (0.4, 0.5, 0.6), limit=20, accuracy=50).collect()
+    assert {r["probability"]: round(r["value"], 9) for r in found} == {0.4: 9.6, 0.5: 19.5, 0.6: 29.4}
+
+
 def test_outlier_gates(spark):
     # Four values are too few; equal quartiles give no fence; fences themselves are inside.
     df = spark.createDataFrame([(1.0, 1.0, 1.0)] * 3 + [(1000.0, 1.0, 2.0), (None, 1.0, 3.0), (None, 99.0, 3.0), (None, 1.0, 6.0), (None, 1.0, 6.1)], "four double, flat double, edge double")

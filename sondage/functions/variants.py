@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from sondage.functions.canonical import sql_text
 
 
 def path_of(key: str) -> str:
@@ -18,7 +16,7 @@ def path_of(key: str) -> str:
 def member(record: str, key: str, kind: str = "variant") -> Column:
     """Value of ``key`` in the object column ``record``; NULL when it is absent or does not fit
     ``kind``. As a string, a nested value is JSON text."""
-    return F.expr(f"try_variant_get({record}, {_sql_text(path_of(key))}, {_sql_text(kind)})")
+    return F.expr(f"try_variant_get({record}, {sql_text(path_of(key))}, {sql_text(kind)})")
 
 
 def items(value: Column) -> Column:

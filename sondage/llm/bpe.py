@@ -72,9 +72,9 @@ class Codec:
                 self.automaton.add_word(written, (token, len(written)))
         self.automaton.make_automaton()
         # Keys are two tokens in one number.
-        self.follows = Memo(lambda pair: self.crossing(pair >> 32, pair & 0xFFFFFFFF) is None, 2_000_000)
+        self.follows = Memo(lambda pair: self.crossing(pair >> 32, pair & 0xFFFFFFFF) is None, 400_000)
         self.piece = Memo(self.encode_piece)
-        self.word = Memo(self.encode_word)
+        self.word = Memo(self.encode_word, 200_000)
         self.bytes_of = {**self.text, **{i: t.encode() for t, i in self.special.items()}}
 
     def edge(self, edges: dict, half: int | None, token: int) -> tuple[tuple[int, int], ...]:

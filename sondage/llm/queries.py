@@ -5,15 +5,51 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sondage.llm import bpe
+from sondage.llm import bpe, decontaminate, minhash, quality, suffix, token_files, urls
 from sondage.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_OF_DOCUMENT = 50256
+
+# The listed hosts and opening paths of the URL query.
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), TOKENIZER)
 
 
-QUERIES = {"op2_bpe": op2_bpe}
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = urls.judge(pages, urls.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.document_counts(table(spark, folder, "documents"), TOKENIZER, END_OF_DOCUMENT)
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.digests(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "op2_bpe": op2_bpe, "op3_minhash": op3_minhash, "op5_quality": op5_quality, "op7_urls": op7_urls,
+    "op8_token_counts": op8_token_counts, "op9_decontamination": op9_decontamination, "op10_suffixes": op10_suffixes,
+}
 ORACLES: dict[str, str] = {}

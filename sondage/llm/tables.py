@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +15,23 @@ from pyspark.sql import functions as F
 from sondage.session import scratch_path
 
 #: Texts are handed to numpy in pieces of about so many bytes, whatever the number of rows.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send this package to the workers, once a session, so that they need no copy of their own, and have
+    Arrow batches follow the size of the rows, since texts may be long."""
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if getattr(context, "sondage_shipped", None) is None:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='sondage-')}/sondage", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        context.sondage_shipped = archive
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -60,7 +76,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTE
 class Memo(dict):
     """A table of computed values that forgets everything once it is full, so memory stays bounded."""
 
-    def __init__(self, compute: Callable, limit: int = 400_000):
+    def __init__(self, compute: Callable, limit: int = 300_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.llm.tables import row_key, stored
+from sondage.llm.tables import let, row_key, stored
 
 WORDS = 5
 #: 5 * shared >= 4 * all is a similarity of 0.8.
@@ -36,15 +36,20 @@ def words_of(text: str) -> Column:
 
 def shingles_of(words: Column, width: int) -> Column:
     """Hashes of the shingles, in order; none if the words are fewer than ``width``."""
-    number = F.size(words) - (width - 1)
-    each = F.transform(F.sequence(F.lit(1), number), lambda i: F.xxhash64(F.slice(words, i, width)))
-    return F.when(number >= 1, each).otherwise(F.array().cast("array<bigint>"))
+    def hashed(w: Column) -> Column:
+        number = F.size(w) - (width - 1)
+        each = F.transform(F.sequence(F.lit(1), number), lambda i: F.xxhash64(F.slice(w, i, width)))
+        return F.when(number >= 1, each).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, hashed)
 
 
 def counted(shingles: str) -> Column:
     """A multiset as a set: each shingle is hashed with the number of times it has come before."""
-    ordered = F.array_sort(F.col(shingles))
-    return F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
+    return let(
+        F.array_sort(F.col(shingles)),
+        lambda ordered: F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x))),
+    )
 
 
 def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
@@ -58,8 +63,7 @@ def item_table(items: DataFrame, key: str, text: str) -> DataFrame:
 def places(docs: DataFrame, items: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """Tiles of texts that share a shingle with an item: ``row, n_words, tile, segment``. A tile has the
     windows that start at its n_words places; the segment has their shingles."""
-    tokens = docs.select(row_key(key, text).alias("row"), words_of(text).alias("words")).where(F.size("words") >= width)
-    hashed = tokens.select("row", shingles_of(F.col("words"), width).alias("hashes"))
+    hashed = docs.select(row_key(key, text).alias("row"), shingles_of(words_of(text), width).alias("hashes"))
     wanted = items.where(F.col("width") == width).select("n_words", F.explode("shingles").alias("shingle")).distinct()
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     met = hashed.select("row", "hashes", F.posexplode("hashes").alias("place", "shingle")).join(wanted, "shingle")

@@ -47,6 +47,12 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used. (The optimizer would put the
+    whole expression in the place of each use, inside lambdas too.)"""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def row_key(key: str = "doc_id", text: str = "text") -> Column:
     """Tells rows apart by key and text. Repeated rows share it, and share every result too."""
     return F.xxhash64(F.col(key), F.col(text))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sondage.llm.tables import let
+
 #: Words of the filter at most: 1 MB. A longer list makes more forms pass on to the join, no wrong verdicts.
 FILTER_WORDS, PROBES = 1 << 17, 4
 #: Lists up to so many entries are broadcast to the exact join (some 100 bytes each).
@@ -30,9 +32,10 @@ def path_of(url: str) -> Column:
 
 def parents(host: Column) -> Column:
     """The host and all its parent domains; none for an empty host."""
-    labels = F.split(host, r"\.", -1)
-    each = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.when(host != "", each).otherwise(F.array().cast("array<string>"))
+    def each(labels: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+    return F.when(host != "", let(F.split(host, r"\.", -1), each)).otherwise(F.array().cast("array<string>"))
 
 
 def word_index(form: Column, words: int) -> Column:
@@ -78,7 +81,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     filter_words = F.split(F.lit(",".join(map(str, bloom(named, words)))), ",").cast("array<bigint>")
 
     openings = F.transform(F.filter(F.lit(lengths), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
-    forms = F.flatten(F.transform(parents(F.col("host")), lambda h: F.transform(openings, lambda p: F.concat(h, p))))
+    forms = let(openings, lambda paths: F.flatten(F.transform(parents(F.col("host")), lambda h: F.transform(paths, lambda p: F.concat(h, p)))))
     possible = F.filter(forms, lambda f: F.get(filter_words, word_index(f, words)).bitwiseAND(bits(f)) == bits(f))
     numbered = placed.withColumn("__row", F.monotonically_increasing_id()).withColumn("__forms", possible)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sondage.llm import bpe, decontaminate, minhash, quality, suffix, token_files, urls
+from sondage.llm import bpe, decontaminate, embeddings, minhash, quality, suffix, token_files, toxicity, urls
 from sondage.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ URL_RULES = (
 )
 
 
+def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), TOKENIZER)
 
@@ -26,6 +30,10 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -49,7 +57,8 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_bpe": op2_bpe, "op3_minhash": op3_minhash, "op5_quality": op5_quality, "op7_urls": op7_urls,
+    "op1_embeddings": op1_embeddings, "op2_bpe": op2_bpe, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality, "op7_urls": op7_urls,
     "op8_token_counts": op8_token_counts, "op9_decontamination": op9_decontamination, "op10_suffixes": op10_suffixes,
 }
 ORACLES: dict[str, str] = {}

@@ -112,9 +112,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in one tile whose signatures agree enough. Rows come sorted by
-    tile; a tile has about twice TILE rows at most."""
-    for _, frame in by_group(batches, ["band", "bucket", "tile_i", "tile_j"]):
+    """Pairs of different components in one tile whose signatures agree enough, each from the first band
+    that they share. Rows come sorted by tile; a tile has about twice TILE rows at most."""
+    for (band, *_), frame in by_group(batches, ["band", "bucket", "tile_i", "tile_j"]):
         left, right = frame[frame.side == 0], frame[frame.side == 1]
         diagonal = frame.tile_i.iat[0] == frame.tile_j.iat[0]
         right = left if diagonal else right
@@ -126,7 +126,10 @@ def likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted = (parts != part) & ((keys > key) if diagonal else True)
             if wanted.any():
                 at = np.flatnonzero(wanted)
-                at = at[(values[at] == np.frombuffer(own, np.uint16)).mean(axis=1) >= LIKELY]
+                equal = values[at] == np.frombuffer(own, np.uint16)
+                enough = equal.mean(axis=1) >= LIKELY
+                at, equal = at[enough], equal[enough]
+                at = at[~equal[:, BAND_VALUES[:band]].all(axis=2).any(axis=1)]
                 if len(at):
                     yield pa.record_batch([pa.array(np.minimum(keys[at], key)), pa.array(np.maximum(keys[at], key))], names=["a", "b"])
 

@@ -21,7 +21,7 @@ from sondage.llm.texts import SHAPES, describe, fold_of, sample, shapes
 #: Parameters of the fit: rows of either kind at most, and the folds of which one is held out.
 POSITIVES, UNLABELLED = 4_000, 8_000
 FOLDS, HELD_OUT = 5, 0
-HIDDEN, STEPS, BATCH, RATE, DECAY, SLACK = 24, 2_400, 512, 0.004, 1e-4, 0.0
+HIDDEN, STEPS, BATCH, RATE, DECAY, SLACK = 24, 2_400, 512, 0.004, 1e-4, 0.01
 THRESHOLD = 0.3
 
 
@@ -87,9 +87,14 @@ def described(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def class_prior(labels: DataFrame) -> float:
-    """Share of positives, estimated from all training labels; a half if there are none."""
-    share = labels.agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    return 0.5 if share is None else min(max(share, 0.02), 0.98)
+    """Share of positives, estimated from all training labels, less two standard errors of that estimate on
+    the rows that the fit sees: a prior that is too high would leave no room for negatives. A half if
+    there are no labels."""
+    share, rows = labels.agg(F.avg(F.col("quality").cast("double")), F.count("*")).first()
+    if share is None:
+        return 0.5
+    error = np.sqrt(max(share * (1 - share), 0.01) / min(rows, UNLABELLED))
+    return float(np.clip(share - 2 * error, 0.02, 0.98))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:

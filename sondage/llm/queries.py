@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sondage.llm import bpe, decontaminate, embeddings, minhash, quality, suffix, token_files, toxicity, urls
+from sondage.llm import bpe, decontaminate, embeddings, language_model, minhash, quality, suffix, token_files, toxicity, urls
 from sondage.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scores(table(spark, folder, "documents"))
+
+
 def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged = urls.judge(pages, urls.rule_table(spark, URL_RULES))
@@ -58,7 +62,7 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_embeddings": op1_embeddings, "op2_bpe": op2_bpe, "op3_minhash": op3_minhash, "op4_toxicity": op4_toxicity,
-    "op5_quality": op5_quality, "op7_urls": op7_urls,
+    "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_urls": op7_urls,
     "op8_token_counts": op8_token_counts, "op9_decontamination": op9_decontamination, "op10_suffixes": op10_suffixes,
 }
 ORACLES: dict[str, str] = {}

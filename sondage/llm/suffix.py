@@ -29,7 +29,7 @@ from sondage.llm.tables import mix, pieces, row_key, stored, utf8
 LENGTH, GRAM = 400, 64
 #: A block of places ends at a mark; if none follows within REACH places, the place is its own block.
 REACH, MARK_GRAM, MARK_SHARE = 32, 8, 10
-ROWS = 400_000
+ROWS, CHUNK = 400_000, 16_384
 #: Blocks that share a suffix with more than so many others are taken place by place.
 CROWD = 4_096
 
@@ -141,7 +141,7 @@ def repeated(suffixes: DataFrame, parts: int) -> DataFrame:
     """``(row, start, width)`` of the suffixes whose tokens occur more than once.
 
     The ranges are cut by all columns, so that equal suffixes, however many, are spread over ranges."""
-    dealt = suffixes.repartitionByRange(parts, "token", "tail", "row", "start")
+    dealt = suffixes.select("token", "tail", "row", "start", "width").repartitionByRange(parts, "token", "tail", "row", "start")
     compared = stored(dealt.mapInArrow(compare_neighbours, f"{KEYED}, found boolean, end boolean"), "compared")
     # Two rows for each range: where a suffix stands alone in its range, its equals may be at the border.
     ends = compared.where("end")
@@ -237,22 +237,28 @@ def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     held = [b for b in batches if b.num_rows]
     if not held:
         return
-    rows, starts = [], []
-    for token, tail, row, start in places_of(pa.Table.from_batches(held)):
-        order = multikey([token, tail])
-        token, tail = token[order], tail[order]
-        same = (token[1:] == token[:-1]) & (tail[1:] == tail[:-1])
-        found = order[np.r_[False, same] | np.r_[same, False]]
-        rows.append(row[found])
-        starts.append(start[found])
-    row, start = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, starts))
-    order = np.lexsort([start, row])
-    row, start = row[order], start[order]
-    new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)]) if len(row) else np.empty(0, int)
-    last = np.r_[new[1:] - 1, len(row) - 1] if len(new) else new
-    for i in range(0, len(new), 20_000):
-        at, to = new[i : i + 20_000], last[i : i + 20_000]
-        yield pa.record_batch([pa.array(row[at]), pa.array(start[at]), pa.array((start[to] - start[at] + 1).astype(np.int32))], names=["row", "start", "width"])
+    whole = pa.Table.from_batches(held)
+    tokens = whole.column("token").to_numpy().view(np.uint64)
+    whole, tokens = whole.take(pa.array(order := multikey([tokens]))), tokens[order]
+    # Cut between stems into chunks of about CHUNK rows, so that the bytes around them stay few at a time.
+    firsts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    cuts = np.unique(np.r_[firsts[np.searchsorted(firsts, np.arange(0, len(tokens), CHUNK), side="right") - 1], len(tokens)])
+    for begin, stop in zip(cuts, cuts[1:], strict=False):
+        rows, starts = [], []
+        for token, tail, row, start in places_of(whole.slice(begin, stop - begin)):
+            order = multikey([token, tail])
+            token, tail = token[order], tail[order]
+            same = (token[1:] == token[:-1]) & (tail[1:] == tail[:-1])
+            found = order[np.r_[False, same] | np.r_[same, False]]
+            rows.append(row[found])
+            starts.append(start[found])
+        row, start = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, starts))
+        order = np.lexsort([start, row])
+        row, start = row[order], start[order]
+        new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)]) if len(row) else np.empty(0, int)
+        if len(new):
+            last = np.r_[new[1:] - 1, len(row) - 1]
+            yield pa.record_batch([pa.array(row[new]), pa.array(start[new]), pa.array((start[last] - start[new] + 1).astype(np.int32))], names=["row", "start", "width"])
 
 
 def single_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,12 +284,19 @@ def parts_for(rows: int) -> int:
 
 def repeated_places(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Texts that may hold repeated passages, and the ``(row, start, width)`` ranges of places where one
-    starts. Rows are named by ``row_key``."""
+    starts. Rows are named by ``row_key``. Of equal texts one stands for all: every passage of a text that
+    has a copy repeats, which needs no search."""
     named = docs.select(row_key(key, text).alias("row"), utf8(text).alias("t"))
+    long = named.select("row", F.md5("t").alias("name"), F.octet_length("t").alias("size")).where(F.col("size") >= LENGTH)
+    copies = long.groupBy("name", "size").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    chosen = stored(copies, "copies")
     suffixes = stored(named.mapInArrow(stretch_rows, KEYED), "stretches")
-    ranges = repeated(suffixes, parts_for(suffixes.count()))
+    apart = suffixes.join(chosen.select(F.col("first").alias("row")), "row", "left_semi")
+    ranges = repeated(apart, parts_for(suffixes.count()))
+    copied = chosen.where("n > 1").select("name", "size")
+    same = long.join(copied, ["name", "size"]).select("row", F.lit(0).cast("bigint").alias("start"), (F.col("size") - LENGTH + 1).alias("width"))
     ranges = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "width")).alias("ranges"))
-    texts = stored(named.join(ranges, "row").select("row", "t", "ranges"), "texts")
+    texts = stored(named.join(ranges, "row").select("row", "t", "ranges").dropDuplicates(["row"]), "texts")
 
     rows = stored(texts.mapInArrow(cut_blocks, BLOCK), "blocks")
     crowded = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("token")
@@ -294,7 +307,7 @@ def repeated_places(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
     if busy:
         loud = stored(rows.join(crowded, "token", "left_semi").mapInArrow(single_places, KEYED), "places")
         found = found.unionByName(repeated(loud, parts_for(loud.count())))
-    return texts.select("row", "t"), stored(found, "repeated")
+    return named, stored(found.unionByName(same), "repeated")
 
 
 SPANS = "row bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary"
@@ -322,7 +335,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     An empty table gives no rows; texts under 400 bytes are never touched."""
     texts, found = repeated_places(docs, key, text)
     ranges = found.groupBy("row").agg(F.collect_set(F.struct("start", "width")).alias("ranges"))
-    return texts.dropDuplicates(["row"]).join(ranges, "row").mapInArrow(take_out, SPANS)
+    return texts.join(ranges, "row").select("row", "t", "ranges").dropDuplicates(["row"]).mapInArrow(take_out, SPANS)
 
 
 @F.pandas_udf(StringType())

@@ -71,7 +71,7 @@ def value_key(name: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     """SQL for ``(family, whole, frac, text)`` of a column; family is NULL for a missing value.
 
     Integers, booleans and integral doubles share ``whole``, so 1 meets 1.0 but never '1';
-    64-bit keys keep all digits. Long strings are replaced by their MD5 behind a NUL byte, which
+    64-bit keys keep all digits, and decimals that no double holds are told apart by their digits. Long strings are replaced by their MD5 behind a NUL byte, which
     no short string of a text export starts with.
     """
     col = sql_name(name)
@@ -94,11 +94,16 @@ def value_key(name: str, dtype: T.DataType) -> tuple[str, str, str, str]:
     if isinstance(dtype, T.DecimalType):
         whole = f"TRY_CAST({col} AS BIGINT)"
         integral = f"COALESCE({whole} = {col}, FALSE)"
+        # A double stands for the value only if it leads back to it; else its digits do.
+        held = f"COALESCE(TRY_CAST(CAST({col} AS DOUBLE) AS {dtype.simpleString()}) = {col}, FALSE)"
+        digits = f"CAST({col} AS STRING)"
+        if dtype.scale > 0:
+            digits = f"TRIM(TRAILING '.' FROM TRIM(TRAILING '0' FROM {digits}))"
         return (
             family(NUM, col),
             f"IF({integral}, {whole}, NULL)",
-            f"IF({integral}, NULL, CAST({col} AS DOUBLE))",
-            no_text,
+            f"IF({integral} OR NOT {held}, NULL, CAST({col} AS DOUBLE))",
+            f"IF({integral} OR {held}, NULL, {digits})",
         )
     if isinstance(dtype, (T.DateType, T.TimestampType)):
         return family(TS, col), f"UNIX_MICROS(CAST({col} AS TIMESTAMP))", no_frac, no_text

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sondage.functions.variants import entries, is_object, items, member, with_type_name
+from sondage.session import durable
 
 # Fixed values.
 MIN_FIELD_PRESENT_PCT = 5.0
-MAX_INNER_FIELDS = 20
 
 
 def record_fields(records: DataFrame, keep: list[str] = (), record: str = "record") -> DataFrame:
@@ -36,8 +36,8 @@ def field_type_counts(records: DataFrame, by: list[str] = (), record: str = "rec
     return typed.groupBy(*by, "field", "type").agg(F.count("*").alias("rows"), F.count_if(start).alias("starts"))
 
 
-def catalog_of(counts: DataFrame, by: list[str] = (), min_present_pct: float = MIN_FIELD_PRESENT_PCT) -> DataFrame:
-    """``(*by, field, present_pct, types)`` of the fields present in enough records."""
+def catalog_of(counts: DataFrame, by: list[str] = (), min_present_pct: float = 0.0) -> DataFrame:
+    """``(*by, field, present_pct, types)`` of the fields present in enough records; all of them by default."""
     by = list(by)
     fields = (
         counts.filter("field IS NOT NULL")
@@ -58,25 +58,31 @@ def catalog_of(counts: DataFrame, by: list[str] = (), min_present_pct: float = M
 
 
 def field_catalog(records: DataFrame, min_present_pct: float = MIN_FIELD_PRESENT_PCT, record: str = "record") -> DataFrame:
-    """``(field, present_pct, types)`` over all records."""
-    return catalog_of(field_type_counts(records, record=record), (), min_present_pct)
+    """``(field, present_pct, types)`` over all records, without fields below ``min_present_pct``. The
+    records are parsed once; the counts, a row per field and type, are kept for the totals."""
+    return catalog_of(durable(field_type_counts(records, record=record)), (), min_present_pct)
 
 
 def object_fields(
-    records: DataFrame, source_field: str, order: Column | None = None, limit: int = MAX_INNER_FIELDS, record: str = "record"
+    records: DataFrame, source_field: str | list[str], order: Column | None = None, limit: int | None = None, record: str = "record"
 ) -> DataFrame:
-    """``(source_field, inner_field, place)``: keys of the objects in a list field, over all
-    records. They come in first-seen order by ``order`` of the record and place in the list (keys
-    of one object by name), or most frequent first when no order is given."""
+    """``(source_field, inner_field, place)``: keys of the objects in one or more list fields, over all
+    records, found in one pass. They come in first-seen order by ``order`` of the record and place in
+    the list (keys of one object by name), or most frequent first when no order is given. All keys are
+    given unless there is a ``limit``."""
     start = order if order is not None else F.lit(0)
+    names = [source_field] if isinstance(source_field, str) else list(source_field)
+    lists = [F.struct(F.lit(n).alias("source_field"), items(member(record, n)).alias("listed")) for n in names]
     found = (
-        records.select(start.alias("line"), F.posexplode(items(member(record, source_field))).alias("item_no", "item"))
+        records.select(start.alias("line"), F.inline(F.array(*lists)))
+        .select("line", "source_field", F.posexplode("listed").alias("item_no", "item"))
         .filter(is_object(F.col("item")))
-        .select("line", "item_no", F.explode(F.map_keys(entries(F.col("item")))).alias("inner_field"))
-        .groupBy("inner_field")
+        .select("line", "source_field", "item_no", F.explode(F.map_keys(entries(F.col("item")))).alias("inner_field"))
+        .groupBy("source_field", "inner_field")
         .agg(F.min(F.struct("line", "item_no", "inner_field")).alias("seen"), F.count("*").alias("uses"))
     )
     first = [F.col("seen")] if order is not None else [F.desc("uses"), F.col("inner_field")]
     place = F.row_number().over(Window.partitionBy("source_field").orderBy(*first))
-    placed = found.withColumn("source_field", F.lit(source_field)).withColumn("place", place)
-    return placed.filter(F.col("place") <= limit).select("source_field", "inner_field", "place")
+    placed = found.withColumn("place", place)
+    kept = placed if limit is None else placed.filter(F.col("place") <= limit)
+    return kept.select("source_field", "inner_field", "place")

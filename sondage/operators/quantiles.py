@@ -76,9 +76,9 @@ def _narrowed(df: DataFrame, brackets: list[Bracket], accuracy: int) -> list[Bra
     result = []
     for i, (old, new) in enumerate(zip(brackets, tighter)):
         new = replace(new, below=counted[f"below{i}"], inside=counted[f"inside{i}"])
-        if new.below > old.first or new.below + new.inside <= old.last:
-            raise RuntimeError(f"sketch bounds of {old.column} miss the wanted ranks")
-        result.append(new)
+        # A sketch that missed the wanted ranks is passed over; the bracket stays as it was.
+        missed = new.below > old.first or new.below + new.inside <= old.last
+        result.append(old if missed else new)
     return result
 
 

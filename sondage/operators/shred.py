@@ -11,7 +11,7 @@ from sondage.functions.variants import entries, is_nested, is_object, items, mem
 from sondage.operators.dedup import first_per_key
 from sondage.plans.flattening import ChildTable, FlatteningPlan
 from sondage.session import scratch_path
-from sondage.sources.sinks import replace_all
+from sondage.sources.sinks import remove, replace_all
 
 
 def main_rows(records: DataFrame, plan: FlatteningPlan, keep: list[str] = (), record: str = "record") -> DataFrame:
@@ -83,13 +83,14 @@ def table_row_counts(records: DataFrame, plan: FlatteningPlan, record: str = "re
 
 def load_records(records: DataFrame, plan: FlatteningPlan, folder: str, order: str, record: str = "record") -> DataFrame:
     """Replace the tables in ``folder`` by those of the plan, and count what was loaded. The records
-    are parsed once: their parsed form is stored, and every table is made from it."""
+    are parsed once: their parsed form is stored, every table is made from it, and it is deleted."""
     spark = records.sparkSession
     parsed = scratch_path(spark, "parsed")
     records.select(order, record).write.parquet(parsed)
     records = spark.read.parquet(parsed)
     tables = shred(records, plan, order, record)
     replace_all(spark, folder, tables)
+    remove(spark, parsed)
     written = [
         spark.read.parquet(f"{folder}/{t}.parquet").agg(F.count("*").alias("rows_loaded")).select(F.lit(t).alias("table"), "rows_loaded")
         for t in tables

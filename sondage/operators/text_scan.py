@@ -87,26 +87,24 @@ def scan_names(df: DataFrame, column: str, key: str, names: DataFrame, entity: s
 
 def casing_variants(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """``(table, column, normal_form, form, rows)`` of values that appear in more than one casing
-    or spacing. Normal forms with several spellings are found by comparing 128-bit hashes of the
-    spellings, in fixed-size aggregates that are merged before the shuffle; only the rows of those
-    forms are then counted by spelling. No group is gathered in one task."""
+    or spacing. One scan counts the spellings, merged in each task before the shuffle, so frequent ones
+    shrink; what has several is found among the counts by comparing 128-bit hashes of the spellings in
+    fixed-size aggregates. No group is gathered in one task."""
     cells = [F.struct(F.lit(c).alias("column"), quoted(c).alias("form")) for c in columns]
     forms = (
         df.select(F.inline(F.array(*cells)))
         .filter("form IS NOT NULL")
         .withColumn("normal_form", normal_form(F.col("form")))
         .filter("normal_form <> ''")
+        .groupBy("column", "normal_form", "form")
+        .agg(F.count("*").alias("rows"))
     )
     several = (
         forms.groupBy("column", "normal_form")
         .agg(*[f(F.xxhash64(F.lit(seed), "form")).alias(f"{f.__name__}{seed}") for f in (F.min, F.max) for seed in (1, 2)])
         .filter("min1 <> max1 OR min2 <> max2")
     )
-    found = (
-        forms.join(several, ["column", "normal_form"], "left_semi")
-        .groupBy("column", "normal_form", "form")
-        .agg(F.count("*").alias("rows"))
-    )
+    found = forms.join(several, ["column", "normal_form"], "left_semi")
     return found.select(F.lit(table).alias("table"), "column", "normal_form", "form", "rows")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,18 +52,20 @@ def _unique(names, exclude: str) -> list[str]:
 def table_kinds(catalog: DataFrame, by: list[str] = ()) -> DataFrame:
     """``(*by, source_field, kind)``: where each field of a catalog belongs. Scalars go to the main
     table (``main``), lists that start with objects become ``objects``, other lists ``values`` and
-    objects ``keyvalue``. A field that was seen with several shapes takes the richest one."""
+    objects ``keyvalue``. A field that was seen both as a scalar and as a list or object gets a row for
+    either; of lists and objects it takes the richest."""
 
     def some(test):
         return F.exists("types", test)
 
-    kind = (
+    child = (
         F.when(some(lambda t: t == "list[object]"), "objects")
         .when(some(lambda t: t.startswith("list[")), "values")
         .when(some(lambda t: t == "object"), "keyvalue")
-        .otherwise("main")
     )
-    return catalog.select(*by, F.col("field").alias("source_field"), kind.alias("kind"))
+    main = F.when(child.isNull() | some(lambda t: t.isin(*SCALARS) & (t != "null")), "main")
+    kinds = F.array_compact(F.array(main, child))
+    return catalog.select(*by, F.col("field").alias("source_field"), F.explode(kinds).alias("kind"))
 
 
 def key_candidates(records: DataFrame, names: list[str], record: str = "record") -> DataFrame:
@@ -94,7 +96,7 @@ def choose_key(records: DataFrame, catalog: DataFrame, record: str = "record") -
 def propose(records: DataFrame, name: str, order=None, record: str = "record", catalog: DataFrame | None = None) -> FlatteningPlan:
     """A plan by rule from the field catalog. Only field names reach the driver."""
     if catalog is None:
-        catalog = durable(catalog_of(field_type_counts(records, record=record)))
+        catalog = catalog_of(durable(field_type_counts(records, record=record)))
     return _plan_from(table_kinds(catalog), name, choose_key(records, catalog, record), records, order, record)
 
 
@@ -107,32 +109,31 @@ def proposals_by_shard(records: DataFrame, shard, runs: int = CONSENSUS_RUNS, re
 
 
 def consensus(proposals: DataFrame) -> DataFrame:
-    """``(source_field, kind)``: the union of all proposals; the first proposal that names a field
-    decides what becomes of it."""
-    place = F.row_number().over(Window.partitionBy("source_field").orderBy("proposal"))
+    """``(source_field, kind)``: the union of all proposals. Main fields of any proposal are main fields;
+    of a field's child tables the one of the first proposal that has one stays."""
+    place = F.row_number().over(Window.partitionBy("source_field", F.col("kind") == "main").orderBy("proposal"))
     return proposals.withColumn("place", place).filter("place = 1").select("source_field", "kind")
 
 
 def propose_by_consensus(records: DataFrame, name: str, shard, order=None, runs: int = CONSENSUS_RUNS, record: str = "record") -> FlatteningPlan:
-    catalog = durable(catalog_of(field_type_counts(records, record=record)))
+    catalog = catalog_of(durable(field_type_counts(records, record=record)))
     kinds = consensus(proposals_by_shard(records, shard, runs, record))
     return _plan_from(kinds, name, choose_key(records, catalog, record), records, order, record)
 
 
 def _plan_from(kinds: DataFrame, name: str, key: str, records: DataFrame, order, record: str) -> FlatteningPlan:
-    # One row per field that is common enough.
+    # One row per field and place, then one per inner field.
     rows = kinds.orderBy("source_field").collect()
     fields = tuple(r["source_field"] for r in rows if r["kind"] == "main" and r["source_field"] != key)
-    children = []
-    for r in rows:
-        if r["kind"] == "main":
-            continue
-        child = ChildTable(f"{name}_{r['source_field']}", r["source_field"], r["kind"])
-        if child.kind == "objects":
-            inner = object_fields(records, child.source_field, order, record=record).orderBy("place").collect()
-            child = replace(child, fields=tuple(i["inner_field"] for i in inner))
-        children.append(child)
-    return FlatteningPlan(name, key, fields, tuple(children))
+    inner: dict[str, list[str]] = {r["source_field"]: [] for r in rows if r["kind"] == "objects"}
+    if inner:
+        for i in object_fields(records, list(inner), order, record=record).orderBy("source_field", "place").collect():
+            inner[i["source_field"]].append(i["inner_field"])
+    children = tuple(
+        ChildTable(f"{name}_{r['source_field']}", r["source_field"], r["kind"], tuple(inner.get(r["source_field"], ())))
+        for r in rows if r["kind"] != "main"
+    )
+    return FlatteningPlan(name, key, fields, children)
 
 
 def plan_rows(spark, plan: FlatteningPlan) -> DataFrame:

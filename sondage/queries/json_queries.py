@@ -61,6 +61,41 @@ def records(spark, folder) -> DataFrame:
     return files.parse_objects(lines(spark, folder)).drop("value")
 
 
+# One field that is text, a list of objects or a list of texts, by the record; objects of 30 keys; a seldom field.
+SHAPES = """SELECT o_orderkey AS line, concat('{"order_id":', o_orderkey, ',"note":',
+        CASE o_orderkey % 3 WHEN 0 THEN concat('"', o_orderpriority, '"') WHEN 1 THEN '[{"a":1}]' ELSE '["x"]' END,
+        ',"wide":[{', array_join(transform(sequence(1, 30), i -> concat('"k', 10 + i, '":', i)), ','), '}]',
+        IF(o_orderkey % 40 = 0, ',"seldom":2', ''), '}') AS value FROM orders"""
+
+
+def shapes(spark, folder) -> DataFrame:
+    lines_ = run_over({"orders": spread(table(spark, folder, "orders"))}, SHAPES)
+    return files.parse_objects(lines_).drop("value")
+
+
+def plan_mixed_shapes(spark, folder):
+    return named(flattening.plan_rows(spark, flattening.propose(shapes(spark, folder), "record", F.col("line"))))
+
+
+def consensus_disagreeing_shards(spark, folder):
+    proposals = flattening.proposals_by_shard(shapes(spark, folder), fields.member("record", "order_id", "bigint"))
+    return flattening.consensus(proposals)
+
+
+def propose_by_consensus(spark, folder):
+    data = shapes(spark, folder)
+    shard = fields.member("record", "order_id", "bigint")
+    return named(flattening.plan_rows(spark, flattening.propose_by_consensus(data, "record", shard, F.col("line"))))
+
+
+def object_fields_wide(spark, folder):
+    return fields.object_fields(shapes(spark, folder), ["note", "wide"], F.col("line"))
+
+
+def jsonl_rejected_lines(spark, folder):
+    return files.rejected_lines(files.read_lines(spark, _written_lines(spark, folder)))
+
+
 def _written_lines(spark, folder) -> str:
     """The lines as text files whose names follow the order of the lines."""
     path = scratch_path(spark, "lines")
@@ -159,7 +194,7 @@ def first_wins_dedup(spark, folder):
     orders = table(spark, folder, "orders")
     key = F.when(F.col("o_orderkey") % 40 != 0, F.col("o_custkey"))
     rows = orders.withColumn("o_custkey", key)
-    return dedup.first_per_key(rows, F.col("o_custkey"), F.col("o_orderkey")).drop("o_orderdate")
+    return dedup.first_per_key(rows, F.col("o_custkey"), F.col("o_orderkey"))
 
 
 QUERIES = {
@@ -167,7 +202,8 @@ QUERIES = {
     for f in (
         json_lines_scan, jsonl_head_lines, json_types, field_catalog, plan_from_catalog, plan_consensus, object_fields,
         flatten_main, flatten_objects, flatten_values, flatten_keyvalue, flatten_row_counts, replace_all_load,
-        first_wins_dedup,
+        first_wins_dedup, plan_mixed_shapes, consensus_disagreeing_shards, propose_by_consensus, object_fields_wide,
+        jsonl_rejected_lines,
     )
 }
 
@@ -185,9 +221,10 @@ _TYPES = "types AS (" + union(
     f"SELECT o_orderkey AS order_id, '{field}' AS field, {kind} AS type FROM orders WHERE {test}"
     for field, (test, kind) in _FIELDS.items()
 ) + ")"
-_KIND = """CASE WHEN max(CASE WHEN type = 'list[object]' THEN 1 ELSE 0 END) = 1 THEN 'objects'
+_CHILD = """CASE WHEN max(CASE WHEN type = 'list[object]' THEN 1 ELSE 0 END) = 1 THEN 'objects'
     WHEN max(CASE WHEN type LIKE 'list[%' THEN 1 ELSE 0 END) = 1 THEN 'values'
-    WHEN max(CASE WHEN type = 'object' THEN 1 ELSE 0 END) = 1 THEN 'keyvalue' ELSE 'main' END"""
+    WHEN max(CASE WHEN type = 'object' THEN 1 ELSE 0 END) = 1 THEN 'keyvalue' END"""
+_MAIN = f"CASE WHEN {_CHILD} IS NULL OR bool_or(type IN ('bool', 'float', 'int', 'str')) THEN 'main' END"
 _OBJECT_ROWS = """SELECT o_orderkey AS order_id, i AS line, o_custkey + i AS part, CASE WHEN i = 2 THEN CAST(1.5 AS DOUBLE) END AS qty
     FROM orders, range(1, 4) AS r(i) WHERE i <= o_orderkey % 4"""
 _VALUE_ROWS = """SELECT o_orderkey AS order_id, unnest(string_split(o_orderpriority, '-')) AS value FROM orders WHERE o_orderkey % 11 <> 0
@@ -202,6 +239,11 @@ _LOOSE_COUNTS = f"""SELECT 'record' AS table_name, count(*) AS rows_seen,
     UNION ALL SELECT 'record_items', count(*), count(*) FROM ({_OBJECT_ROWS}) AS a
     UNION ALL SELECT 'record_tags', count(*), count(*) FROM ({_VALUE_ROWS}) AS b
     UNION ALL SELECT 'record_attrs', count(*), count(*) FROM ({_PAIR_ROWS}) AS c"""
+_SHAPE_KEY = "SELECT DISTINCT 'record' AS table_name, 'order_id' AS source_field, 'key' AS kind FROM orders"
+_SHAPE_ROWS = """SELECT DISTINCT 'record' AS table_name, 'note' AS source_field, 'main' AS kind FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT DISTINCT 'record_note', 'note', 'objects' FROM orders WHERE o_orderkey % 3 = 1
+    UNION ALL SELECT DISTINCT 'record_wide', 'wide', 'objects' FROM orders
+    UNION ALL SELECT DISTINCT 'record', 'seldom', 'main' FROM orders WHERE o_orderkey % 40 = 0"""
 
 ORACLES = {
     "json_lines_scan": "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS total FROM orders",
@@ -214,14 +256,23 @@ ORACLES = {
     "field_catalog": f"""WITH {_TYPES}, present AS (SELECT field, count(*) AS n FROM types GROUP BY field)
         SELECT DISTINCT field, round(n / (SELECT count(*) FROM orders) * 100, 1) AS present_pct, type
         FROM types JOIN present USING (field) WHERE n / (SELECT count(*) FROM orders) * 100 >= 5""",
-    "plan_from_catalog": f"""WITH {_TYPES}, kinds AS (SELECT field, {_KIND} AS kind FROM types GROUP BY field
-            HAVING count(*) / (SELECT count(*) FROM orders) * 100 >= 5)
+    "plan_from_catalog": f"""WITH {_TYPES}, found AS (SELECT field, {_CHILD} AS child, {_MAIN} AS main FROM types GROUP BY field),
+        kinds AS (SELECT field, child AS kind FROM found WHERE child IS NOT NULL
+            UNION ALL SELECT field, main FROM found WHERE main IS NOT NULL)
         SELECT CASE WHEN kind = 'main' THEN 'record' ELSE 'record_' || field END AS table_name, field AS source_field,
             CASE WHEN field = 'order_id' THEN 'key' ELSE kind END AS kind FROM kinds""",
-    "plan_consensus": f"""WITH {_TYPES}, shards AS (SELECT o_orderkey % 3 AS shard, count(*) AS n FROM orders GROUP BY 1),
-        proposals AS (SELECT shard, field, {_KIND} AS kind FROM types JOIN shards ON order_id % 3 = shard
-            GROUP BY shard, field, n HAVING count(*) / n * 100 >= 5)
-        SELECT field AS source_field, arg_min(kind, shard) AS kind FROM proposals GROUP BY field""",
+    "plan_consensus": f"""WITH {_TYPES}, proposals AS (SELECT order_id % 3 AS shard, field, {_CHILD} AS child, {_MAIN} AS main
+            FROM types GROUP BY 1, 2)
+        SELECT field AS source_field, arg_min(child, shard) AS kind FROM proposals WHERE child IS NOT NULL GROUP BY field
+        UNION ALL SELECT DISTINCT field, main FROM proposals WHERE main IS NOT NULL""",
+    "plan_mixed_shapes": f"""SELECT * FROM ({_SHAPE_KEY}) AS k UNION ALL SELECT * FROM ({_SHAPE_ROWS}) AS r""",
+    "consensus_disagreeing_shards": f"SELECT source_field, 'main' AS kind FROM ({_SHAPE_KEY}) AS k UNION ALL "
+    f"SELECT source_field, kind FROM ({_SHAPE_ROWS}) AS r",
+    "propose_by_consensus": f"""SELECT * FROM ({_SHAPE_KEY}) AS k UNION ALL SELECT * FROM ({_SHAPE_ROWS}) AS r""",
+    "object_fields_wide": """SELECT DISTINCT 'note' AS source_field, 'a' AS inner_field, 1 AS place FROM orders WHERE o_orderkey % 3 = 1
+        UNION ALL SELECT 'wide', 'k' || (10 + i), CAST(i AS INTEGER) FROM range(1, 31) AS r(i) WHERE EXISTS (SELECT 1 FROM orders)""",
+    "jsonl_rejected_lines": """SELECT CASE (o_orderkey // 6) % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'malformed' ELSE 'not an object' END
+        AS reason, count(*) AS lines FROM orders WHERE o_orderkey % 6 = 0 GROUP BY 1""",
     "object_fields": f"""WITH keys AS (SELECT order_id, line, unnest(CASE WHEN qty IS NULL THEN ['line', 'part']
             ELSE ['line', 'part', 'qty'] END) AS inner_field FROM ({_OBJECT_ROWS}) AS a),
         first_seen AS (SELECT inner_field, min(order_id * 10 + line) AS seen FROM keys GROUP BY inner_field)
@@ -236,7 +287,7 @@ ORACLES = {
     "flatten_keyvalue": f"SELECT *, TRY_CAST(value AS DOUBLE) AS value_num FROM ({_PAIR_ROWS}) AS p",
     "flatten_row_counts": _LOOSE_COUNTS,
     "replace_all_load": f"SELECT table_name, rows_loaded AS row_count FROM ({_LOOSE_COUNTS}) AS l",
-    "first_wins_dedup": """SELECT o_orderkey, key AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM (
+    "first_wins_dedup": """SELECT o_orderkey, key AS o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
         SELECT *, row_number() OVER (PARTITION BY key ORDER BY o_orderkey) AS place FROM (
             SELECT *, CASE WHEN o_orderkey % 40 <> 0 THEN o_custkey END AS key FROM orders) AS keyed) AS placed
         WHERE place = 1 OR key IS NULL""",

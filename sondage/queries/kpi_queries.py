@@ -50,9 +50,9 @@ SHARED = {
 }
 
 QUOTED = (
-    "SELECT round(avg(CASE WHEN {q}Timely response?{q} = 'Yes' THEN CAST(1 AS DOUBLE) ELSE 0 END) * 100, 6) AS timely_rate, "
-    "count({q}Date of order{q}) AS orders FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END "
-    "AS {q}Timely response?{q}, o_orderdate AS {q}Date of order{q} FROM orders) AS complaints"
+    "SELECT round(avg(CASE WHEN {q}Paid in full?{q} = 'Yes' THEN CAST(1 AS DOUBLE) ELSE 0 END) * 100, 6) AS paid_rate, "
+    "count({q}Day of order{q}) AS orders FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 'Yes' ELSE 'No' END "
+    "AS {q}Paid in full?{q}, o_orderdate AS {q}Day of order{q} FROM orders) AS paid_orders"
 )
 
 
@@ -108,13 +108,36 @@ def _repair(sql: str, error: str, columns: dict[str, list[str]]) -> str:
 def kpi_batch(spark, folder):
     results = kpi.run_kpis(spark, tables(spark, folder, BATCH_TABLES), BATCH, repair=_repair)
     frame = kpi.results_frame(spark, results)
-    shown = (
-        F.when(F.col("status") != "ok", F.col("status"))
-        .when(F.size("rows") == 0, "empty")
-        .when((F.size("rows") == 1) & (F.size("columns") == 1), "single value")
-        .otherwise("chart")
-    )
-    return frame.select("name", "status", "attempts", F.size("rows").cast("bigint").alias("row_count"), shown.alias("display"))
+    return frame.select("name", "status", "attempts", F.size("rows").cast("bigint").alias("row_count"), "display")
+
+
+REPORT_TABLES = ("orders", "customer", "nation")
+REPORT = [
+    kpi.Kpi("orders", "SELECT count(*) AS orders FROM orders"),
+    kpi.Kpi("customers by home", "SELECT n_name AS home, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"),
+    kpi.Kpi("mean price by status", "SELECT o_orderstatus, avg(o_totalprice) AS mean FROM orders GROUP BY o_orderstatus ORDER BY 1"),
+    kpi.Kpi("first days", "SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1"),
+    kpi.Kpi("by customer", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey"),
+    kpi.Kpi("a command", "DROP TABLE IF EXISTS orders"),
+]
+REPORT_ROWS = 30
+
+
+def _report(spark, folder):
+    """Run, guard and translate, as a report does."""
+    results = kpi.run_kpis(spark, tables(spark, folder, REPORT_TABLES), REPORT, max_rows=REPORT_ROWS)
+    lookup = run(spark, folder, LOOKUP, "nation")
+    return kpi.results_frame(spark, kpi.translate_results(results, lookup, "code", "english", F.col("entry")))
+
+
+def kpi_report(spark, folder):
+    """Every cell of every result as text."""
+    frame = _report(spark, folder).select("name", "status", "display", "truncated", F.explode_outer("rows").alias("row"))
+    return frame.select("name", "status", "display", "truncated", F.explode_outer("row").alias("field", "shown"))
+
+
+def kpi_status_counts(spark, folder):
+    return kpi.status_counts(_report(spark, folder))
 
 
 def kpi_guard(spark, folder):
@@ -149,7 +172,7 @@ def usage_cost_rollup(spark, folder):
 
 QUERIES = {name: partial(_shared, name=name) for name in SHARED} | {
     f.__name__: f
-    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_guard, translate_values, usage_cost_rollup)
+    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_report, kpi_status_counts, kpi_guard, translate_values, usage_cost_rollup)
 }
 
 
@@ -173,6 +196,23 @@ ORACLES = {name: sql for name, (_, sql) in SHARED.items()} | {
         ('big spenders', 'ok', 1, (SELECT least(count(DISTINCT o_custkey), 50) FROM orders), 'chart'),
         ('by customer', 'skipped', 1, 0, 'skipped'),
         ('by day', 'ok', 1, 0, 'empty')) AS t(name, status, attempts, row_count, display)""",
+    "kpi_report": _plain(f"""WITH homes AS (SELECT coalesce(h.english, n_name) AS home, count(*) AS n FROM customer
+            JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT code, arg_max(english, entry) AS english FROM ({LOOKUP}) AS l
+                WHERE english <> '' GROUP BY code) AS h ON h.code = n_name GROUP BY 1),
+        means AS (SELECT o_orderstatus AS status, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY 1),
+        days AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1 LIMIT {REPORT_ROWS}),
+        many AS (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) > {REPORT_ROWS} AS cut FROM orders)
+        SELECT 'orders' AS name, 'ok' AS status, 'single value' AS display, false AS truncated, 'orders' AS field,
+            CAST(count(*) AS VARCHAR) AS shown FROM orders
+        UNION ALL SELECT 'customers by home', 'ok', 'chart', false, unnest(['home', 'n']), unnest([home, CAST(n AS VARCHAR)]) FROM homes
+        UNION ALL SELECT 'mean price by status', 'ok', 'chart', false, unnest(['o_orderstatus', 'mean']),
+            unnest([status, CAST(mean AS VARCHAR)]) FROM means
+        UNION ALL SELECT 'first days', 'ok', 'chart', cut, unnest(['day', 'n']), unnest([CAST(day AS VARCHAR), CAST(n AS VARCHAR)])
+            FROM days, many
+        UNION ALL SELECT 'by customer', 'skipped', 'skipped', count(DISTINCT o_custkey) > {REPORT_ROWS}, NULL, NULL FROM orders
+        UNION ALL SELECT 'a command', 'failed', 'failed', false, NULL, NULL"""),
+    "kpi_status_counts": """SELECT * FROM (VALUES ('ok', 4::BIGINT), ('skipped', 1), ('failed', 1)) AS t(status, kpis)
+        WHERE EXISTS (SELECT 1 FROM orders)""",
     "kpi_guard": """SELECT * FROM (VALUES
         ('orders', 'ok', 1::BIGINT, NULL),
         ('orders by status', 'ok', (SELECT count(DISTINCT o_orderstatus) FROM orders), NULL),
@@ -180,8 +220,8 @@ ORACLES = {name: sql for name, (_, sql) in SHARED.items()} | {
         ('never repaired', 'failed', 0, NULL),
         ('no query', 'failed', 0, NULL),
         ('big spenders', 'skipped', 0,
-            (SELECT CAST(round(count(DISTINCT c_name) / count(*) * 100) AS INTEGER) || '% of its values are distinct' FROM customer)),
-        ('by customer', 'skipped', 0, 'name looks like an identifier'),
+            (SELECT 'distinct in ' || CAST(round(count(DISTINCT c_name) / count(*) * 100) AS INTEGER) || '% of its rows' FROM customer)),
+        ('by customer', 'skipped', 0, 'its name marks it as an identifier'),
         ('by day', 'ok', 0, NULL)) AS t(name, status, row_count, reason)""",
     "translate_values": _plain(f"""SELECT c.c_custkey, coalesce(s.english, c.c_mktsegment) AS c_mktsegment,
         coalesce(h.english, c.home) AS home FROM ({CODED}) AS c

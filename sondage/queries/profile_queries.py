@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.operators import columns, dedup, keys, occurrence, report, sampling, text_scan
+from sondage.operators import columns, dedup, keys, occurrence, quantiles, report, sampling, text_scan
 from sondage.operators.profile import DatabaseProfile
 from sondage.queries import profile_sql as sql
-from sondage.queries.inputs import TABLES, table, tables, untidy
+from sondage.queries.inputs import TABLES, run, table, tables, untidy
 from sondage.session import durable
 
 RENAMED = {"table": "table_name", "column": "column_name"}
@@ -49,6 +49,25 @@ def iqr_bounds(spark, folder):
     return named(bounds.select("table", "column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "iqr")]))
 
 
+def iqr_bounds_narrowed(spark, folder):
+    """Quartiles found by narrowing brackets to a hundred rows: the path of columns of any size."""
+    data = {"lineitem": table(spark, folder, "lineitem")}
+    names = quantiles.numeric_columns(data["lineitem"])
+    counts = data["lineitem"].agg(*[F.count(n).alias(n) for n in names]).first().asDict()
+    quartiles = quantiles.exact_quantiles(data, {"lineitem": counts}, limit=100)
+    return named(quantiles.iqr_bounds(quartiles).select("table", "column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "iqr")]))
+
+
+# Amounts beyond 2^53 and beyond 64 bits that differ in their last digits alone.
+AMOUNTS = """SELECT CAST(l_extendedprice AS DECIMAL(30,2)) + CAST('9007199254740993' AS DECIMAL(30,2)) AS fine,
+    CAST(l_orderkey AS DECIMAL(20,0)) + CAST('9223372036854775808' AS DECIMAL(20,0)) AS large,
+    CAST(l_quantity AS DECIMAL(10,1)) AS small FROM lineitem"""
+
+
+def distinct_stats_decimals(spark, folder):
+    return named(_distincts({"amounts": run(spark, folder, AMOUNTS, "lineitem")}))
+
+
 def iqr_outliers(spark, folder):
     return named(_profile(spark, folder).outliers)
 
@@ -154,7 +173,7 @@ def systematic_sample(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        table_row_counts, null_stats, distinct_stats, duplicate_rows, iqr_bounds, iqr_outliers, sample_values,
+        table_row_counts, null_stats, distinct_stats, duplicate_rows, iqr_bounds, iqr_bounds_narrowed, iqr_outliers, distinct_stats_decimals, sample_values,
         pk_candidates, distinct_values, identifier_columns, fk_candidates, known_key_columns, cardinality_ratio,
         star_candidates, breakdown_columns, free_text_columns, table_profile, column_profile, quality_rollup,
         quality_findings, systematic_sample,
@@ -181,6 +200,13 @@ ORACLES = {
         "SELECT t AS table_name, c AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr "
         "FROM bounds WHERE present > 0",
     ),
+    "iqr_bounds_narrowed": sql.with_parts(
+        [sql.BOUNDS],
+        "SELECT t AS table_name, c AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr "
+        "FROM bounds WHERE present > 0 AND t = 'lineitem'",
+    ),
+    "distinct_stats_decimals": "SELECT 'amounts' AS table_name, unnest(['fine', 'large', 'small']) AS column_name, "
+    f"unnest([count(DISTINCT fine), count(DISTINCT large), count(DISTINCT small)]) AS distinct_count FROM ({AMOUNTS}) AS a",
     "iqr_outliers": sql.with_parts(
         [sql.BOUNDS, sql.OUTLIERS], "SELECT t AS table_name, c AS column_name, outlier_count FROM outliers"
     ),

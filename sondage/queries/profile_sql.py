@@ -44,7 +44,7 @@ VALS = "vals AS MATERIALIZED (" + union(
     f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, '{_family(k)}' AS f, {_text(c, k)} AS v FROM {untidy_sql(t)} AS x "
     f"WHERE {present(c, k)} IS NOT NULL"
     for t, c, k, _ in each_column()
-) + "), sizes AS (SELECT t, c, count(*) AS d FROM vals GROUP BY t, c)"
+) + "), sizes AS MATERIALIZED (SELECT t, c, count(*) AS d FROM vals GROUP BY t, c)"
 
 FACTS = "facts AS MATERIALIZED (" + union(
     f"SELECT '{t}' AS t, '{c}' AS c, {p} AS ordinal, '{k}' AS dtype, count(*) AS n, "
@@ -119,7 +119,7 @@ FKS = """children AS (SELECT v.* FROM vals v LEFT JOIN (SELECT DISTINCT t, c FRO
     fks AS (SELECT ct, cc, pt, pc, CAST(shared AS DOUBLE) / d AS overlap FROM edges
         JOIN sizes ON sizes.t = ct AND sizes.c = cc WHERE CAST(shared AS DOUBLE) / d >= 0.9)"""
 
-RATIOS = """ratios AS (SELECT c, max(CAST(d AS DOUBLE) / n) AS ratio FROM facts JOIN sizes USING (t, c)
+RATIOS = """ratios AS MATERIALIZED (SELECT c, max(CAST(d AS DOUBLE) / n) AS ratio FROM facts JOIN sizes USING (t, c)
     WHERE n >= 100 GROUP BY c)"""
 
 TABLE_PROFILE = """table_profile AS MATERIALIZED (SELECT r.t, r.n, d.duplicate_rows,

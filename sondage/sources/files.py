@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sondage.functions.canonical import quoted
+from sondage.session import prepare
 
 
 def list_folder(spark: SparkSession, folder: str) -> list[str]:
@@ -37,11 +38,24 @@ def load_tables(spark: SparkSession, folder: str, names: list[str] | None = None
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names or list_tables(spark, folder)}
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None, multiline: bool = False) -> DataFrame:
+# Words that are often written for a missing value; a choice for ``missing``, not applied by default.
+MISSING_WORDS = ("NA", "N/A", "n/a", "null", "NULL", "NaN", "nan", "None", "#N/A", "-")
+
+
+def without_words(df: DataFrame, words=MISSING_WORDS) -> DataFrame:
+    """Text columns in which the given words stand for NULL."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({n: F.when(~F.coalesce(quoted(n).isin(*words), F.lit(False)), quoted(n)) for n in names})
+
+
+def read_csv(
+    spark: SparkSession, path, schema: T.StructType | str | None = None, multiline: bool = True, mode: str = "PERMISSIVE"
+) -> DataFrame:
     """A CSV file or folder of part files with a header row. Give a schema for large inputs: without
-    one Spark reads the data once more to infer types. ``multiline`` allows line breaks inside
-    quotes, but such files can not be split."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    one Spark reads the data once more to infer types. Line breaks inside quotes belong to the value;
+    ``multiline=False`` promises that there are none, so that large files can be split. ``mode`` is
+    Spark's: ``FAILFAST`` stops at a row that does not fit the schema."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("mode", mode)
     return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
 
 
@@ -51,7 +65,7 @@ def load_csv_folder(
     prefix: str = "",
     suffix: str = "",
     schemas: dict[str, T.StructType | str] | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> dict[str, DataFrame]:
     """One table per ``*.csv`` entry (a file, or a folder of part files) directly in ``folder``."""
     files = [n for n in list_folder(spark, folder) if n.endswith(".csv")]
@@ -77,9 +91,24 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType | st
 
 def parse_objects(lines: DataFrame, column: str = "value", into: str = "record") -> DataFrame:
     """Add the parsed record of each line; blank lines, malformed JSON and lines that hold no
-    object are dropped."""
+    object are dropped (``rejected_lines`` counts them). Of a repeated key the last value counts."""
+    prepare(lines.sparkSession)
     text = F.btrim(quoted(column), F.lit(" \t\r\n\f\v"))
     # JSON text that starts with a brace and can be read is an object. The record goes through a
     # generator, because a filter on it would otherwise parse every line a second time.
     parsed = lines.filter(text.startswith("{")).select("*", F.explode(F.array(F.try_parse_json(text))).alias(into))
     return parsed.filter(F.col(into).isNotNull())
+
+
+def rejected_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``(reason, lines)`` of the lines that ``parse_objects`` drops: ``blank``, ``malformed`` JSON (or too
+    large for a VARIANT), and JSON that is ``not an object``."""
+    prepare(lines.sparkSession)
+    text = F.btrim(quoted(column), F.lit(" \t\r\n\f\v"))
+    parsed = lines.select(text.alias("text")).select("text", F.explode(F.array(F.try_parse_json("text"))).alias("parsed"))
+    reason = (
+        F.when(F.coalesce(F.col("text"), F.lit("")) == "", "blank")
+        .when(F.col("parsed").isNull(), "malformed")
+        .when(~F.col("text").startswith("{"), "not an object")
+    )
+    return parsed.select(reason.alias("reason")).filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("lines"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sondage.sources.files import list_folder, list_tables
+from sondage.sources.files import list_tables
 
 
 def write_table(df: DataFrame, folder: str, table: str, append: bool = False) -> str:
@@ -27,19 +28,31 @@ def append_chunks(chunks: Iterable[DataFrame], folder: str, table: str) -> int:
 
 
 def replace_all(spark: SparkSession, folder: str, tables: dict[str, DataFrame]) -> None:
-    """Make ``folder`` hold exactly these tables: tables of an earlier load disappear first. The
-    new tables must not be read from the same folder."""
+    """Make ``folder`` hold exactly these tables. All of them are written beside the old ones first, and
+    only when that has succeeded do they take their places."""
     jvm = spark.sparkContext._jvm
-    system = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for stale in list_tables(spark, folder):
-        system.delete(jvm.org.apache.hadoop.fs.Path(f"{folder}/{stale}.parquet"), True)
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    beside = f"{folder}/_load-{uuid.uuid4().hex}"
     for table, df in tables.items():
-        write_table(df, folder, table)
+        write_table(df, beside, table)
+    for stale in list_tables(spark, folder):
+        system.delete(path(f"{folder}/{stale}.parquet"), True)
+    for table in tables:
+        system.rename(path(f"{beside}/{table}.parquet"), path(f"{folder}/{table}.parquet"))
+    remove(spark, beside)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the engine's own making."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    """Part files with a header each; ``compression`` such as gzip or bzip2."""
+    """Part files with a header each; ``compression`` such as gzip or bzip2. Blanks at the ends of values stay."""
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     (writer.option("compression", compression) if compression else writer).csv(path)
 
 
@@ -52,5 +65,3 @@ def append_run_log(df: DataFrame, path: str) -> None:
     """Add rows to a JSON Lines log, stamped with the time of the run (UTC)."""
     write_json(df.withColumn("timestamp", F.current_timestamp()), path, append=True)
 
-
-__all__ = ["append_chunks", "append_run_log", "list_folder", "replace_all", "write_csv", "write_json", "write_table"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sondage.llm import bpe, decontaminate, embeddings, language_model, minhash, quality, suffix, token_files, toxicity, urls
+from sondage.llm import bpe, decontaminate, embeddings, language_model, minhash, oracles, quality, suffix, token_files, toxicity, urls
 from sondage.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,4 +65,7 @@ QUERIES = {
     "op5_quality": op5_quality, "op6_language_model": op6_language_model, "op7_urls": op7_urls,
     "op8_token_counts": op8_token_counts, "op9_decontamination": op9_decontamination, "op10_suffixes": op10_suffixes,
 }
-ORACLES: dict[str, str] = {}
+#: The others learn, draw or compress what SQL cannot; tests/llm compares them with plain versions.
+ORACLES = {
+    "op1_embeddings": oracles.EMBEDDINGS, "op3_minhash": oracles.MINHASH, "op7_urls": oracles.urls(URL_RULES),
+}

@@ -161,7 +161,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     listed = prints_of(table).select("item", "n_words", "item_print", F.explode(F.array(*(F.struct(F.lit(i).alias("block"), block("item_print", i).alias("value")) for i in range(BLOCKS)))).alias("b"))
     near = listed.select("item", "n_words", "item_print", F.col("b.block").alias("block"), F.col("b.value").alias("value"), F.explode(neighbours()).alias("change"))
     near = near.select("item", "n_words", "item_print", "block", F.col("value").bitwiseXOR(F.col("change")).alias("value"))
-    met = seen.select("n_words", "content", "print", "b.block", "b.value").join(near, ["n_words", "block", "value"])
+    met = seen.select("n_words", "content", "print", "b.block", "b.value").join(near.hint("merge"), ["n_words", "block", "value"])
+    # (The planner takes the neighbours to be as few as the items, hence the hint.)
     close = met.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS).select("item", "n_words", "content").distinct()
 
     sets = distinct.select("n_words", "content", counted("shingles").alias("window_set"))

@@ -40,8 +40,9 @@ def fk_candidates(
     """
     columns = [s for s in slots if s.column is not None]
     hinted = [s for s in columns if any(h in s.column.lower() for h in IDENTIFIER_HINTS)]
-    shared = slot_overlaps(sigs, slots, hinted, columns)
-    # The three tables below hold one row per column.
+    # Keys, sizes and risky columns have one row per column at most.
+    confirmed = {(r["table"], r["column"]) for r in keys.select("table", "column").collect()}
+    shared = slot_overlaps(sigs, slots, hinted, [s for s in columns if (s.table, s.column) in confirmed] or columns)
     sizes = distincts.selectExpr("`table` AS child_table", "column AS child_column", "distinct_count AS child_values")
     parents = keys.selectExpr("`table` AS parent_table", "column AS parent_column")
     edges = shared.join(F.broadcast(parents), ["parent_table", "parent_column"], "left_semi")

@@ -134,7 +134,7 @@ def slot_distincts(sigs: DataFrame, slots: list[Slot]) -> DataFrame:
 def slot_overlaps(sigs: DataFrame, slots: list[Slot], children: list[Slot], parents: list[Slot]) -> DataFrame:
     """``(child_table, child_column, parent_table, parent_column, shared)`` for column pairs of
     different tables that share at least one value. Pairs are formed per signature, not per
-    value, so their number depends on the number of columns alone."""
+    value, so their number depends on how many signatures there are; few columns should be parents."""
     pairs = (
         sigs.select(_present_slots(children).alias("kids"), _present_slots(parents).alias("olds"), "values")
         .select(F.explode("kids").alias("child"), "olds", "values")

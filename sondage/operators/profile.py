@@ -123,9 +123,9 @@ class DatabaseProfile:
             if self.pii_sample is None:
                 scans = [text_scan.scan_pii(df, names, self.entities)]
             else:
-                scans = [
-                    text_scan.scan_pii_sample(df, c, quoted(c), self.pii_sample, self.entities) for c in names
-                ]
+                # Rows are drawn by all that they hold, so that copies of one text are drawn one by one.
+                key = F.to_json(F.struct(*map(quoted, df.columns)))
+                scans = [text_scan.scan_pii_sample(df, c, key, self.pii_sample, self.entities) for c in names]
             parts += [s.select(F.lit(table).alias("table"), "*") for s in scans]
         return durable(reduce(DataFrame.unionAll, parts)) if parts else None
 

@@ -102,6 +102,13 @@ def usage_cost(calls: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def usage_by_call(calls: DataFrame, by: list[str]) -> DataFrame:
+    """Each call with its tokens and price, and the calls, tokens and price of its run beside them."""
+    run = usage_cost(calls, by).select(*by, *[F.col(c).alias(f"run_{c}") for c in ("calls", "total_tokens", "cost_usd", "cost_eur")])
+    priced = call_costs(calls).withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
+    return priced.withColumn("cost_usd", F.round("cost_usd", 6)).join(run, by)
+
+
 def report_document(profile: DatabaseProfile, kpis: DataFrame) -> DataFrame:
     """The report as one nested row, ready for ``write_json``. Its lists hold one entry per table,
     key edge, finding or KPI."""

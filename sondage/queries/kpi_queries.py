@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from sondage.operators import kpi, report
 from sondage.operators.profile import DatabaseProfile
 from sondage.queries.inputs import run, table, tables
+from sondage.session import scratch_path
+from sondage.sources import files, sinks
 
 # Answered alike by Spark and the checking database; breakdowns break ties by their label.
 SHARED = {
@@ -170,9 +172,21 @@ def usage_cost_rollup(spark, folder):
     return report.usage_cost(run(spark, folder, CALLS, "conversations"), ["run"])
 
 
+CALLS_IN_ORDER = CALLS.replace("AS run,", "AS run, turn AS call,")
+
+
+def usage_by_call(spark, folder):
+    """Costs by call and run, added to a run log in two loads and read back."""
+    found = report.usage_by_call(run(spark, folder, CALLS_IN_ORDER, "conversations"), ["run"])
+    path = scratch_path(spark, "usage")
+    for half in (0, 1):
+        sinks.append_run_log(found.filter(F.col("run") % 2 == half), path)
+    return files.read_json_document(spark, path, found.schema)
+
+
 QUERIES = {name: partial(_shared, name=name) for name in SHARED} | {
     f.__name__: f
-    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_report, kpi_status_counts, kpi_guard, translate_values, usage_cost_rollup)
+    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_report, kpi_status_counts, kpi_guard, translate_values, usage_cost_rollup, usage_by_call)
 }
 
 
@@ -229,6 +243,13 @@ ORACLES = {name: sql for name, (_, sql) in SHARED.items()} | {
             ON s.code = c.c_mktsegment
         LEFT JOIN (SELECT code, arg_max(english, entry) AS english FROM ({LOOKUP}) AS b WHERE english <> '' GROUP BY code) AS h
             ON h.code = c.home"""),
+    "usage_by_call": f"""WITH calls AS ({CALLS_IN_ORDER}), runs AS (SELECT run, count(*) AS run_calls,
+            CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS run_total_tokens,
+            round(sum(prompt_tokens) / 1e6 * 0.15 + sum(completion_tokens) / 1e6 * 0.60, 6) AS run_cost_usd,
+            round((sum(prompt_tokens) / 1e6 * 0.15 + sum(completion_tokens) / 1e6 * 0.60) * 0.86, 6) AS run_cost_eur FROM calls GROUP BY run)
+        SELECT run, call, prompt_tokens, completion_tokens, round(prompt_tokens / 1e6 * 0.15 + completion_tokens / 1e6 * 0.60, 6) AS cost_usd,
+            prompt_tokens + completion_tokens AS total_tokens, run_calls, run_total_tokens, run_cost_usd, run_cost_eur
+        FROM calls JOIN runs USING (run)""",
     "usage_cost_rollup": f"""SELECT run, count(*) AS calls, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
         CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
         CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS total_tokens,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondage.functions.canonical import is_string
 from sondage.operators import columns, dedup, keys, occurrence, quantiles, report, sampling, text_scan
 from sondage.operators.profile import DatabaseProfile
 from sondage.queries import profile_sql as sql
@@ -86,7 +87,9 @@ def distinct_values(spark, folder):
 
 
 def identifier_columns(spark, folder):
-    facts = columns.column_facts(untidy(spark, folder))
+    data = untidy(spark, folder)
+    hinted = {t: [c for c in df.columns if any(h in c.lower() for h in keys.IDENTIFIER_HINTS)] for t, df in data.items()}
+    facts = columns.column_facts({t: data[t].select(*names) for t, names in hinted.items() if names})
     return named(facts.filter(keys.looks_like_identifier(F.col("column"))).select("table", "column", "non_null"))
 
 
@@ -116,7 +119,8 @@ def breakdown_columns(spark, folder):
 
 
 def free_text_columns(spark, folder):
-    data = untidy(spark, folder)
+    data = {t: df.select(*[f.name for f in df.schema if is_string(f.dataType)]) for t, df in untidy(spark, folder).items()}
+    data = {t: df for t, df in data.items() if df.columns}
     flags = text_scan.free_text_flags(columns.column_facts(data), _distincts(data))
     return named(flags.withColumns({c: F.round(c, 4) for c in ("avg_length", "distinct_ratio")}))
 

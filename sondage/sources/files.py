@@ -52,7 +52,7 @@ def read_csv(
     spark: SparkSession, path, schema: T.StructType | str | None = None, multiline: bool = True, mode: str = "PERMISSIVE"
 ) -> DataFrame:
     """A CSV file or folder of part files with a header row. Give a schema for large inputs: without
-    one Spark reads the data once more to infer types. Line breaks inside quotes belong to the value;
+    one Spark reads the data once more to infer types. Empty values are NULL. Line breaks inside quotes belong to the value;
     ``multiline=False`` promises that there are none, so that large files can be split. ``mode`` is
     Spark's: ``FAILFAST`` stops at a row that does not fit the schema."""
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("mode", mode)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.tables import stored
+from sondage.llm.tables import finished, stored
 
 
+@finished
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links (a, b)``: the smallest node it can be reached from.
 

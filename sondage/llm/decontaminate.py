@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.llm.tables import let, row_key, stored
+from sondage.llm.tables import finished, let, row_key, stored
 
 WORDS = 5
 #: 5 * shared >= 4 * all is a similarity of 0.8.
@@ -136,6 +136,7 @@ def neighbours(radius: int = RADIUS) -> Column:
     return F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda x: F.bit_count(x) <= radius // BLOCKS)
 
 
+@finished
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(key, item_key, similarity, place)``: for each row of ``docs`` and each item that it holds, the greatest
     similarity of a window and the word at which the first such window starts.

@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType
 
 from sondage.llm.components import components
 from sondage.llm.minhash import by_group
-from sondage.llm.tables import prepare, stored, tiles
+from sondage.llm.tables import finished, prepare, stored, tiles
 
 COSINE = 0.98
 BLOCK_DIMS, GRID_DIMS = 8, 2
@@ -187,6 +187,7 @@ def forest(x: np.ndarray, y: np.ndarray, parent: dict[int, int]) -> list[tuple[i
     return out
 
 
+@finished
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """``(key, n_links, component_id, kept)`` for each row of ``vectors``.
 

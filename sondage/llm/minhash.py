@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from sondage.llm.components import components
-from sondage.llm.tables import Memo, fold, mix, pieces, stored, tiles, utf8
+from sondage.llm.tables import Memo, finished, fold, mix, pieces, stored, tiles, utf8
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -153,6 +153,7 @@ def by_group(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield tuple(held[0][names].iloc[0]), pd.concat(held)
 
 
+@finished
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sondage.session import scratch_path
+from sondage.sources.sinks import remove
 
 #: Texts are handed to numpy in pieces of about so many bytes, whatever the number of rows.
 BATCH_BYTES = 4 << 20
@@ -39,9 +41,37 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if _kept:
+        _kept[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Paths stored by the operators that are running, innermost last.
+_kept: list[list[str]] = []
+
+
+def finished(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose result is stored, and whose intermediate tables are deleted once it is."""
+
+    @wraps(operator)
+    def run(table: DataFrame, *args, **options) -> DataFrame:
+        _kept.append([])
+        try:
+            result = operator(table, *args, **options)
+            inner, _kept[-1] = _kept[-1], []
+            result = stored(result, operator.__name__)
+            path = _kept[-1]
+        finally:
+            _kept.pop()
+        for old in inner:
+            remove(table.sparkSession, old)
+        if _kept:
+            _kept[-1] += path
+        return result
+
+    return run
+
+
 def utf8(text: str = "text") -> Column:
     """A text's bytes; null counts as empty."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))

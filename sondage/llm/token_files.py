@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sondage.llm.bpe import codec, definition
-from sondage.llm.tables import pieces, stored, utf8
+from sondage.llm.tables import finished, pieces, stored, utf8
 
 #: Ids in a block, and blocks (or groups of them) that one step of the prefix scan reads together.
 BLOCK_IDS, FAN = 1 << 16, 1 << 10
@@ -127,6 +127,7 @@ def token_counts(blocks: DataFrame, end: int, width: int = 2) -> DataFrame:
     return each.select("file", "block", "position", *extra, (F.col("ids") + first).alias("n_tokens"))
 
 
+@finished
 def document_counts(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Write all documents to flat token files and count each one's tokens from these alone."""
     flat = stored(write_flat(docs, path, end=end), "flat")

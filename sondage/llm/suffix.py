@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sondage.llm.tables import mix, pieces, row_key, stored, utf8
+from sondage.llm.tables import finished, mix, pieces, row_key, stored, utf8
 
 LENGTH, GRAM = 400, 64
 #: A block of places ends at a mark; if none follows within REACH places, the place is its own block.
 REACH, MARK_GRAM, MARK_SHARE = 32, 8, 10
 ROWS, CHUNK = 400_000, 16_384
+#: Distinct blocks that a task remembers, some 200 bytes each.
+SEEN = 500_000
 #: Blocks that share a suffix with more than so many others are taken place by place.
 CROWD = 4_096
 
@@ -187,21 +189,42 @@ BLOCK = "token bigint, row bigint, mark bigint, near int, far int, around binary
 
 def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Block rows of the texts' candidate places: the digest of the LENGTH - REACH + 1 bytes from the mark
-    on, and the REACH - 1 bytes on either side of them."""
-    roller, stem = Roller(), LENGTH - REACH + 1
+    on, and those of the REACH - 1 bytes on either side that passages of the block reach.
+
+    Of equal blocks in one task only the first is sent on. The places of all of them repeat, and are given
+    at once, as rows without bytes around them; so what is very common shrinks before it is dealt out."""
+    roller, stem, wide = Roller(), LENGTH - REACH + 1, REACH - 1
+    seen: dict[tuple, tuple[int, int] | None] = {}
     for part, texts in pieces(batches, "t"):
-        out = []
+        sent, known = [], []
         for row, document, ranges in zip(part.column(0).to_pylist(), texts, part.column(2).to_pylist(), strict=True):
             ranges = np.array([(r["start"], r["width"]) for r in ranges], np.int64).reshape(-1, 2)
-            places = place_ranges(ranges, len(document))
-            mark, near, far, sums = blocks(document, places, roller)
-            token = roller.digest(sums, mark, mark + stem)
-            around = [document[max(0, m - REACH + 1) : m].rjust(REACH - 1, b"\0") + document[m + stem : m + LENGTH].ljust(REACH - 1, b"\0") for m in mark.tolist()]
-            out.append((_signed(token), np.full(len(mark), row), mark, near, far, around))
-        if out:
-            columns = list(zip(*out, strict=True))
-            arrays = [pa.array(np.concatenate(c)) for c in columns[:3]] + [pa.array(np.concatenate(c).astype(np.int32)) for c in columns[3:5]]
-            yield pa.record_batch([*arrays, pa.array([a for c in columns[5] for a in c], pa.binary())], names=["token", "row", "mark", "near", "far", "around"])
+            marks, nears, fars, sums = blocks(document, place_ranges(ranges, len(document)), roller)
+            tokens = _signed(roller.digest(sums, marks, marks + stem))
+            if len(seen) > SEEN:
+                seen.clear()
+            run: list[int] | None = None
+            for token, mark, near, far in zip(tokens.tolist(), marks.tolist(), nears.tolist(), fars.tolist(), strict=True):
+                around = document[max(0, mark - far) : mark].rjust(wide, b"\0") + document[mark + stem : mark + LENGTH - near].ljust(wide, b"\0")
+                key = (token, near, far, around)
+                if key not in seen:
+                    seen[key] = (row, mark)
+                    sent.append((token, row, mark, near, far, around))
+                    continue
+                if seen[key]:
+                    first, there = seen[key]
+                    known.append((0, first, there, near, far, None))
+                    seen[key] = None
+                # Neighbouring blocks of a text become one range.
+                if run and run[2] == mark - far - 1:
+                    run[2], run[4] = mark - near, run[4] + far - near + 1
+                else:
+                    run = [0, row, mark - near, 0, far - near, None]
+                    known.append(run)
+        if sent or known:
+            columns = list(zip(*sent, *known, strict=True))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["token", "row", "mark", "near", "far", "around"])
 
 
 def around_digests(around: np.ndarray, which: int) -> Iterator[np.ndarray]:
@@ -298,7 +321,9 @@ def repeated_places(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
     ranges = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "width")).alias("ranges"))
     texts = stored(named.join(ranges, "row").select("row", "t", "ranges").dropDuplicates(["row"]), "texts")
 
-    rows = stored(texts.mapInArrow(cut_blocks, BLOCK), "blocks")
+    given = stored(texts.mapInArrow(cut_blocks, BLOCK), "blocks")
+    rows = given.where("around IS NOT NULL")
+    known = given.where("around IS NULL").select("row", (F.col("mark") - F.col("far")).alias("start"), (F.col("far") - F.col("near") + 1).cast("int").alias("width"))
     crowded = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("token")
     crowded = stored(crowded, "crowded")
     parts, busy = parts_for(rows.count()), not crowded.isEmpty()
@@ -307,7 +332,7 @@ def repeated_places(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
     if busy:
         loud = stored(rows.join(crowded, "token", "left_semi").mapInArrow(single_places, KEYED), "places")
         found = found.unionByName(repeated(loud, parts_for(loud.count())))
-    return named, stored(found.unionByName(same), "repeated")
+    return named, stored(found.unionByName(known).unionByName(same), "repeated")
 
 
 SPANS = "row bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary"
@@ -326,6 +351,7 @@ def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([part.column(0), pa.array(every, kind), pa.array(kept, pa.binary())], names=["row", "spans", "kept"])
 
 
+@finished
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(row, spans, kept)`` for each distinct row of ``docs`` that repeated passages may touch: the merged
     byte ranges to remove and the bytes that stay. ``row`` is ``row_key(key, text)``.

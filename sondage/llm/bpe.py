@@ -72,9 +72,9 @@ class Codec:
                 self.automaton.add_word(written, (token, len(written)))
         self.automaton.make_automaton()
         # Keys are two tokens in one number.
-        self.follows = Memo(lambda pair: self.crossing(pair >> 32, pair & 0xFFFFFFFF) is None, 400_000)
-        self.piece = Memo(self.encode_piece)
-        self.word = Memo(self.encode_word, 200_000)
+        self.follows = Memo(lambda pair: self.crossing(pair >> 32, pair & 0xFFFFFFFF) is None, 200_000)
+        self.piece = Memo(self.encode_piece, 150_000)
+        self.word = Memo(self.encode_word, 100_000)
         self.bytes_of = {**self.text, **{i: t.encode() for t, i in self.special.items()}}
 
     def edge(self, edges: dict, half: int | None, token: int) -> tuple[tuple[int, int], ...]:
@@ -138,6 +138,11 @@ class Codec:
                 return mark.join(self.encode(part, specials) for part in text.split(content))
         return self.encode_plain(text)
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts, so that an idle worker holds only the vocabulary."""
+        for memo in (self.follows, self.piece, self.word):
+            memo.clear()
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
@@ -166,6 +171,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
         own = codec(shared.value)
         for part in parts:
             yield pd.Series([own.encode(x or "", specials) for x in part], dtype=object)
+        own.forget()
 
     return docs.withColumn(ids, encoded(F.col(text)))
 

@@ -53,6 +53,7 @@ def write_flat(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                     pending, block = [(n, stop - size) for n, stop in pending if stop > size], block + 1
         if held:
             yield cut(block)
+        own.forget()
 
     return docs.select(F.col(key).cast("bigint"), utf8(text).alias("t")).mapInArrow(run, FLAT)
 

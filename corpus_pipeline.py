@@ -22,10 +22,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near duplicates; the first of rows that repeat it, and every
-    row whose id is null."""
+    """The document of least id of each group of near duplicates, texts whose five-word shingles have a
+    similarity of 0.8 or more; the first of rows that repeat it, and every row whose id is null."""
     prepare(spark)
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = minhash.near_duplicates(docs, at=minhash.AT_80).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
     named, unnamed = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
     return named.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
 

@@ -7,7 +7,8 @@ together; every link is confirmed on the full shingle sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,20 +22,33 @@ from sondage.llm.components import components
 from sondage.llm.tables import Memo, finished, fold, mix, pieces, stored, tiles, utf8
 
 WORDS = 5
-#: Links have 100 * intersection >= PERCENT * union.
-PERCENT = 85
-#: 128 orders, two values each. A link of similarity 0.85 shares no band of eight values with
-#: probability (1 - 0.85^8)^40 < 1e-5 at most.
+#: 128 orders, two values each.
 ORDERS = 128
-BANDS, ROWS = 40, 8
-#: Two texts that met in a band are compared on their sets if this share of their values agrees at
-#: least: four standard deviations below a similarity of 0.85.
-LIKELY = 0.76
 TILE = 1024
 
 _generator = np.random.default_rng(20)
 FACTORS = _generator.integers(1, 1 << 31, ORDERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-BAND_VALUES = np.stack([_generator.permutation(2 * ORDERS)[:ROWS] for _ in range(BANDS)])
+
+
+@dataclass(frozen=True)
+class Similarity:
+    """Links have 100 * intersection >= percent * union. Two texts that met in a band are compared on their
+    sets if a share of ``likely`` of their values agrees at least."""
+
+    percent: int
+    likely: float
+    #: The places of each band's values in a signature.
+    bands: np.ndarray
+
+
+def similarity(percent: int, likely: float, bands: int, rows: int) -> Similarity:
+    return Similarity(percent, likely, np.stack([_generator.permutation(2 * ORDERS)[:rows] for _ in range(bands)]))
+
+
+#: A link of just the percentage shares no band with probability (1 - 0.85^8)^40 or (1 - 0.8^7)^50, both below
+#: 1e-5, at most; ``likely`` is four standard deviations below it.
+AT_85 = similarity(85, 0.76, bands=40, rows=8)
+AT_80 = similarity(80, 0.70, bands=50, rows=7)
 
 
 def word_numbers() -> Memo:
@@ -71,7 +85,7 @@ def signature(members: np.ndarray) -> np.ndarray:
 SUMMARY = "key bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, signature binary"
 
 
-def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similarity = AT_85) -> DataFrame:
     """One row per text: size of its shingle set, a 128-bit name of the set, band keys, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +96,7 @@ def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
                 members = shingles(fold(document), numbers)
                 values = signature(members)
                 names = [int(mix(members ^ np.uint64(salt)).sum(dtype=np.uint64).astype(np.int64)) for salt in (0, 0x9E3779B97F4A7C15)]
-                bands = [xxhash.xxh64_intdigest(values[b].tobytes()) - (1 << 63) for b in BAND_VALUES]
+                bands = [xxhash.xxh64_intdigest(values[b].tobytes()) - (1 << 63) for b in at.bands]
                 rows.append((len(members), *names, bands, values.tobytes()))
             columns = list(zip(*rows, strict=True))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
@@ -91,47 +105,55 @@ def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return docs.select(F.col(key).cast("bigint").alias("key"), utf8(text).alias("t")).mapInArrow(run, SUMMARY)
 
 
-@F.pandas_udf(BooleanType())
-def linked(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def linked(percent: int) -> Callable:
     """Whether two texts' full shingle sets are similar enough."""
-    numbers = word_numbers()
-    for left, right in parts:
-        out = []
-        for a, b in zip(left, right, strict=True):
-            x, y = shingles(fold(a), numbers), shingles(fold(b), numbers)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-        yield pd.Series(out)
+
+    @F.pandas_udf(BooleanType())
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        numbers = word_numbers()
+        for left, right in parts:
+            out = []
+            for a, b in zip(left, right, strict=True):
+                x, y = shingles(fold(a), numbers), shingles(fold(b), numbers)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pd.Series(out)
+
+    return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, at: Similarity) -> DataFrame:
     """Those of the pairs ``(a, b)`` whose texts are linked."""
     right = pairs.join(texts.select(F.col("key").alias("b"), F.col("t").alias("text_b")), "b")
     both = right.join(texts.select(F.col("key").alias("a"), F.col("t").alias("text_a")), "a")
-    return both.where(linked("text_a", "text_b")).select("a", "b")
+    return both.where(linked(at.percent)("text_a", "text_b")).select("a", "b")
 
 
-def likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def likely_pairs(similar: Similarity) -> Callable:
     """Pairs of different components in one tile whose signatures agree enough, each from the first band
     that they share. Rows come sorted by tile; a tile has about twice TILE rows at most."""
-    for (band, *_), frame in by_group(batches, ["band", "bucket", "tile_i", "tile_j"]):
-        left, right = frame[frame.side == 0], frame[frame.side == 1]
-        diagonal = frame.tile_i.iat[0] == frame.tile_j.iat[0]
-        right = left if diagonal else right
-        if left.empty or right.empty:
-            continue
-        values = np.frombuffer(b"".join(right.signature), np.uint16).reshape(len(right), -1)
-        keys, parts = right.key.to_numpy(), right.component.to_numpy()
-        for key, part, own in zip(left.key, left.component, left.signature, strict=True):
-            wanted = (parts != part) & ((keys > key) if diagonal else True)
-            if wanted.any():
-                at = np.flatnonzero(wanted)
-                equal = values[at] == np.frombuffer(own, np.uint16)
-                enough = equal.mean(axis=1) >= LIKELY
-                at, equal = at[enough], equal[enough]
-                at = at[~equal[:, BAND_VALUES[:band]].all(axis=2).any(axis=1)]
-                if len(at):
-                    yield pa.record_batch([pa.array(np.minimum(keys[at], key)), pa.array(np.maximum(keys[at], key))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (band, *_), frame in by_group(batches, ["band", "bucket", "tile_i", "tile_j"]):
+            left, right = frame[frame.side == 0], frame[frame.side == 1]
+            diagonal = frame.tile_i.iat[0] == frame.tile_j.iat[0]
+            right = left if diagonal else right
+            if left.empty or right.empty:
+                continue
+            values = np.frombuffer(b"".join(right.signature), np.uint16).reshape(len(right), -1)
+            keys, parts = right.key.to_numpy(), right.component.to_numpy()
+            for key, part, own in zip(left.key, left.component, left.signature, strict=True):
+                wanted = (parts != part) & ((keys > key) if diagonal else True)
+                if wanted.any():
+                    at = np.flatnonzero(wanted)
+                    equal = values[at] == np.frombuffer(own, np.uint16)
+                    enough = equal.mean(axis=1) >= similar.likely
+                    at, equal = at[enough], equal[enough]
+                    at = at[~equal[:, similar.bands[:band]].all(axis=2).any(axis=1)]
+                    if len(at):
+                        yield pa.record_batch([pa.array(np.minimum(keys[at], key)), pa.array(np.maximum(keys[at], key))], names=["a", "b"])
+
+    return run
 
 
 def by_group(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
@@ -154,17 +176,17 @@ def by_group(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
 
 
 @finished
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similarity = AT_85) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
 
     Words are parted by ASCII white space, A-Z in lower case; the set of a text has its distinct five-word
     shingles, or all its words as one shingle if they are fewer. Texts with a shared-to-all ratio of at
-    least 85 % are linked; ``component_id`` is the least key a text reaches over links, ``kept`` marks
-    the rows of that key. Null, empty and blank texts have no shingles and form components of their own.
+    least ``at.percent`` are linked; ``component_id`` is the least key a text reaches over links, ``kept``
+    marks the rows of that key. Null, empty and blank texts have no shingles and form components of their own.
     Texts are read whole. Equal sets are one node from the start, so copies cost nothing further.
     Repeated rows give repeated rows, and a key on several texts joins them only where links do. Null
     keys stay alone, with a null component, and are kept."""
-    every = stored(summarise(docs, key, text), "summaries")
+    every = stored(summarise(docs, key, text, at), "summaries")
     named = every.where("n_shingles > 0 AND key IS NOT NULL")
     alike = ["set_hi", "set_lo"]
     nodes = stored(
@@ -185,8 +207,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # First everything against the least key of its bucket.
     sizes = nodes.select(F.col("key").alias("hub"), F.col("n_shingles").alias("hub_size"))
     stars = met.where("hub < key").select("hub", "key", "n_shingles").distinct().join(sizes, "hub")
-    stars = stars.where(f"100 * least(n_shingles, hub_size) >= {PERCENT} * greatest(n_shingles, hub_size)")
-    links = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("key").alias("b")), texts), "stars")
+    stars = stars.where(f"100 * least(n_shingles, hub_size) >= {at.percent} * greatest(n_shingles, hub_size)")
+    links = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("key").alias("b")), texts, at), "stars")
     joined = stored(components(links).withColumnRenamed("node", "key"), "joined")
 
     # Then, in buckets that still hold several components, across those.
@@ -195,8 +217,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rest = placed.join(mixed.select("band", "bucket"), ["band", "bucket"]).select("band", "bucket", "key", "component")
     rest = tiles(rest, ["band", "bucket"], "key", TILE).join(nodes.select("key", "signature"), "key")
     tile = ["band", "bucket", "tile_i", "tile_j"]
-    pairs = rest.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(likely_pairs, "a bigint, b bigint").distinct()
-    links = links.unionByName(confirmed(pairs, texts))
+    pairs = rest.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(likely_pairs(at), "a bigint, b bigint").distinct()
+    links = links.unionByName(confirmed(pairs, texts, at))
 
     found = components(links).withColumnRenamed("node", "low")
     sets = nodes.select(*alike, F.col("key").alias("low")).join(found, "low", "left")

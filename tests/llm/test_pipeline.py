@@ -54,3 +54,24 @@ def test_stages_keep_extra_columns_repeated_rows_and_nulls(spark, tmp_path):
     assert corpus_pipeline.tokenize(spark, docs, FOLDER).count() == 4
     empty = docs.limit(0)
     assert all(stage(spark, empty, FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_near_copies_from_a_similarity_of_four_fifths_on_are_dropped(spark):
+    base = [f"w{i}" for i in range(104)]
+    # A changed word takes five of 100 shingles out: similarities of 95 / 105, 90 / 110, 85 / 115.
+    copies = [" ".join("new" if i in at else w for i, w in enumerate(base)) for at in ([], [50], [20, 80], [20, 50, 80])]
+    for first, second, kept in ((0, 1, [1]), (0, 2, [1]), (0, 3, [1, 2])):
+        docs = cases.documents(spark, [copies[first], copies[second]], first=1)
+        assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, FOLDER).collect()) == kept
+
+
+def test_near_duplicate_stage_matches_comparing_all_pairs_at_four_fifths(spark):
+    texts = dict(enumerate([*cases.near_copies(3, 8, 8), *cases.near_copies(4, 3, 30)]))
+    sets, groups = {i: set(cases.shingles(cases.fold(t))) for i, t in texts.items()}, cases.Groups(texts)
+    for a in texts:
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                groups.join(a, b)
+    kept = {i for i in texts if groups.root(i) == i}
+    assert kept < {i for i, (_, root) in cases.near_duplicate_groups(texts).items() if i == root}
+    assert {r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, cases.documents(spark, texts.values()), FOLDER).collect()} == kept

@@ -13,6 +13,9 @@ from sondage.llm import bpe, decontaminate, minhash, quality, suffix
 from sondage.llm.queries import TOKENIZER
 from sondage.llm.tables import prepare, stored, table
 
+#: Repeated passages of so many words are cut, however few bytes they have.
+PASSAGE = 51
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject. All of them go through it."""
@@ -31,10 +34,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with passages of 400 bytes that stand in more than one place cut out of their texts;
-    ``n_chars`` is counted anew where a text changes. A text may end up empty; its row stays."""
+    """All documents, with passages of over 50 words and passages of 400 bytes that stand in more than one
+    place cut out of their texts; ``n_chars`` is counted anew where a text changes. A text may end up empty;
+    its row stays."""
     prepare(spark)
-    cut = suffix.without_repeats(docs.withColumn("__before", F.col("text")))
+    cut = suffix.without_repeats(docs.withColumn("__before", F.col("text")), words=PASSAGE)
     if "n_chars" in docs.columns:
         changed = ~F.col("text").eqNullSafe(F.col("__before"))
         cut = cut.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -11,6 +11,9 @@ within stretches so found, in blocks that end at marks set by the text itself: t
 fixed way behind each mark, with the few bytes around it that tell the block's places apart. Blocks
 alike in that suffix are compared place by place. The third, only for suffixes that very many blocks
 share, sorts the passages of their places one by one.
+
+Passages of a number of words are found in the same way, with words in the place of bytes and without
+blocks: words are fewer, so the places within repeated stretches are sorted one by one.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sondage.llm.tables import finished, mix, pieces, row_key, stored, utf8
+from sondage.llm.tables import Memo, finished, mix, pieces, row_key, stored, utf8
 
 LENGTH, GRAM = 400, 64
 #: A block of places ends at a mark; if none follows within REACH places, the place is its own block.
@@ -34,6 +38,8 @@ ROWS, CHUNK = 400_000, 16_384
 SEEN = 500_000
 #: Blocks that share a suffix with more than so many others are taken place by place.
 CROWD = 4_096
+#: Words of the grams by which passages of words meet.
+WORD_GRAM = 8
 
 _generator = np.random.default_rng(10)
 LETTERS = _generator.integers(0, 2**64, (2, 256), dtype=np.uint64)
@@ -47,14 +53,17 @@ class Roller:
         self.up = self.down = np.ones((2, 1), np.uint64)
 
     def read(self, letters: np.ndarray, which: int = 0) -> np.ndarray:
-        if len(letters) >= self.up.shape[1]:
-            size = 2 * len(letters) + 2
+        return self.add(LETTERS[which][letters], which)
+
+    def add(self, values: np.ndarray, which: int = 0) -> np.ndarray:
+        if len(values) >= self.up.shape[1]:
+            size = 2 * len(values) + 2
             up, down = np.ones((2, size), np.uint64), np.ones((2, size), np.uint64)
             for i, base in enumerate(BASES):
                 up[i, 1:], down[i, 1:] = np.uint64(base), np.uint64(pow(base, -1, 2**64))
             self.up, self.down = np.cumprod(up, axis=1), np.cumprod(down, axis=1)
-        sums = np.zeros(len(letters) + 1, np.uint64)
-        np.cumsum(LETTERS[which][letters] * self.up[which, : len(letters)], out=sums[1:])
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.up[which, : len(values)], out=sums[1:])
         return sums
 
     def digest(self, sums: np.ndarray, start, stop, which: int = 0) -> np.ndarray:
@@ -76,21 +85,24 @@ def least_within(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: len(values) - width + 1], ahead[width - 1 : len(values)])
 
 
+def stretch(row: int, grams: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Token, row, start and number of places of each stretch of places that share the least of their
+    ``width`` grams."""
+    least = least_within(grams, width)
+    starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
+    stops = np.r_[starts[1:], len(least)]
+    tokens = least[starts]
+    # A stretch in which the gram stands twice may repeat itself: it counts twice.
+    twice = [np.count_nonzero(grams[a : b + width - 1] == t) > 1 for a, b, t in zip(starts, stops, tokens, strict=True)]
+    times = 1 + np.array(twice, int)
+    return np.repeat(tokens, times), np.full(times.sum(), row), np.repeat(starts, times), np.repeat(stops - starts, times)
+
+
 def stretches(texts: list[bytes], rows: np.ndarray, roller: Roller) -> Iterator[tuple]:
-    """Token, row and place range of each stretch of places whose passages share their least gram."""
-    width = LENGTH - GRAM + 1
+    """The stretches of places whose passages share their least gram."""
     for row, document in zip(rows, texts, strict=True):
-        if len(document) < LENGTH:
-            continue
-        grams = roller.grams(roller.read(np.frombuffer(document, np.uint8)), GRAM)
-        least = least_within(grams, width)
-        starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        stops = np.r_[starts[1:], len(least)]
-        tokens = least[starts]
-        # A stretch in which the gram stands twice may repeat itself: it counts twice.
-        twice = [np.count_nonzero(grams[a : b + width - 1] == t) > 1 for a, b, t in zip(starts, stops, tokens, strict=True)]
-        times = 1 + np.array(twice, int)
-        yield np.repeat(tokens, times), np.full(times.sum(), row), np.repeat(starts, times), np.repeat(stops - starts, times)
+        if len(document) >= LENGTH:
+            yield stretch(row, roller.grams(roller.read(np.frombuffer(document, np.uint8)), GRAM), LENGTH - GRAM + 1)
 
 
 def multikey(tokens: list[np.ndarray]) -> np.ndarray:
@@ -292,13 +304,17 @@ def single_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.record_batch([pa.array(_signed(token)), pa.array(_signed(tail)), pa.array(row), pa.array(start), pa.array(np.ones(len(row), np.int32))], names=["token", "tail", "row", "start", "width"])
 
 
+def stretch_batch(found: list[tuple]) -> pa.RecordBatch:
+    token, row, start, width = (np.concatenate(c) for c in zip(*found, strict=True))
+    return pa.record_batch([pa.array(_signed(token)), pa.array(np.zeros(len(row), np.int64)), pa.array(row), pa.array(start), pa.array(width.astype(np.int32))], names=["token", "tail", "row", "start", "width"])
+
+
 def stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roller = Roller()
     for part, texts in pieces(batches, "t"):
         found = list(stretches(texts, part.column(0).to_numpy(), roller))
         if found:
-            token, row, start, width = (np.concatenate(c) for c in zip(*found, strict=True))
-            yield pa.record_batch([pa.array(_signed(token)), pa.array(np.zeros(len(row), np.int64)), pa.array(row), pa.array(start), pa.array(width.astype(np.int32))], names=["token", "tail", "row", "start", "width"])
+            yield stretch_batch(found)
 
 
 def parts_for(rows: int) -> int:
@@ -335,6 +351,94 @@ def repeated_places(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Da
     return named, stored(found.unionByName(known).unionByName(same), "repeated")
 
 
+def word_values(document: bytes, memo: Memo) -> np.ndarray:
+    words = document.split()
+    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+
+
+def word_memo() -> Memo:
+    return Memo(xxhash.xxh64_intdigest, 300_000)
+
+
+def word_stretch_rows(words: int):
+    """Stretches of places, counted in words, whose passages of so many words share their least gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller, memo, gram = Roller(), word_memo(), min(WORD_GRAM, words)
+        for part, texts in pieces(batches, "t"):
+            values = [word_values(t, memo) for t in texts]
+            found = [
+                stretch(row, roller.grams(roller.add(v), gram), words - gram + 1)
+                for row, v in zip(part.column(0).to_numpy(), values, strict=True) if len(v) >= words
+            ]
+            if found:
+                yield stretch_batch(found)
+
+    return run
+
+
+def word_edges(document: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte behind it."""
+    letters = np.frombuffer(document, np.uint8)
+    inside = ~((letters == 32) | ((letters >= 9) & (letters <= 13)))
+    change = np.flatnonzero(np.diff(np.r_[False, inside, False].astype(np.int8)))
+    return change[::2], change[1::2]
+
+
+def word_passages(words: int):
+    """The passages of so many words that start at the texts' candidate places, as suffixes of two tokens
+    with the bytes that they take up. Of equal ones in one task only the first is sent on; all of them
+    repeat, and are given at once as ``known`` ranges of bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller, memo = Roller(), word_memo()
+        seen: dict[tuple, tuple[int, int, int] | None] = {}
+        for part, texts in pieces(batches, "t"):
+            out = []
+            for row, document, ranges in zip(part.column(0).to_pylist(), texts, part.column(2).to_pylist(), strict=True):
+                values, (starts, stops) = word_values(document, memo), word_edges(document)
+                places = place_ranges(np.array([(r["start"], r["width"]) for r in ranges], np.int64).reshape(-1, 2), len(values))
+                token = _signed(roller.digest(roller.add(values), places, places + words))
+                tail = _signed(roller.digest(roller.add(mix(values + np.uint64(1)), 1), places, places + words, 1))
+                if len(seen) > SEEN:
+                    seen.clear()
+                ranged: list | None = None
+                last = -2
+                for place, *key, start, stop in zip(places.tolist(), token.tolist(), tail.tolist(), starts[places].tolist(), stops[places + words - 1].tolist(), strict=True):
+                    name = tuple(key)
+                    if name not in seen:
+                        seen[name] = (row, start, stop - start)
+                        out.append([*name, row, start, stop - start, False])
+                        continue
+                    if seen[name]:
+                        out.append([0, 0, *seen[name], True])
+                        seen[name] = None
+                    # Neighbouring passages of a text become one range.
+                    if ranged and last == place - 1:
+                        ranged[4] = stop - ranged[3]
+                    else:
+                        ranged = [0, 0, row, start, stop - start, True]
+                        out.append(ranged)
+                    last = place
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["token", "tail", "row", "start", "width", "known"])
+
+    return run
+
+
+def repeated_words(named: DataFrame, words: int) -> DataFrame:
+    """``(row, start, width)`` of the bytes of passages of so many words that start at two places or more,
+    whatever white space stands between the words. Copies of a row repeat each other."""
+    suffixes = stored(named.mapInArrow(word_stretch_rows(words), KEYED), "word-stretches")
+    ranges = repeated(suffixes, parts_for(suffixes.count())).groupBy("row").agg(F.collect_set(F.struct("start", "width")).alias("ranges"))
+    texts = named.join(ranges, "row").select("row", "t", "ranges")
+    given = stored(texts.mapInArrow(word_passages(words), f"{KEYED}, known boolean"), "word-passages")
+    rows = given.where("NOT known")
+    found = repeated(rows, parts_for(rows.count()))
+    return stored(found.unionByName(given.where("known").select("row", "start", "width")), "repeated-words")
+
+
 SPANS = "row bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary"
 
 
@@ -343,7 +447,7 @@ def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, kept = [], []
         for document, ranges in zip(texts, part.column(2).to_pylist(), strict=True):
             pairs = np.array([(r["start"], r["width"]) for r in ranges or ()], np.int64).reshape(-1, 2)
-            spans = spans_of(pairs[:, 0], pairs[:, 1], LENGTH - 1) if len(pairs) else pairs
+            spans = spans_of(pairs[:, 0], pairs[:, 1], 0) if len(pairs) else pairs
             edges = [0, *spans.ravel().tolist(), len(document)]
             kept.append(b"".join(document[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             every.append([{"start": a, "stop": b} for a, b in spans.tolist()])
@@ -352,14 +456,20 @@ def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @finished
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """``(row, spans, kept)`` for each distinct row of ``docs`` that repeated passages may touch: the merged
     byte ranges to remove and the bytes that stay. ``row`` is ``row_key(key, text)``.
 
     Texts are UTF-8 bytes, null counts as empty; a byte goes if a string of 400 bytes covers it that also
     starts elsewhere, in the same text or another, as the texts came in. Repeated rows repeat each other.
-    An empty table gives no rows; texts under 400 bytes are never touched."""
+    An empty table gives no rows; texts under 400 bytes are never touched.
+
+    With ``words``, bytes also go if a passage of so many words covers them whose words, as they are
+    written, also start elsewhere; white space around it stays. This holds for texts of any length."""
     texts, found = repeated_places(docs, key, text)
+    found = found.select("row", "start", (F.col("width") + (LENGTH - 1)).cast("int").alias("width"))
+    if words:
+        found = found.unionByName(repeated_words(texts, words))
     ranges = found.groupBy("row").agg(F.collect_set(F.struct("start", "width")).alias("ranges"))
     return texts.join(ranges, "row").select("row", "t", "ranges").dropDuplicates(["row"]).mapInArrow(take_out, SPANS)
 
@@ -371,10 +481,10 @@ def whole_letters(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield part.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; all rows and other columns stay as they are. Bytes
     of a letter that a cut has split are dropped, so the text stays UTF-8. Null texts stay null."""
-    spans = repeated_spans(docs, key, text).select(F.col("row").alias("__row"), whole_letters("kept").alias("__kept"))
+    spans = repeated_spans(docs, key, text, words).select(F.col("row").alias("__row"), whole_letters("kept").alias("__kept"))
     cut = docs.withColumn("__row", row_key(key, text)).join(spans, "__row", "left")
     return cut.withColumn(text, F.coalesce("__kept", text)).select(*docs.columns)
 

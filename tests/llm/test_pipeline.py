@@ -1,13 +1,17 @@
 import hashlib
 import os
+import random
+import re
+from collections import Counter
 
 import pytest
 from public_tokenizers import path
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from sondage.llm import quality
+from sondage.llm import quality, suffix
 from sondage.llm.tables import table
 from tests.llm import cases
 
@@ -75,3 +79,60 @@ def test_near_duplicate_stage_matches_comparing_all_pairs_at_four_fifths(spark):
     kept = {i for i in texts if groups.root(i) == i}
     assert kept < {i for i, (_, root) in cases.near_duplicate_groups(texts).items() if i == root}
     assert {r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, cases.documents(spark, texts.values()), FOLDER).collect()} == kept
+
+
+def without_repeated(texts, passage=51, length=400):
+    """What is left of texts without repeated strings of so many bytes and repeated runs of so many words."""
+    given = [(t or "").encode() for t in texts]
+    gone = [bytearray(len(b)) for b in given]
+    edges = [[(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", b)] for b in given]
+    words = [[b[i:j] for i, j in e] for b, e in zip(given, edges, strict=True)]
+    seen = Counter(tuple(w[s : s + passage]) for w in words for s in range(len(w) - passage + 1))
+    for w, e, g in zip(words, edges, gone, strict=True):
+        for s in range(len(w) - passage + 1):
+            if seen[tuple(w[s : s + passage])] > 1:
+                start, stop = e[s][0], e[s + passage - 1][1]
+                g[start:stop] = b"\1" * (stop - start)
+    for g, (_, spans) in zip(gone, cases.covered(texts, length), strict=True):
+        for start, stop in spans:
+            g[start:stop] = b"\1" * (stop - start)
+    return [bytes(x for x, y in zip(b, g, strict=True) if not y).decode("utf-8", "ignore") for b, g in zip(given, gone, strict=True)]
+
+
+def test_a_repeated_passage_of_51_words_is_cut_however_short(spark):
+    generator = random.Random(11)
+    long, few = ([cases.words(generator, 1)[:5] for _ in range(n)] for n in (51, 50))
+    assert len(" ".join(long).encode()) < 330
+    around = [cases.words(generator, 12) for _ in range(9)]
+    texts = [
+        f"{around[0]} {' '.join(long)} {around[1]}", f"{around[2]}\n{'  '.join(long)} {around[3]}", " ".join(long),
+        f"{around[4]} {' '.join(few)} {around[5]}", f"{around[6]} {' '.join(few)} {around[7]}", f"{'a ' * 60}{around[8]}",
+    ]
+    rows = corpus_pipeline.cut_repeats(spark, cases.documents(spark, texts).repartition(3), FOLDER).collect()
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate([
+        f"{around[0]}  {around[1]}", f"{around[2]}\n {around[3]}", "", texts[3], texts[4], f" {around[8]}",
+    ]))
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
+@pytest.mark.parametrize("seen", [500_000, 3])
+def test_repeated_words_match_looking_at_every_place(spark, monkeypatch, seen):
+    monkeypatch.setattr(suffix, "SEEN", seen)
+    generator = random.Random(12)
+    passages = [cases.words(generator, n).split() for n in (50, 51, 52, 90, 300)]
+    texts = [*cases.awkward(), "la " * 80, "one " * 20, cases.words(generator, 70), "y" * 500, "y" * 500]
+    for _ in range(40):
+        passage = generator.choice(passages)
+        start = generator.randrange(len(passage) // 3)
+        texts.append(f"{cases.words(generator, generator.randint(0, 30))} {generator.choice([' ', chr(10)]).join(passage[start:] if generator.random() < 0.5 else passage)} {cases.words(generator, generator.randint(0, 30))}")
+    texts += [texts[-1], texts[-1]]
+    expected = without_repeated(texts)
+    assert sum(map(len, expected)) < sum(len(b.decode("utf-8", "ignore")) for b, _ in cases.covered(texts))
+    docs = cases.documents(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") < len(texts) - 2, F.col("doc_id"))).repartition(3)
+    rows = corpus_pipeline.cut_repeats(spark, docs, FOLDER).collect()
+    assert sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in rows) == sorted((i if i < len(texts) - 2 else -1, t) for i, t in enumerate(expected))
+
+
+def test_repeated_words_of_a_table_without_long_texts(spark):
+    docs = cases.documents(spark, ["a b", None, ""])
+    assert {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, FOLDER).collect()} == {0: "a b", 1: None, 2: ""}

@@ -183,6 +183,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold an item."""
-    held = contaminated(docs.select(key, text), items, key, text).select(F.col(key).alias("__held")).distinct()
-    return docs.join(held, F.col(key) == F.col("__held"), "left_anti")
+    """``docs`` without the rows that hold an item. Rows go by key and text: those of a null key go too, and
+    a clean row stays when another of its key holds an item."""
+    named = docs.withColumn("__row", row_key(key, text))
+    held = contaminated(named.select("__row", text), items, "__row", text).select("__row").distinct()
+    return named.join(held, "__row", "left_anti").select(*docs.columns)

@@ -136,3 +136,11 @@ def test_repeated_words_match_looking_at_every_place(spark, monkeypatch, seen):
 def test_repeated_words_of_a_table_without_long_texts(spark):
     docs = cases.documents(spark, ["a b", None, ""])
     assert {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, FOLDER).collect()} == {0: "a b", 1: None, 2: ""}
+
+
+def test_contaminated_rows_go_by_row_and_not_by_id(spark):
+    item = table(spark, FOLDER, "benchmark").where("text IS NOT NULL").orderBy(F.desc(F.length("text"))).first().text
+    rows = [(None, f"x {item}"), (None, "plain words"), (1, item), (1, "a clean text of the same id"), (2, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.keep_clean(spark, docs, FOLDER)
+    assert left.columns == docs.columns and sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, [rows[i] for i in (1, 3, 4, 5)]))

@@ -9,9 +9,11 @@ a term's chunks; documents are told apart only for the terms in between.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -24,11 +26,13 @@ TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
 #: Parameters: documents of its language that a term needs, and places of the list of terms.
 LEAST_DOCUMENTS, PLACES = 10, 10
 UNIT, PRIOR = 1_000_000_000, 2
-#: Chunks that a task counts together before it sends them on.
-COUNTED = 400_000
+#: A task merges the chunk counts of its documents until it has so many of them, or so many distinct chunks.
+COUNTED, DISTINCT = 2_000_000, 400_000
+#: Rows of a batch that a task sends on.
+SENT = 50_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
-COUNTS = "lang string, source string, chunk binary, n bigint, docs bigint, ids array<bigint>"
+COUNTS = "lang string, chunk binary, docs bigint, ids array<bigint>, sources array<string>, counts array<bigint>"
 
 
 def chunks_of(text: bytes, limit: int = BATCH_BYTES) -> Counter:
@@ -46,50 +50,78 @@ def chunks_of(text: bytes, limit: int = BATCH_BYTES) -> Counter:
     return out
 
 
+class Counted:
+    """Chunk counts of documents, as numbers in flat arrays until they are merged."""
+
+    def __init__(self):
+        self.chunks, self.langs, self.sources = (defaultdict() for _ in range(3))
+        for names in (self.chunks, self.langs, self.sources):
+            names.default_factory = names.__len__
+        self.chunk, self.n = array("i"), array("q")
+        self.docs: list[tuple[int, int, int, int]] = []
+
+    def add(self, number: int, lang: str, source: str, chunks: Counter) -> None:
+        self.chunk.extend(map(self.chunks.__getitem__, chunks))
+        self.n.extend(chunks.values())
+        self.docs.append((number, self.langs[lang], self.sources[source], len(chunks)))
+
+    def merged(self, least: int) -> Iterator[pa.RecordBatch]:
+        """A row for each language and chunk, with the occurrences by source."""
+        number, lang, source, sizes = np.array(self.docs, np.int64).T
+        number, lang, source = (np.repeat(x, sizes) for x in (number, lang, source))
+        chunk = np.frombuffer(self.chunk, np.int32)
+        order = np.lexsort((source, chunk, lang))
+        number, lang, source, chunk = number[order], lang[order], source[order], chunk[order]
+        row_starts = starts(lang, chunk)
+        own_starts = starts(lang, chunk, source)
+        docs = np.diff(row_starts, append=len(order))
+        counts, source = np.add.reduceat(np.frombuffer(self.n, np.int64)[order], own_starts), source[own_starts]
+        few = docs < least
+        ids, id_ends = number[np.repeat(few, docs)], np.cumsum(np.where(few, docs, 0))
+        own_ends = np.searchsorted(own_starts, np.append(row_starts[1:], len(order)))
+        chunks, langs, sources = pa.array(list(self.chunks), pa.binary()), pa.array(list(self.langs), pa.string()), pa.array(list(self.sources), pa.string())
+        for at in range(0, len(row_starts), SENT):
+            rows = slice(at, at + SENT)
+            own = slice(own_ends[at - 1] if at else 0, own_ends[rows][-1])
+            held = slice(id_ends[at - 1] if at else 0, id_ends[rows][-1])
+            arrays = [
+                langs.take(pa.array(lang[row_starts[rows]])), chunks.take(pa.array(chunk[row_starts[rows]])), pa.array(docs[rows]),
+                lists(id_ends[rows] - held.start, pa.array(ids[held]), ~few[rows]),
+                lists(own_ends[rows] - own.start, sources.take(pa.array(source[own]))), lists(own_ends[rows] - own.start, pa.array(counts[own])),
+            ]
+            yield pa.record_batch(arrays, names=["lang", "chunk", "docs", "ids", "sources", "counts"])
+
+
+def starts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def lists(ends: np.ndarray, values: pa.Array, missing: np.ndarray | None = None) -> pa.Array:
+    offsets = pa.array(np.append(0, ends).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, values, mask=None if missing is None else pa.array(missing))
+
+
 def chunk_counts(docs: DataFrame, lang: str, source: str, text: str, least: int) -> DataFrame:
-    """``(lang, source, chunk, n, docs, ids)``, merged within a task as far as memory goes: occurrences,
-    documents, and the numbers of these documents if they are fewer than ``least``, else null."""
+    """``(lang, chunk, docs, ids, sources, counts)``, merged within a task as far as memory goes: documents
+    with the chunk, their numbers if they are fewer than ``least``, else null, and occurrences by source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 40
-        counted: dict[tuple, dict[bytes, list]] = defaultdict(dict)
-        size = 0
-
-        def sent() -> Iterator[pa.RecordBatch]:
-            for (own_lang, own_source), chunks in counted.items():
-                rows = list(chunks.values())
-                arrays = [
-                    pa.array([own_lang] * len(rows), pa.string()), pa.array([own_source] * len(rows), pa.string()),
-                    pa.array(list(chunks), pa.binary()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                ]
-                yield pa.record_batch(arrays, names=["lang", "source", "chunk", "n", "docs", "ids"])
-            counted.clear()
-
+        number, counted = TaskContext.get().partitionId() << 40, Counted()
         for part, texts in pieces(batches, "t"):
             for own_lang, own_source, document in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, strict=True):
                 number += 1
-                own = chunks_of(document)
-                if not own:
-                    continue
-                group = counted[own_lang, own_source]
-                size -= len(group)
-                for chunk, n in own.items():
-                    row = group.get(chunk)
-                    if row is None:
-                        group[chunk] = [n, 1, [number]]
-                        continue
-                    row[0] += n
-                    row[1] += 1
-                    if row[1] < least:
-                        row[2].append(number)
-                    else:
-                        row[2] = None
-                size += len(group)
-                if size > COUNTED:
-                    yield from sent()
-                    size = 0
-        yield from sent()
+                if found := chunks_of(document):
+                    counted.add(number, own_lang, own_source, found)
+                if len(counted.chunk) >= COUNTED or len(counted.chunks) >= DISTINCT:
+                    yield from counted.merged(least)
+                    counted = Counted()
+        if counted.docs:
+            yield from counted.merged(least)
 
     given = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"))), utf8(text).alias("t"))
     return given.mapInArrow(run, COUNTS)
@@ -97,24 +129,31 @@ def chunk_counts(docs: DataFrame, lang: str, source: str, text: str, least: int)
 
 def term_counts(counted: DataFrame, least: int) -> DataFrame:
     """``(lang, source, term, n)`` for the terms that at least ``least`` documents of the language have."""
-    merged = counted.repartition("chunk").groupBy("chunk", "lang", "source").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"),
+    # Both sides of the join are partitioned by chunk; a chunk that is everywhere has a row a task, and its
+    # sources are merged one by one, so no list is longer than the sources are many.
+    own = F.posexplode(F.arrays_zip("sources", "counts")).alias("place", "own")
+    each = counted.repartition("chunk").select("chunk", "lang", "docs", "ids", own)
+    first = F.col("place") == 0
+    by_source = each.groupBy("chunk", "lang", F.col("own.sources").alias("source")).agg(
+        F.sum("own.counts").alias("n"), F.sum(F.when(first, F.col("docs")).otherwise(0)).alias("docs"),
         # Documents are in one task each, so lists of different tasks share none.
-        F.when(F.sum("docs") < least, F.flatten(F.collect_list("ids"))).alias("ids"),
+        F.flatten(F.collect_list(F.when(first, F.col("ids")))).alias("ids"),
+    )
+    merged = by_source.groupBy("chunk", "lang").agg(
+        F.sum("docs").alias("docs"), F.when(F.sum("docs") < least, F.flatten(F.collect_list("ids"))).alias("ids"),
+        F.collect_list(F.struct("source", "n")).alias("sources"),
     )
-    # Both sides of the join are partitioned by chunk already.
     terms = counted.select("chunk").distinct().select("chunk", F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM)).alias("terms"))
     back = merged.join(terms.where(F.size("terms") > 0), "chunk")
-    found = stored(back.select("lang", "source", F.explode("terms").alias("term"), "n", "docs", "ids"), "terms")
-    summed = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("most"), F.max("docs").alias("fewest"))
-    summed = stored(summed, "summed")
-    bounds = summed.groupBy("lang", "term").agg(F.max("fewest").alias("fewest"), F.sum("most").alias("most"))
-    sure = bounds.where(F.col("fewest") >= least)
-    open_terms = bounds.where((F.col("fewest") < least) & (F.col("most") >= least)).select("lang", "term")
-    each = found.join(open_terms, ["lang", "term"], "left_semi").select("lang", "term", F.explode("ids").alias("id")).distinct()
-    counted_out = each.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
-    kept = sure.select("lang", "term").unionByName(counted_out.select("lang", "term"))
-    return summed.join(kept, ["lang", "term"]).select("lang", "source", "term", "n")
+    found = stored(back.select("lang", F.explode("terms").alias("term"), "docs", "ids", "sources"), "terms")
+    bounds = found.groupBy("lang", "term").agg(F.max("docs").alias("fewest"), F.sum("docs").alias("most")).where(F.col("most") >= least)
+    bounds = stored(bounds, "bounds")
+    open_terms = bounds.where(F.col("fewest") < least).select("lang", "term")
+    told_apart = found.join(open_terms, ["lang", "term"], "left_semi").select("lang", "term", F.explode("ids").alias("id")).distinct()
+    enough = told_apart.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
+    kept = bounds.where(F.col("fewest") >= least).select("lang", "term").unionByName(enough.select("lang", "term"))
+    held = found.join(kept, ["lang", "term"]).select("lang", "term", F.inline("sources"))
+    return held.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:

@@ -217,9 +217,10 @@ def audit_rows() -> list[tuple]:
     return rows
 
 
-@pytest.mark.parametrize("counted", [400_000, 5])
-def test_audit_matches_plain_counts(session, monkeypatch, counted):
-    monkeypatch.setattr(divergence, "COUNTED", counted)
+@pytest.mark.parametrize("few", [False, True])
+def test_audit_matches_plain_counts(session, monkeypatch, few):
+    for name, value in (("COUNTED", 5), ("SENT", 2)) if few else ():
+        monkeypatch.setattr(divergence, name, value)
     rows = audit_rows()
     docs = session.createDataFrame([(*r, "own", 1) for r in rows], "lang string, source string, text string, term string, n int").repartition(5)
     found = divergence.audit(docs)
@@ -235,6 +236,20 @@ def test_audit_of_nothing_and_of_one_source(session):
     assert divergence.audit(docs).count() == 0
 
 
+def test_counts_are_merged_by_language_and_chunk(monkeypatch):
+    monkeypatch.setattr(divergence, "SENT", 2)
+    counted, documents = divergence.Counted(), [("en", "a", "x y x"), ("en", "b", "y"), ("de", "a", "x"), ("en", "a", "x z"), ("en", "b", "x")]
+    for number, (lang, source, text) in enumerate(documents):
+        counted.add(number, lang, source, Counter(text.encode().split()))
+    rows = [row for batch in counted.merged(3) for row in batch.to_pylist()]
+    assert sorted(map(str, rows)) == sorted(map(str, [
+        {"lang": "en", "chunk": b"x", "docs": 3, "ids": None, "sources": ["a", "b"], "counts": [3, 1]},
+        {"lang": "en", "chunk": b"y", "docs": 2, "ids": [0, 1], "sources": ["a", "b"], "counts": [1, 1]},
+        {"lang": "en", "chunk": b"z", "docs": 1, "ids": [3], "sources": ["a"], "counts": [1]},
+        {"lang": "de", "chunk": b"x", "docs": 1, "ids": [2], "sources": ["a"], "counts": [1]},
+    ]))
+
+
 def test_chunks_of_a_long_text_are_those_of_its_parts():
     text = "\n".join(["One  two", "x" * 90, "three\tone", "é è"] * 40).encode()
     assert divergence.chunks_of(text, 37) == divergence.chunks_of(text) == Counter(text.lower().split())

@@ -9,9 +9,11 @@ a term's chunks; documents are told apart only for the terms in between.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +23,21 @@ from pyspark.sql import functions as F
 
 from sondage.llm.tables import BATCH_BYTES, finished, pieces, stored, utf8
 
-# Fixed value: a term is a run of letters A-Z and of whatever is beyond ASCII.
-TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
+# A term is a run of letters A-Z and of whatever is beyond ASCII; here its bytes, folded.
+TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: Parameters: documents of its language that a term needs, and places of the list of terms.
 LEAST_DOCUMENTS, PLACES = 10, 10
 UNIT, PRIOR = 1_000_000_000, 2
 #: A task merges the chunk counts of its documents until it has so many of them, or so many distinct chunks.
 COUNTED, DISTINCT = 2_000_000, 400_000
-#: Rows of a batch that a task sends on.
-SENT = 50_000
+#: Rows that are merged at once after the shuffle.
+MERGED = 100_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
-COUNTS = "lang string, chunk binary, docs bigint, ids array<bigint>, sources array<string>, counts array<bigint>"
+#: Numbers are written one behind the other as 64-bit integers: those of documents in ``ids``; in ``own`` each
+#: source's hash and its occurrences.
+COUNTS = "lang string, chunk binary, docs bigint, ids binary, own binary"
+TERMS = "lang string, term string, docs bigint, ids array<bigint>, sources array<bigint>, counts array<bigint>"
 
 
 def chunks_of(text: bytes, limit: int = BATCH_BYTES) -> Counter:
@@ -50,65 +55,92 @@ def chunks_of(text: bytes, limit: int = BATCH_BYTES) -> Counter:
     return out
 
 
+@dataclass
+class Rows:
+    """Rows ``(chunk, lang, docs)`` with the numbers of ``sizes[0]`` documents and ``sizes[1]`` sources each;
+    chunks and languages are numbered by the caller."""
+
+    chunk: np.ndarray
+    lang: np.ndarray
+    docs: np.ndarray
+    sizes: tuple[np.ndarray, np.ndarray]
+    ids: np.ndarray
+    source: np.ndarray
+    n: np.ndarray
+
+    def merged(self, least: int) -> Rows:
+        """A row for each chunk and language, in this order, with a number for each source. Documents are
+        named while they are fewer than ``least``, so merging what was merged before changes nothing."""
+        order = np.lexsort((self.lang, self.chunk))
+        chunk, lang = self.chunk[order], self.lang[order]
+        first = starts(chunk, lang)
+        row = np.empty(len(order), np.int64)
+        row[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+        docs = np.add.reduceat(self.docs[order], first) if len(first) else self.docs
+        of_id = np.repeat(row, self.sizes[0])
+        few = docs[of_id] < least
+        of_id, ids = of_id[few], self.ids[few]
+        of_own = np.repeat(row, self.sizes[1])
+        by_source = np.lexsort((self.source, of_own))
+        of_own, source = of_own[by_source], self.source[by_source]
+        own = starts(of_own, source)
+        n = np.add.reduceat(self.n[by_source], own) if len(own) else self.n
+        sizes = np.bincount(of_id, minlength=len(first)), np.bincount(of_own[own], minlength=len(first))
+        return Rows(chunk[first], lang[first], docs, sizes, ids[np.argsort(of_id, kind="stable")], source[own], n)
+
+    def sent(self, chunks: pa.Array, langs: pa.Array) -> pa.RecordBatch:
+        own = np.stack([self.source, self.n], axis=1)
+        arrays = [langs.take(pa.array(self.lang)), chunks.take(pa.array(self.chunk)), pa.array(self.docs), packed(self.ids, self.sizes[0]), packed(own, self.sizes[1])]
+        return pa.record_batch(arrays, names=["lang", "chunk", "docs", "ids", "own"])
+
+
+def starts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Rows of numbers (or of tuples of them) as binaries."""
+    offsets = np.append(0, np.cumsum(sizes) * values[:1].nbytes).astype(np.int32) if len(values) else np.zeros(len(sizes) + 1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, and how many bytes each row has."""
+    values = np.frombuffer(b"".join(column.to_pylist()), np.int64)
+    return values, pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Counted:
     """Chunk counts of documents, as numbers in flat arrays until they are merged."""
 
     def __init__(self):
-        self.chunks, self.langs, self.sources = (defaultdict() for _ in range(3))
-        for names in (self.chunks, self.langs, self.sources):
+        self.chunks, self.langs = defaultdict(), defaultdict()
+        for names in (self.chunks, self.langs):
             names.default_factory = names.__len__
         self.chunk, self.n = array("i"), array("q")
         self.docs: list[tuple[int, int, int, int]] = []
 
-    def add(self, number: int, lang: str, source: str, chunks: Counter) -> None:
+    def add(self, number: int, lang: str, source: int, chunks: Counter) -> None:
         self.chunk.extend(map(self.chunks.__getitem__, chunks))
         self.n.extend(chunks.values())
-        self.docs.append((number, self.langs[lang], self.sources[source], len(chunks)))
+        self.docs.append((number, self.langs[lang], source, len(chunks)))
 
-    def merged(self, least: int) -> Iterator[pa.RecordBatch]:
-        """A row for each language and chunk, with the occurrences by source."""
+    def merged(self, least: int) -> pa.RecordBatch:
         number, lang, source, sizes = np.array(self.docs, np.int64).T
         number, lang, source = (np.repeat(x, sizes) for x in (number, lang, source))
-        chunk = np.frombuffer(self.chunk, np.int32)
-        order = np.lexsort((source, chunk, lang))
-        number, lang, source, chunk = number[order], lang[order], source[order], chunk[order]
-        row_starts = starts(lang, chunk)
-        own_starts = starts(lang, chunk, source)
-        docs = np.diff(row_starts, append=len(order))
-        counts, source = np.add.reduceat(np.frombuffer(self.n, np.int64)[order], own_starts), source[own_starts]
-        few = docs < least
-        ids, id_ends = number[np.repeat(few, docs)], np.cumsum(np.where(few, docs, 0))
-        own_ends = np.searchsorted(own_starts, np.append(row_starts[1:], len(order)))
-        chunks, langs, sources = pa.array(list(self.chunks), pa.binary()), pa.array(list(self.langs), pa.string()), pa.array(list(self.sources), pa.string())
-        for at in range(0, len(row_starts), SENT):
-            rows = slice(at, at + SENT)
-            own = slice(own_ends[at - 1] if at else 0, own_ends[rows][-1])
-            held = slice(id_ends[at - 1] if at else 0, id_ends[rows][-1])
-            arrays = [
-                langs.take(pa.array(lang[row_starts[rows]])), chunks.take(pa.array(chunk[row_starts[rows]])), pa.array(docs[rows]),
-                lists(id_ends[rows] - held.start, pa.array(ids[held]), ~few[rows]),
-                lists(own_ends[rows] - own.start, sources.take(pa.array(source[own]))), lists(own_ends[rows] - own.start, pa.array(counts[own])),
-            ]
-            yield pa.record_batch(arrays, names=["lang", "chunk", "docs", "ids", "sources", "counts"])
-
-
-def starts(*columns: np.ndarray) -> np.ndarray:
-    """Where sorted rows differ from the row before."""
-    new = np.zeros(len(columns[0]), bool)
-    new[:1] = True
-    for column in columns:
-        new[1:] |= column[1:] != column[:-1]
-    return np.flatnonzero(new)
-
-
-def lists(ends: np.ndarray, values: pa.Array, missing: np.ndarray | None = None) -> pa.Array:
-    offsets = pa.array(np.append(0, ends).astype(np.int32))
-    return pa.ListArray.from_arrays(offsets, values, mask=None if missing is None else pa.array(missing))
+        each = np.ones(len(number), np.int64)
+        rows = Rows(np.frombuffer(self.chunk, np.int32), lang, each, (each, each), number, source, np.frombuffer(self.n, np.int64))
+        return rows.merged(least).sent(pa.array(list(self.chunks), pa.binary()), pa.array(list(self.langs), pa.string()))
 
 
 def chunk_counts(docs: DataFrame, lang: str, source: str, text: str, least: int) -> DataFrame:
-    """``(lang, chunk, docs, ids, sources, counts)``, merged within a task as far as memory goes: documents
-    with the chunk, their numbers if they are fewer than ``least``, else null, and occurrences by source."""
+    """``(lang, chunk, docs, ids, own)``, merged within a task as far as memory goes: documents with the
+    chunk, their numbers if they are fewer than ``least``, and occurrences by source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, counted = TaskContext.get().partitionId() << 40, Counted()
@@ -118,42 +150,87 @@ def chunk_counts(docs: DataFrame, lang: str, source: str, text: str, least: int)
                 if found := chunks_of(document):
                     counted.add(number, own_lang, own_source, found)
                 if len(counted.chunk) >= COUNTED or len(counted.chunks) >= DISTINCT:
-                    yield from counted.merged(least)
+                    yield counted.merged(least)
                     counted = Counted()
         if counted.docs:
-            yield from counted.merged(least)
+            yield counted.merged(least)
 
-    given = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"))), utf8(text).alias("t"))
+    given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), source_key(source).alias("source"), utf8(text).alias("t"))
     return given.mapInArrow(run, COUNTS)
 
 
+def source_key(source: str) -> Column:
+    """64 bits stand for a source while chunks are counted; sources are few beside rows."""
+    return F.xxhash64(F.coalesce(F.col(source).cast("string"), F.lit("")))
+
+
+def merge(table: pa.Table, least: int) -> pa.RecordBatch:
+    """Rows of sorted chunks, merged."""
+    columns = {name: table.column(name).combine_chunks() for name in table.column_names}
+    chunk, lang = columns["chunk"].dictionary_encode(), columns["lang"].dictionary_encode()
+    ids, id_bytes = unpacked(columns["ids"])
+    own, own_bytes = unpacked(columns["own"])
+    codes = (x.indices.to_numpy(zero_copy_only=False) for x in (chunk, lang))
+    rows = Rows(*codes, columns["docs"].to_numpy(), (id_bytes // 8, own_bytes // 16), ids, own[::2], own[1::2])
+    return rows.merged(least).sent(chunk.dictionary, lang.dictionary)
+
+
+def terms_of(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """A row for each term of each row; chunks follow each other, and each is cut into terms once."""
+    chunk = rows.column(1).dictionary_encode()
+    found = [TERM.findall(c) for c in chunk.dictionary.to_pylist()]
+    sizes = np.array([len(f) for f in found], np.int64)
+    before, codes = np.cumsum(sizes) - sizes, chunk.indices.to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(codes)), sizes[codes])
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes[codes]) - sizes[codes], sizes[codes])
+    terms = pa.array([t.decode("utf-8", "replace") for f in found for t in f], pa.string()).take(pa.array(before[codes[row]] + place))
+    ids, id_bytes = unpacked(rows.column(3).take(pa.array(row)))
+    own, own_bytes = unpacked(rows.column(4).take(pa.array(row)))
+    arrays = [rows.column(0).take(pa.array(row)), terms, rows.column(2).take(pa.array(row)), lists(ids, id_bytes // 8), lists(own[::2], own_bytes // 16), lists(own[1::2], own_bytes // 16)]
+    return pa.record_batch(arrays, names=["lang", "term", "docs", "ids", "sources", "counts"])
+
+
+def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values))
+
+
+def terms_by_chunk(counted: DataFrame, least: int) -> DataFrame:
+    """``(lang, term, docs, ids, sources, counts)``: the counts of every chunk joined with its terms.
+
+    Chunks are sorted within their partition, so all counts of a chunk follow each other: they are merged,
+    the chunk is cut into terms, and these take the counts up. Counts of a chunk that goes on are merged as
+    they come, so memory does not grow with its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < MERGED:
+                continue
+            rows = merge(pa.Table.from_batches(held), least)
+            # The last chunk may go on in the next batch.
+            last = starts(rows.column(1).dictionary_encode().indices.to_numpy(zero_copy_only=False))[-1]
+            yield terms_of(rows.slice(0, last))
+            held = [rows.slice(last)]
+        if held:
+            yield terms_of(merge(pa.Table.from_batches(held), least))
+
+    return counted.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, TERMS)
+
+
 def term_counts(counted: DataFrame, least: int) -> DataFrame:
-    """``(lang, source, term, n)`` for the terms that at least ``least`` documents of the language have."""
-    # Both sides of the join are partitioned by chunk; a chunk that is everywhere has a row a task, and its
-    # sources are merged one by one, so no list is longer than the sources are many.
-    own = F.posexplode(F.arrays_zip("sources", "counts")).alias("place", "own")
-    each = counted.repartition("chunk").select("chunk", "lang", "docs", "ids", own)
-    first = F.col("place") == 0
-    by_source = each.groupBy("chunk", "lang", F.col("own.sources").alias("source")).agg(
-        F.sum("own.counts").alias("n"), F.sum(F.when(first, F.col("docs")).otherwise(0)).alias("docs"),
-        # Documents are in one task each, so lists of different tasks share none.
-        F.flatten(F.collect_list(F.when(first, F.col("ids")))).alias("ids"),
-    )
-    merged = by_source.groupBy("chunk", "lang").agg(
-        F.sum("docs").alias("docs"), F.when(F.sum("docs") < least, F.flatten(F.collect_list("ids"))).alias("ids"),
-        F.collect_list(F.struct("source", "n")).alias("sources"),
-    )
-    terms = counted.select("chunk").distinct().select("chunk", F.regexp_extract_all(F.col("chunk").cast("string"), F.lit(TERM)).alias("terms"))
-    back = merged.join(terms.where(F.size("terms") > 0), "chunk")
-    found = stored(back.select("lang", F.explode("terms").alias("term"), "docs", "ids", "sources"), "terms")
+    """``(lang, source, term, n)`` for the terms that at least ``least`` documents of the language have;
+    ``source`` is the source's key."""
+    found = stored(terms_by_chunk(counted, least), "terms")
     bounds = found.groupBy("lang", "term").agg(F.max("docs").alias("fewest"), F.sum("docs").alias("most")).where(F.col("most") >= least)
     bounds = stored(bounds, "bounds")
     open_terms = bounds.where(F.col("fewest") < least).select("lang", "term")
     told_apart = found.join(open_terms, ["lang", "term"], "left_semi").select("lang", "term", F.explode("ids").alias("id")).distinct()
     enough = told_apart.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
     kept = bounds.where(F.col("fewest") >= least).select("lang", "term").unionByName(enough.select("lang", "term"))
-    held = found.join(kept, ["lang", "term"]).select("lang", "term", F.inline("sources"))
-    return held.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    held = found.select("lang", "term", "sources", "counts").join(kept, ["lang", "term"])
+    each = held.select("lang", "term", F.inline(F.arrays_zip("sources", "counts")))
+    return each.groupBy("lang", F.col("sources").alias("source"), "term").agg(F.sum("counts").alias("n"))
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -203,9 +280,10 @@ def audit(
     without terms; a language without terms has distances of 0, one with a single source none. Equal
     values are ranked by item in UTF-8 order. Each row is a document, so repeated rows count as often as
     they stand; texts are read whole. An empty table gives no rows; other columns are not looked at."""
-    counted = stored(chunk_counts(docs, lang, source, text, least), "chunks")
-    terms = stored(term_counts(counted, least), "kept")
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source")))).distinct()
+    keys = named.select("source", source_key("source").alias("key")).distinct()
+    terms = term_counts(chunk_counts(docs, lang, source, text, least), least).withColumnRenamed("source", "key")
+    terms = stored(terms.join(keys, "key").select("lang", "source", "term", "n"), "kept")
     held = terms.groupBy("lang", "source").agg(F.count("*").alias("held"), F.sum("n").alias("total"))
     whole = terms.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
     langs = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("all_n").alias("all_total"))

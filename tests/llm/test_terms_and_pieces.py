@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -219,7 +220,7 @@ def audit_rows() -> list[tuple]:
 
 @pytest.mark.parametrize("few", [False, True])
 def test_audit_matches_plain_counts(session, monkeypatch, few):
-    for name, value in (("COUNTED", 5), ("SENT", 2)) if few else ():
+    for name, value in (("COUNTED", 5), ("MERGED", 2)) if few else ():
         monkeypatch.setattr(divergence, name, value)
     rows = audit_rows()
     docs = session.createDataFrame([(*r, "own", 1) for r in rows], "lang string, source string, text string, term string, n int").repartition(5)
@@ -236,18 +237,24 @@ def test_audit_of_nothing_and_of_one_source(session):
     assert divergence.audit(docs).count() == 0
 
 
-def test_counts_are_merged_by_language_and_chunk(monkeypatch):
-    monkeypatch.setattr(divergence, "SENT", 2)
-    counted, documents = divergence.Counted(), [("en", "a", "x y x"), ("en", "b", "y"), ("de", "a", "x"), ("en", "a", "x z"), ("en", "b", "x")]
-    for number, (lang, source, text) in enumerate(documents):
-        counted.add(number, lang, source, Counter(text.encode().split()))
-    rows = [row for batch in counted.merged(3) for row in batch.to_pylist()]
-    assert sorted(map(str, rows)) == sorted(map(str, [
-        {"lang": "en", "chunk": b"x", "docs": 3, "ids": None, "sources": ["a", "b"], "counts": [3, 1]},
-        {"lang": "en", "chunk": b"y", "docs": 2, "ids": [0, 1], "sources": ["a", "b"], "counts": [1, 1]},
-        {"lang": "en", "chunk": b"z", "docs": 1, "ids": [3], "sources": ["a"], "counts": [1]},
-        {"lang": "de", "chunk": b"x", "docs": 1, "ids": [2], "sources": ["a"], "counts": [1]},
-    ]))
+def test_counts_are_merged_by_chunk_and_language_in_any_order():
+    documents = [("en", 1, "x y x"), ("en", 2, "y"), ("de", 1, "x"), ("en", 1, "x z"), ("en", 2, "x")]
+
+    def counted(numbers):
+        out = divergence.Counted()
+        for number in numbers:
+            lang, source, text = documents[number]
+            out.add(number, lang, source, Counter(text.encode().split()))
+        return out.merged(3)
+
+    def shown(batch):
+        return sorted((r["lang"], r["chunk"], r["docs"], sorted(np.frombuffer(r["ids"], "<i8")), np.frombuffer(r["own"], "<i8").tolist()) for r in batch.to_pylist())
+
+    expected = [("de", b"x", 1, [2], [1, 1]), ("en", b"x", 3, [], [1, 3, 2, 1]), ("en", b"y", 2, [0, 1], [1, 1, 2, 1]), ("en", b"z", 1, [3], [1, 1])]
+    assert shown(counted(range(5))) == expected
+    for parts in ([[0], [1], [2], [3], [4]], [[4, 2], [0, 1, 3]]):
+        table = pa.Table.from_batches([counted(p) for p in parts])
+        assert shown(divergence.merge(table.sort_by("chunk"), 3)) == expected
 
 
 def test_chunks_of_a_long_text_are_those_of_its_parts():

@@ -59,8 +59,8 @@ class Groups:
         self.up[max(a, b)] = min(a, b)
 
 
-def near_duplicate_groups(texts: dict) -> dict:
-    """Least id that each text reaches over links of 85 %; every pair that shares a shingle is compared."""
+def near_duplicate_groups(texts: dict, percent: int = 85) -> dict:
+    """Least id that each text reaches over links of so many percent; every pair that shares a shingle is compared."""
     sets = {i: set(shingles(fold(t))) for i, t in texts.items()}
     groups, holders, shared = Groups(texts), defaultdict(list), Counter()
     for i, s in sets.items():
@@ -69,7 +69,7 @@ def near_duplicate_groups(texts: dict) -> dict:
     for ids in holders.values():
         shared.update((a, b) for k, b in enumerate(ids) for a in ids[:k])
     for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             groups.join(a, b)
     return {i: (len(sets[i]), groups.root(i)) for i in texts}
 

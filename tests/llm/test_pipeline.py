@@ -32,9 +32,8 @@ def test_every_stage_on_its_own_input(spark, tmp_path):
 
     judged = quality.judge(table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels")).where("predicted = 1").collect()
     assert set(texts[1]) == {r.doc_id for r in judged}
-    assert set(texts[2]) == {i for i, (_, root) in cases.near_duplicate_groups(texts[1]).items() if i == root}
-    kept = dict(zip(texts[2], cases.covered(list(texts[2].values())), strict=True))
-    assert texts[3] == {i: k.decode("utf-8", "ignore") for i, (k, _) in kept.items()}
+    assert set(texts[2]) == {i for i, (_, root) in cases.near_duplicate_groups(texts[1], 80).items() if i == root}
+    assert texts[3] == dict(zip(texts[2], without_repeated(texts[2].values()), strict=True))
     assert all(r.n_chars == (len(r.text) if texts[2][i] != r.text else inputs[2][i].n_chars) for i, r in inputs[3].items())
     items = {r.item_id: r.text for r in table(spark, FOLDER, "benchmark").collect()}
     assert set(texts[4]) == set(texts[3]) - {d for d, _ in cases.contaminations(texts[3], items)}

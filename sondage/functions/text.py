@@ -15,6 +15,7 @@ ENTITIES = ("PERSON", "EMAIL_ADDRESS", "PHONE_NUMBER", "LOCATION", "CREDIT_CARD"
 # of word characters.
 EMAIL_PRESENT = r"[\p{L}\p{N}_.+-]@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]"
 # 13 to 19 digits with single blanks or dashes between; two letters, two digits, 11 to 30 others.
+WORD = r"[\p{L}\p{N}_]+"
 CARD = r"\b\d(?:[ -]?\d){12,18}\b"
 IBAN = r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b"
 
@@ -75,7 +76,7 @@ def iban_codes(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """The distinct words of a text."""
-    return F.array_distinct(F.regexp_extract_all(col, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(col, F.lit(WORD), F.lit(0)))
 
 
 DETECTORS = {

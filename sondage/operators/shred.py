@@ -11,6 +11,7 @@ from sondage.functions.variants import entries, is_nested, is_object, items, mem
 from sondage.operators.dedup import first_per_key
 from sondage.plans.flattening import ChildTable, FlatteningPlan
 from sondage.session import scratch_path
+from sondage.sources.files import load_tables
 from sondage.sources.sinks import remove, replace_all
 
 
@@ -91,8 +92,6 @@ def load_records(records: DataFrame, plan: FlatteningPlan, folder: str, order: s
     tables = shred(records, plan, order, record)
     replace_all(spark, folder, tables)
     remove(spark, parsed)
-    written = [
-        spark.read.parquet(f"{folder}/{t}.parquet").agg(F.count("*").alias("rows_loaded")).select(F.lit(t).alias("table"), "rows_loaded")
-        for t in tables
-    ]
-    return reduce(DataFrame.unionAll, written)
+    written = load_tables(spark, folder, list(tables))
+    counts = [df.agg(F.count("*").alias("rows_loaded")).select(F.lit(t).alias("table"), "rows_loaded") for t, df in written.items()]
+    return reduce(DataFrame.unionAll, counts)

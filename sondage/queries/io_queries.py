@@ -9,6 +9,7 @@ from sondage.queries.inputs import COLUMNS, table, tables
 from sondage.queries.profile_queries import named
 from sondage.session import scratch_path, spread
 from sondage.sources import files, sinks
+from sondage.sources.split_csv import read_csv_split
 from sondage.streaming.chunked_load import load_in_chunks
 
 PREFIX, SUFFIX = "export_", "_dataset"
@@ -64,6 +65,29 @@ def chunked_csv_load(spark, folder):
     return files.load_tables(spark, stored)["documents"]
 
 
+def csv_split_multiline(spark, folder):
+    """All documents, line breaks included, exported and read back split by split."""
+    exported = scratch_path(spark, "multiline")
+    sinks.write_csv(table(spark, folder, "documents"), exported)
+    return read_csv_split(spark, exported, _schema("documents"))
+
+
+def _csv_roundtrip_of(name: str):
+    def roundtrip(spark, folder):
+        exported = scratch_path(spark, "csv")
+        sinks.write_csv(table(spark, folder, name), f"{exported}/{PREFIX}{name}{SUFFIX}.csv")
+        loaded = files.load_csv_folder(spark, exported, PREFIX, SUFFIX)[name]
+        # Inference tells numbers, times and texts apart; widths are those of the given table.
+        return loaded.select(*[F.col(c).cast(k) for c, k in COLUMNS[name].items()])
+
+    roundtrip.__doc__ = f"All of ``{name}`` to CSV and back with inferred types."
+    return roundtrip
+
+
+#: Tables without lists, which CSV cannot hold.
+FLAT = [t for t, kinds in COLUMNS.items() if not any("array" in k for k in kinds.values())]
+
+
 def profile_json_roundtrip(spark, folder):
     """A profile written as JSON documents and read back."""
     profile = DatabaseProfile(tables(spark, folder, ["customer", "nation", "orders", "region"])).table_profile
@@ -73,7 +97,8 @@ def profile_json_roundtrip(spark, folder):
     return named(back.select("table", "row_count", "duplicate_rows", F.explode("pk_candidates").alias("pk")))
 
 
-QUERIES = {f.__name__: f for f in (csv_roundtrip, csv_gz_load, append_load, chunked_csv_load, profile_json_roundtrip)}
+QUERIES = {f.__name__: f for f in (csv_roundtrip, csv_gz_load, append_load, chunked_csv_load, csv_split_multiline, profile_json_roundtrip)}
+QUERIES |= {f"csv_roundtrip_{name}": _csv_roundtrip_of(name) for name in FLAT}
 
 ORACLES = {
     "csv_roundtrip": """SELECT 'customer' AS table_name, c_custkey AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS parent,
@@ -81,6 +106,8 @@ ORACLES = {
         UNION ALL SELECT 'nation', n_nationkey, n_name, n_regionkey, NULL FROM nation""",
     "csv_gz_load": "SELECT * FROM lineitem",
     "chunked_csv_load": "SELECT * FROM documents",
+    "csv_split_multiline": "SELECT * FROM documents",
+    **{f"csv_roundtrip_{name}": f"SELECT * FROM {name}" for name in FLAT},
     "append_load": """SELECT l_returnflag, l_linestatus, count(*) AS rows, sum(l_quantity) AS quantity,
         (SELECT count(*) FROM lineitem) AS total_rows FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "profile_json_roundtrip": """WITH keys AS (

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.functions.text import CARD, EMAIL, IBAN, PHONE, card_numbers, iban_codes, redact
+from sondage.functions.text import CARD, EMAIL, IBAN, PHONE, WORD, card_numbers, iban_codes, redact
 from sondage.operators import text_scan
 from sondage.queries.inputs import run, table, untidy, untidy_sql
 from sondage.queries.profile_queries import named
@@ -55,7 +55,27 @@ def pii_cards_iban(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (pii_scan_full, pii_scan_sample, redact_text, casing_variants, pii_cards_iban)}
+# Names of people and places as the tables list them; most have several words (``Customer#000000001`` has two).
+NAMES = """SELECT c_name AS name, 'PERSON' AS entity FROM customer
+    UNION ALL SELECT s_name AS name, 'PERSON' AS entity FROM supplier
+    UNION ALL SELECT concat('Port of ', n_name) AS name, 'LOCATION' AS entity FROM nation
+    UNION ALL SELECT r_name AS name, 'LOCATION' AS entity FROM region"""
+# Notes in which names are written in other cases and with other marks, or only in part.
+NOTES = """SELECT o_orderkey AS id, CASE o_orderstatus
+        WHEN 'F' THEN concat('Delivered to customer ', lpad(CAST(o_custkey AS STRING), 9, '0'), '; port-of nation_', CAST(o_custkey % 30 AS STRING))
+        WHEN 'O' THEN concat('For CUSTOMER, number ', CAST(o_custkey AS STRING), ', port of call unknown')
+        ELSE concat('By supplier: ', lpad(CAST(o_orderkey % 200 AS STRING), 9, '0'), ' via Asia, ', o_orderpriority) END AS note
+    FROM orders"""
+
+
+def pii_names(spark, folder):
+    names = run(spark, folder, NAMES, "customer", "supplier", "nation", "region")
+    texts = {"orders": (run(spark, folder, NOTES, "orders"), ["note"]), **{t: (table(spark, folder, t), columns) for t, columns in TEXTS.items()}}
+    scans = [text_scan.scan_name_list(df, columns, names).select(F.lit(t).alias("table"), "*") for t, (df, columns) in texts.items()]
+    return named(reduce(DataFrame.unionAll, scans))
+
+
+QUERIES = {f.__name__: f for f in (pii_scan_full, pii_scan_sample, redact_text, casing_variants, pii_cards_iban, pii_names)}
 
 ENTITY_PATTERNS = (("EMAIL_ADDRESS", EMAIL), ("PHONE_NUMBER", PHONE))
 
@@ -82,6 +102,15 @@ ORACLES = {
         for c in columns
     )
     + ") AS a WHERE normal_form <> '') AS b WHERE forms > 1",
+    "pii_names": f"""WITH listed AS MATERIALIZED (SELECT DISTINCT array_to_string(regexp_extract_all(lower(name), '{WORD}'), ' ') AS phrase, entity FROM ({NAMES}) AS l),
+        texts AS (SELECT 'orders' AS t, 'note' AS c, note AS v FROM ({NOTES.replace("STRING", "VARCHAR")}) AS n
+            UNION ALL {union(f"SELECT '{t}' AS t, '{c}' AS c, {c} AS v FROM {t}" for t, columns in TEXTS.items() for c in columns)}),
+        spoken AS MATERIALIZED (SELECT row_number() OVER () AS r, t, c, v, regexp_extract_all(lower(v), '{WORD}') AS w FROM texts),
+        runs AS (SELECT DISTINCT r, t, c, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))],
+            [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS phrase FROM spoken),
+        hits AS (SELECT t, c, entity, count(DISTINCT r) AS hits FROM runs JOIN listed USING (phrase) GROUP BY t, c, entity)
+        SELECT t AS table_name, c AS column_name, entity, hits, scanned, round(hits / scanned * 100, 1) AS pct
+        FROM hits JOIN (SELECT t, c, count(v) AS scanned FROM spoken GROUP BY t, c) AS s USING (t, c)""",
     "pii_cards_iban": f"""WITH texts AS ({NUMBERS.replace("STRING", "VARCHAR")}),
     cards AS (SELECT source, id, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM
         (SELECT source, id, unnest(regexp_extract_all(text, '{CARD}')) AS m FROM texts) AS a),

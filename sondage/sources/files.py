@@ -28,14 +28,26 @@ def table_name(file_name: str, prefix: str = "", suffix: str = "") -> str:
     return stem.removeprefix(prefix).removesuffix(suffix) if prefix or suffix else stem
 
 
+#: The name of a load that replaced all tables, in the folder's marker of it and in the folder that holds it.
+COMMITTED, VERSION = "_committed-", "_version-"
+
+
+def current_folder(spark: SparkSession, folder: str) -> str:
+    """Where the tables of a folder are: in the last load that replaced them all, else in the folder itself."""
+    done = [n for n in list_folder(spark, folder) if n.startswith(COMMITTED)]
+    return f"{folder}/{VERSION}{max(done).removeprefix(COMMITTED)}" if done else folder
+
+
 def list_tables(spark: SparkSession, folder: str) -> list[str]:
     """Tables of a folder; names that start with a dot or an underscore are the system's own."""
-    names = [n for n in list_folder(spark, folder) if not n.startswith((".", "_"))]
+    names = [n for n in list_folder(spark, current_folder(spark, folder)) if not n.startswith((".", "_"))]
     return [table_name(n) for n in names if n.endswith(".parquet")]
 
 
 def load_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names or list_tables(spark, folder)}
+    names = names or list_tables(spark, folder)
+    place = current_folder(spark, folder)
+    return {n: spark.read.parquet(f"{place}/{n}.parquet") for n in names}
 
 
 # Words that are often written for a missing value; a choice for ``missing``, not applied by default.

@@ -92,11 +92,65 @@ def test_a_failed_load_leaves_the_old_tables(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
     with pytest.raises(Exception, match="no"):
         sinks.replace_all(spark, folder, {"new": broken})
-    assert spark.read.parquet(f"{folder}/old.parquet").count() == 3
+    assert {t: df.count() for t, df in files.load_tables(spark, folder).items()} == {"old": 3}
     sinks.replace_all(spark, folder, {"new": spark.range(2)})
     assert files.list_tables(spark, folder) == ["new"]
 
 
+def test_a_load_counts_from_its_marker_on(spark, tmp_path, monkeypatch):
+    folder, held = f"{tmp_path}/db", lambda: {t: df.count() for t, df in files.load_tables(spark, folder).items()}
+    sinks.write_table(spark.range(7), folder, "plain")
+    assert held() == {"plain": 7}
+    sinks.replace_all(spark, folder, {"a": spark.range(1), "b": spark.range(2)})
+    assert held() == {"a": 1, "b": 2}
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_commit", lambda *_: (_ for _ in ()).throw(OSError("no marker")))
+        with pytest.raises(OSError, match="no marker"):
+            sinks.replace_all(spark, folder, {"c": spark.range(3)})
+    assert held() == {"a": 1, "b": 2}
+    reading = files.load_tables(spark, folder)["b"]
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "remove", lambda *_: (_ for _ in ()).throw(OSError("not deleted")))
+        sinks.replace_all(spark, folder, {"c": spark.range(3)})
+        with pytest.raises(OSError, match="not deleted"):
+            sinks.replace_all(spark, folder, {"d": spark.range(4)})
+    assert held() == {"d": 4} and reading.count() == 2
+    sinks.write_table(spark.range(2), folder, "d", append=True)
+    assert held() == {"d": 6}
+    sinks.replace_all(spark, folder, {"e": spark.range(5)})
+    assert held() == {"e": 5}
+    names = files.list_folder(spark, folder)
+    assert len([n for n in names if n.startswith(files.COMMITTED)]) == 2 and "plain.parquet" not in names
+
+
+def test_a_marker_is_made_once(spark, tmp_path):
+    system = sinks._system(spark, str(tmp_path))
+    sinks._commit(spark, system, f"{tmp_path}/new/_committed-1")
+    with pytest.raises(OSError, match="exists"):
+        sinks._commit(spark, system, f"{tmp_path}/new/_committed-1")
+
+
+def test_microseconds_survive_csv(spark, tmp_path):
+    given = spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2024-01-01 00:00:07.179575' AS ts, TIMESTAMP'1969-12-31 23:59:59.000001' AS at")
+    sinks.write_csv(given, f"{tmp_path}/t.csv")
+    assert files.read_csv(spark, f"{tmp_path}/t.csv", given.schema).collect() == given.collect()
+
+
+@pytest.mark.parametrize("sql", [
+    "FROM orders INSERT INTO x SELECT * INSERT INTO y SELECT *", "WITH a AS (SELECT 1) INSERT INTO x SELECT * FROM a", "INSERT INTO x SELECT 1",
+    "FROM orders INSERT OVERWRITE TABLE x SELECT * INSERT INTO y SELECT *", "CREATE TABLE x AS SELECT 1", "DROP TABLE x",
+    "MERGE INTO x USING y ON x.a = y.a WHEN MATCHED THEN DELETE", "UPDATE x SET a = 1", "DELETE FROM x", "CACHE TABLE x", "SET a = b",
+])
+def test_statements_that_write_are_refused(spark, sql):
+    with pytest.raises(ValueError, match="only queries"):
+        kpi._refuse_commands(spark, sql)
+
+
+@pytest.mark.parametrize("sql", ["SELECT 1", "WITH a AS (SELECT 1 AS x) SELECT * FROM a WHERE x IN (SELECT x FROM a)", "SELECT 1 UNION ALL (SELECT 2)", "FROM orders SELECT *", "VALUES (1)"])
+def test_queries_are_let_through(spark, sql):
+    kpi._refuse_commands(spark, sql)
+
+
 def test_kpis_refuse_commands_and_leave_no_views(spark):
     spark.range(7).createOrReplaceTempView("mine")
     data = {"mine": spark.range(3), "other": spark.range(2)}

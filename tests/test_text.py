@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +117,44 @@ def test_listed_names(spark):
     names = spark.createDataFrame([("Paul",), ("Maria",)], "name string")
     found = text_scan.scan_names(df, "note", "id", names, "PERSON").first()
     assert tuple(found) == ("note", "PERSON", 2, 3, 66.7)
+
+
+def plain_mentions(values, names):
+    """(row, entity, phrase) by looking for every name at every word."""
+    import re
+
+    split = lambda x: re.findall(r"[^\W]+", x.lower())
+    out = set()
+    for row, value in enumerate(values):
+        spoken = split(value or "")
+        for name, entity in names:
+            own = split(name or "")
+            if own and any(spoken[i : i + len(own)] == own for i in range(len(spoken))):
+                out.add((row, entity, " ".join(own)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_names_of_several_words_match_looking_everywhere(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(text_scan, "BROADCAST_NAMES", broadcast)
+    generator = random.Random(3)
+    vocabulary = ["new", "york", "New", "YORK", "de", "la", "cruz", "é", "ann", "lee", "the", "of", "x1", "_y"]
+    spell = lambda n: generator.choice([" ", "-", ", ", "  "]).join(generator.choice(vocabulary) for _ in range(n))
+    values = [None, "", "...", "new", *(spell(generator.randint(1, 14)) for _ in range(150)), "new york " * 300]
+    names = [(spell(generator.randint(1, 4)), generator.choice(["PERSON", "LOCATION"])) for _ in range(25)]
+    names += [("New York", "LOCATION"), ("new-york", "PERSON"), (None, "PERSON"), ("?!", "PERSON"), ("New York", "LOCATION"), ("of the new York lee ann", "PERSON")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, note string").coalesce(1)
+    listed = spark.createDataFrame(names, "name string, entity string")
+    # One partition, so rows are numbered one by one.
+    found = {tuple(r) for r in text_scan.name_mentions(df, "note", listed).collect()}
+    expected = plain_mentions(values, names)
+    assert found == expected and len(expected) > 50
+    hits = {(r["entity"], r["hits"], r["scanned"]) for r in text_scan.scan_name_list(df, ["note"], listed).collect()}
+    assert hits == {(e, len({row for row, own, _ in expected if own == e}), len(values) - 1) for e in ("PERSON", "LOCATION")}
+
+
+def test_no_names_or_no_texts(spark):
+    df = spark.createDataFrame([("a b",)], "note string")
+    names = spark.createDataFrame([("a", "PERSON")], "name string, entity string")
+    assert text_scan.scan_name_list(df, ["note"], names.limit(0)).count() == 0
+    assert text_scan.scan_name_list(df.limit(0), ["note"], names).count() == 0

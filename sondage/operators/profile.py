@@ -74,13 +74,7 @@ class DatabaseProfile:
 
     @cached_property
     def quartiles(self) -> DataFrame | None:
-        # Counts of the numeric columns: one number per column.
-        present: dict[str, dict[str, int]] = {t: {} for t in self.tables}
-        numeric = {(t, c) for t, df in self.tables.items() for c in quantiles.numeric_columns(df)}
-        for row in self.facts.select("table", "column", "non_null").collect():
-            if (row["table"], row["column"]) in numeric:
-                present[row["table"]][row["column"]] = row["non_null"]
-        return quantiles.exact_quantiles(self.tables, present)
+        return quantiles.exact_quantiles(self.tables)
 
     @cached_property
     def iqr_bounds(self) -> DataFrame | None:
@@ -91,7 +85,7 @@ class DatabaseProfile:
         """None when no table holds a numeric value."""
         if self.iqr_bounds is None:
             return None
-        return quantiles.outlier_counts(self.tables, self.iqr_bounds, self.facts)
+        return quantiles.outlier_counts(self.tables, self.iqr_bounds)
 
     @cached_property
     def pk_candidates(self) -> DataFrame:

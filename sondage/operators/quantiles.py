@@ -1,235 +1,183 @@
-"""Exact quantiles without gathering a column in one place.
-
-A quantile with linear interpolation needs the values at two neighbouring ranks. An approximate
-percentile sketch, whose rank error is bounded, brackets those ranks in one shuffle-free pass; the
-bracket is narrowed in further passes until it holds few rows (or a single value). A last pass
-counts, per column, the rows below the bracket and the frequency of each value inside it, and a
-running total over those few values finds the exact ranks. Columns with few rows skip the sketch:
-their bracket is the whole column.
+"""Exact quantiles by radix selection, without sketches and without gathering a column in one place.
+
+A quantile with linear interpolation needs the values at two neighbouring ranks. One pass over all numeric
+columns of all tables counts values by an order-preserving code: the logarithm's steps, mirrored for negative
+values. A running total finds the codes that hold the wanted ranks, together with the least and
+greatest value of each. While these differ, another pass cuts the span between them into equal steps and
+counts the values inside it. A step divides the span by as many buckets as there are, so doubles
+are told apart after at most four such passes, whatever their distribution; most columns need one.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sondage.functions.canonical import as_number, is_numeric, quoted, sql_number
+from sondage.functions.canonical import is_numeric, sql_number, sql_text
 
 QUARTILES = (0.25, 0.75)
-# Rows a bracket may hold before it is narrowed again, and accuracy of the sketch.
-BRACKET_ROWS = 1_000_000
-ACCURACY = 10_000
+#: Buckets of a pass; a task sends at most so many rows for a column (twice as many in the first pass).
+BUCKETS = 1 << 16
+# Natural logarithms of the least and the greatest positive double, with some room.
+LEAST_LOG, GREATEST_LOG = -745.2, 709.8
 
 
 @dataclass(frozen=True)
-class Bracket:
-    """Value range of a column that is known to hold the rows of ranks first..last (from 0)."""
+class Target:
+    """A wanted rank of a column, counted from the least of the values from ``low`` to ``high`` that hold it."""
 
-    column: str
-    first: int
-    last: int
-    below: int
-    inside: int
-    low: float | None = None
-    high: float | None = None
+    entry: int
+    probability: float
+    weight: float
+    present: int
+    upper: bool
+    rank: int
+    low: float
+    high: float
 
-    def holds(self, value: Column) -> Column:
-        if self.low is None:
-            return value.isNotNull()
-        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
+    @property
+    def span(self) -> tuple[int, float, float]:
+        return self.entry, self.low, self.high
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f.dataType)]
 
 
-def _number(df: DataFrame, column: str) -> Column:
-    return as_number(quoted(column), df.schema[column].dataType)
+def exact_quantiles(tables: dict[str, DataFrame], probabilities=QUARTILES, buckets: int = BUCKETS) -> DataFrame | None:
+    """``(table, column, probability, value, present)`` for all numeric columns that have values, of which
+    ``present`` is the number. NULL and NaN are no values. None when there is no value at all."""
+    entries = [(t, c) for t, df in tables.items() for c in numeric_columns(df)]
+    if not entries:
+        return None
+    targets, found = _first_pass(tables, entries, probabilities, buckets), {}
+    while targets:
+        for target in targets:
+            if target.low == target.high:
+                found[target.entry, target.probability, target.upper] = target
+        targets = [t for t in targets if t.low != t.high]
+        targets = _narrowed(tables, entries, targets, buckets) if targets else []
+    rows = []
+    for (entry, probability, upper), low in found.items():
+        if not upper:
+            high = found[entry, probability, True].low
+            # Between two equal infinities there is no difference to take.
+            value = low.low if low.low == high else low.low + (high - low.low) * low.weight
+            rows.append((*entries[entry], probability, value, low.present))
+    spark = next(iter(tables.values())).sparkSession
+    return _table(spark, rows, "table string, column string, probability double, value double, present bigint") if rows else None
 
 
-def _narrowed(df: DataFrame, brackets: list[Bracket], accuracy: int) -> list[Bracket]:
-    """One pass: sketch the rows inside each bracket, then count exactly around the new bounds.
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of the driver's, a few rows per column, as one statement."""
+    names, kinds = zip(*(part.split(" ") for part in schema.split(", ")), strict=True)
+    listed = ", ".join("(" + ", ".join(sql_text(str(v)) for v in row) + ")" for row in rows)
+    typed = ", ".join(f"CAST(`{n}` AS {k}) AS `{n}`" for n, k in zip(names, kinds, strict=True))
+    return spark.sql(f"SELECT {typed} FROM VALUES {listed} AS t({', '.join(f'`{n}`' for n in names)})")
 
-    Only one row of counts and bounds per table reaches the driver.
-    """
-    sketches = []
-    for i, b in enumerate(brackets):
-        margin = 3 / accuracy
-        start = max((b.first - b.below) / b.inside - margin, 0.0)
-        end = min((b.last - b.below + 1) / b.inside + margin, 1.0)
-        value = _number(df, b.column)
-        sketches.append(
-            F.percentile_approx(F.when(b.holds(value), value), [start, end], accuracy).alias(f"b{i}")
-        )
-    bounds = df.agg(*sketches).first()
-    tighter = [replace(b, low=bounds[i][0], high=bounds[i][1]) for i, b in enumerate(brackets)]
-    counts = []
-    for i, b in enumerate(tighter):
-        value = _number(df, b.column)
-        counts.append(F.count_if(value < F.lit(b.low)).alias(f"below{i}"))
-        counts.append(F.count_if(b.holds(value)).alias(f"inside{i}"))
-    counted = df.agg(*counts).first()
-    result = []
-    for i, (old, new) in enumerate(zip(brackets, tighter)):
-        new = replace(new, below=counted[f"below{i}"], inside=counted[f"inside{i}"])
-        # A sketch that missed the wanted ranks is passed over; the bracket stays as it was.
-        missed = new.below > old.first or new.below + new.inside <= old.last
-        result.append(old if missed else new)
-    return result
-
-
-def _brackets(df: DataFrame, present: dict[str, int], probabilities, limit: int, accuracy: int) -> list[Bracket]:
-    found, open_ = [], []
-    for column, rows in present.items():
-        if rows == 0:
-            continue
-        ranks = [(rows - 1) * p for p in probabilities]
-        if rows <= limit:
-            found.append(Bracket(column, 0, rows - 1, 0, rows))
-            continue
-        for rank in ranks:
-            first = math.floor(rank)
-            open_.append(Bracket(column, first, min(first + 1, rows - 1), 0, rows))
-    while open_:
-        before = open_
-        open_ = []
-        for old, new in zip(before, _narrowed(df, before, accuracy)):
-            settled = new.inside <= limit or new.low == new.high
-            # A bracket that stops shrinking holds little besides one very frequent value.
-            stuck = old.low is not None and new.inside >= old.inside
-            (found if settled or stuck else open_).append(new)
-    return found
-
-
-def exact_quantiles(
-    tables: dict[str, DataFrame],
-    present: dict[str, dict[str, int]],
-    probabilities=QUARTILES,
-    limit: int = BRACKET_ROWS,
-    accuracy: int = ACCURACY,
-) -> DataFrame | None:
-    """``(table, column, probability, value)`` for all numeric columns.
-
-    ``present`` gives the non-null rows of each numeric column. None when no column has any.
-    """
-    spark = next(iter(tables.values())).sparkSession
-    parts, targets = [], []
-    number = 0
-    for table, df in tables.items():
-        ids: list[tuple[int, Bracket]] = []
-        for bracket in _brackets(df, present.get(table, {}), probabilities, limit, accuracy):
-            ids.append((number, bracket))
-            rows = present[table][bracket.column]
-            for p in probabilities:
-                rank = (rows - 1) * p
-                first = math.floor(rank)
-                if bracket.first <= first <= bracket.last and (bracket.low is None or first == bracket.first):
-                    targets.append((number, table, bracket.column, p, first, min(first + 1, rows - 1), rank - first))
-            number += 1
-        if ids:
-            parts.append(_bracket_values(df, ids))
-    if not parts:
-        return None
-    values = reduce(DataFrame.unionAll, parts)
-    counted = values.groupBy("bracket", "value").agg(F.count("*").alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy("bracket").orderBy(F.asc_nulls_first("value")))
-    ranked = counted.withColumn("upto", upto)
-    # One row per wanted quantile: bounded by the number of columns.
-    joined = ranked.join(F.broadcast(_target_rows(spark, targets)), "bracket")
 
-    def at(rank: str) -> Column:
-        hit = (F.col(rank) < F.col("upto")) & (F.col(rank) >= F.col("upto") - F.col("rows"))
-        return F.max(F.when(hit, F.col("value")))
-
-    return (
-        joined.groupBy("table", "column", "probability", "weight")
-        .agg(at("rank").alias("lower"), at("next_rank").alias("upper"))
-        .select(
-            "table",
-            "column",
-            "probability",
-            (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("weight")).alias("value"),
-        )
-    )
+def _cells(df: DataFrame, cells: list[tuple[str, str, str]]) -> DataFrame:
+    """``(span, code, value)``: a row for each of the given triples of expressions that has a span."""
+    named = [(f"s{i}", f"c{i}", f"v{i}") for i in range(len(cells))]
+    wide = df.selectExpr(*[f"{sql} AS {name}" for cell, names in zip(cells, named, strict=True) for sql, name in zip(cell, names, strict=True)])
+    listed = ", ".join(f"({', '.join(names)})" for names in named)
+    return df.sparkSession.sql(f"SELECT span, code, value FROM {{wide}} UNPIVOT ((span, code, value) FOR cell IN ({listed})) WHERE span IS NOT NULL", wide=wide)
 
 
-def _bracket_values(df: DataFrame, ids: list[tuple[int, Bracket]]) -> DataFrame:
-    """``(bracket, value)`` of the rows up to the end of each bracket; rows below it carry NULL, so
-    that they shrink to one count before the shuffle."""
-    projected, entries = [], []
-    for number, b in ids:
-        value = sql_number(b.column, df.schema[b.column].dataType)
-        keep = f"{value} IS NOT NULL" if b.high is None else f"{value} <= CAST('{b.high!r}' AS DOUBLE)"
-        shown = value if b.low is None else f"IF({value} >= CAST('{b.low!r}' AS DOUBLE), {value}, NULL)"
-        projected += [f"IF({keep}, {number}, NULL) AS b{number}", f"IF({keep}, {shown}, NULL) AS v{number}"]
-        entries.append(f"(b{number}, v{number})")
-    wide = df.selectExpr(*projected)
-    return wide.sparkSession.sql(
-        "SELECT bracket, value FROM {wide} UNPIVOT INCLUDE NULLS "
-        f"((bracket, value) FOR entry IN ({', '.join(entries)})) WHERE bracket IS NOT NULL",
-        wide=wide,
-    )
+def _counted(parts: list[DataFrame]) -> DataFrame:
+    """``(span, below, n, low, high)`` of each code; ``below`` counts the values of the span before it."""
+    by_code = reduce(DataFrame.unionAll, parts).groupBy("span", "code").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    before = Window.partitionBy("span").orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
+    return by_code.select("span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("below"), "n", "low", "high")
 
 
-def _target_rows(spark: SparkSession, targets: list[tuple]) -> DataFrame:
-    names = ("bracket", "table", "column", "probability", "rank", "next_rank", "weight")
-    kinds = ("int", "string", "string", "double", "bigint", "bigint", "double")
-    rows = [
-        F.struct(*[F.lit(v).cast(k).alias(n) for v, k, n in zip(row, kinds, names)]) for row in targets
+def _first_pass(tables: dict[str, DataFrame], entries: list[tuple[str, str]], probabilities, buckets: int) -> list[Target]:
+    number = {entry: i for i, entry in enumerate(entries)}
+    scale = (buckets - 1) / (GREATEST_LOG - LEAST_LOG)
+    parts = []
+    for table, df in tables.items():
+        cells = []
+        for column in numeric_columns(df):
+            value = sql_number(column, df.schema[column].dataType)
+            # Zero has a code of its own, and so has infinity.
+            step = f"1 + LEAST(FLOOR((LN(ABS({value})) - {LEAST_LOG}D) * {scale!r}D), {buckets})"
+            code = f"CASE WHEN {value} = 0 THEN 0 WHEN ABS({value}) = DOUBLE('Infinity') THEN SIGN({value}) * {buckets + 2} ELSE SIGN({value}) * ({step}) END"
+            cells.append((f"IF({value} IS NULL, NULL, {number[table, column]})", f"CAST({code} AS BIGINT)", value))
+        if cells:
+            parts.append(_cells(df, cells))
+    counted = _counted(parts)
+    present = counted.withColumn("present", F.sum("n").over(Window.partitionBy("span")))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
+    place = (F.col("present") - 1) * F.col("probability")
+    ranks = F.array(F.struct(F.lit(False).alias("upper"), F.floor(place).alias("rank")), F.struct(F.lit(True).alias("upper"), F.least(F.floor(place) + 1, F.col("present") - 1).alias("rank")))
+    each = present.select("*", wanted).select("*", place.alias("place"), F.explode(ranks).alias("r"))
+    hit = (F.col("r.rank") >= F.col("below")) & (F.col("r.rank") < F.col("below") + F.col("n"))
+    # Two rows for each numeric column and probability.
+    rows = each.filter(hit).select("span", "probability", (F.col("place") - F.floor("place")).alias("weight"), "present", "r.upper", (F.col("r.rank") - F.col("below")).alias("rank"), "low", "high")
+    return [Target(*row) for row in rows.collect()]
+
+
+def _narrowed(tables: dict[str, DataFrame], entries: list[tuple[str, str]], targets: list[Target], buckets: int) -> list[Target]:
+    """The targets with the values around them, among the codes into which their spans are cut."""
+    spans = {span: i for i, span in enumerate(dict.fromkeys(t.span for t in targets))}
+    parts = []
+    for table in dict.fromkeys(entries[entry][0] for entry, _, _ in spans):
+        cells, df = [], tables[table]
+        for (entry, low, high), i in spans.items():
+            if entries[entry][0] == table:
+                value = sql_number(entries[entry][1], df.schema[entries[entry][1]].dataType)
+                first, last = (f"CAST({sql_text(repr(x))} AS DOUBLE)" for x in (low, high))
+                code = f"CAST(LEAST(FLOOR(({value} - {first}) / ({last} - {first}) * {buckets}), {buckets - 1}) AS BIGINT)"
+                inside = f"{value} >= {first} AND {value} <= {last}"
+                cells.append((f"IF({inside}, {i}, NULL)", f"IF({inside}, {code}, NULL)", f"IF({inside}, {value}, NULL)"))
+        parts.append(_cells(df, cells))
+    spark = next(iter(tables.values())).sparkSession
+    wanted = _table(spark, sorted({(spans[t.span], t.rank) for t in targets}), "span int, rank bigint")
+    hit = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))
+    # One row for each wanted rank, a few per column.
+    rows = _counted(parts).join(F.broadcast(wanted), "span").filter(hit).collect()
+    at = {(row["span"], row["rank"]): row for row in rows}
+    return [
+        replace(t, rank=t.rank - row["below"], low=row["low"], high=row["high"])
+        for t in targets for row in [at[spans[t.span], t.rank]]
     ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def iqr_bounds(quartiles: DataFrame) -> DataFrame:
-    """``(table, column, q1, q3, iqr)``."""
+    """``(table, column, q1, q3, present, iqr)``."""
     return (
         quartiles.groupBy("table", "column")
         .agg(
             F.max(F.when(F.col("probability") == 0.25, F.col("value"))).alias("q1"),
             F.max(F.when(F.col("probability") == 0.75, F.col("value"))).alias("q3"),
+            F.max("present").alias("present"),
         )
         .withColumn("iqr", F.col("q3") - F.col("q1"))
     )
 
 
-def outlier_counts(tables: dict[str, DataFrame], bounds: DataFrame, facts: DataFrame) -> DataFrame:
+def outlier_counts(tables: dict[str, DataFrame], bounds: DataFrame) -> DataFrame:
     """``(table, column, outlier_count)`` for every numeric column: values strictly outside
-    ``q1 - 1.5 iqr .. q3 + 1.5 iqr``; 0 unless more than 4 values exist and the IQR is positive."""
-    entries = [(t, c) for t, df in tables.items() for c in numeric_columns(df)]
-    spark = facts.sparkSession
-    every = spark.range(1).select(
-        F.posexplode(F.array(*[F.struct(F.lit(t).alias("table"), F.lit(c).alias("column")) for t, c in entries]))
-    ).select(F.col("pos").alias("entry"), "col.*")
+    ``q1 - 1.5 iqr .. q3 + 1.5 iqr``; 0 unless more than 4 values exist and the IQR is positive. One scan a
+    table, in which every task sends a single row."""
     # One row per numeric column of the database.
-    fences = (
-        every.join(bounds, ["table", "column"])
-        .join(facts.select("table", "column", "non_null"), ["table", "column"])
-        .filter("non_null > 4 AND iqr > 0")
-        .selectExpr("entry", "q1 - 1.5 * iqr AS low", "q3 + 1.5 * iqr AS high")
-    )
-    number = {pair: i for i, pair in enumerate(entries)}
-    values = []
+    fences = {
+        (r["table"], r["column"]): (r["low"], r["high"])
+        for r in bounds.filter("present > 4 AND iqr > 0").selectExpr("`table`", "`column`", "q1 - 1.5 * iqr AS low", "q3 + 1.5 * iqr AS high").collect()
+    }
+    parts = []
     for table, df in tables.items():
-        mine = [(number[table, c], c) for c in numeric_columns(df)]
-        if not mine:
+        names = numeric_columns(df)
+        if not names:
             continue
-        wide = df.selectExpr(
-            *[f"{sql_number(c, df.schema[c].dataType)} AS v{i}" for i, c in mine], *[f"{i} AS e{i}" for i, _ in mine]
-        )
-        cells = ", ".join(f"(e{i}, v{i})" for i, _ in mine)
-        values.append(
-            spark.sql(f"SELECT entry, value FROM {{wide}} UNPIVOT ((entry, value) FOR cell IN ({cells}))", wide=wide)
-        )
-    outside = (
-        reduce(DataFrame.unionAll, values)
-        .join(F.broadcast(fences), "entry")
-        .filter("value < low OR value > high")
-        .groupBy("entry")
-        .agg(F.count("*").alias("outlier_count"))
-    )
-    counted = every.join(outside, "entry", "left").fillna(0, ["outlier_count"])
-    return counted.select("table", "column", "outlier_count")
+        counts, rows = [], []
+        for i, column in enumerate(names):
+            value = sql_number(column, df.schema[column].dataType)
+            low, high = (f"CAST({sql_text(repr(x))} AS DOUBLE)" for x in fences.get((table, column), (0.0, 0.0)))
+            counts.append(f"count_if({value} < {low} OR {value} > {high}) AS o{i}" if (table, column) in fences else f"CAST(0 AS BIGINT) AS o{i}")
+            rows.append(f"named_struct('table', {sql_text(table)}, 'column', {sql_text(column)}, 'outlier_count', o{i})")
+        parts.append(df.selectExpr("count(*) AS every", *counts).selectExpr(f"inline(array({', '.join(rows)}))"))
+    return reduce(DataFrame.unionAll, parts)

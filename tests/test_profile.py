@@ -135,8 +135,8 @@ def test_duplicates_count_beyond_the_first(spark):
     assert DatabaseProfile({"t": df}).duplicates.first()["duplicate_rows"] == 3
 
 
-@pytest.mark.parametrize("limit, accuracy", [(1_000_000, 10_000), (50, 100), (10, 40)])
-def test_quantiles_equal_numpy(spark, limit, accuracy):
+@pytest.mark.parametrize("buckets", [1 << 16, 32])
+def test_quantiles_equal_numpy(spark, buckets):
     random.seed(7)
     data = {
         "even": [float(i) for i in range(2000)],
@@ -146,22 +146,30 @@ def test_quantiles_equal_numpy(spark, limit, accuracy):
         "few": [float(i % 3) for i in range(2000)],
         "holes": [None if i % 2 else float(i) for i in range(2000)],
         "none": [None] * 2000,
+        # Neighbouring doubles, the least and greatest ones, both zeros.
+        "close": [1.0 + (i % 500) * 2.0**-52 for i in range(2000)],
+        "wide": [random.choice([-1.0, 1.0]) * 2.0 ** random.uniform(-1070, 1020) for _ in range(2000)],
+        "edges": [random.choice([5e-324, -5e-324, 0.0, -0.0, 1.7e308, -1.7e308, float("nan")]) for _ in range(2000)],
     }
     names = list(data)
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{n} double" for n in names)).repartition(4)
-    present = {"t": {n: sum(v is not None for v in data[n]) for n in names}}
-    found = quantiles.exact_quantiles({"t": df}, present, limit=limit, accuracy=accuracy)
-    got = {(r["column"], r["probability"]): r["value"] for r in found.collect()}
+    found = quantiles.exact_quantiles({"t": df}, buckets=buckets).collect()
+    got = {(r["column"], r["probability"]): r["value"] for r in found}
+    present = {n: [v for v in data[n] if v is not None and v == v] for n in names}
+    assert {r["column"]: r["present"] for r in found} == {n: len(v) for n, v in present.items() if v}
     assert set(got) == {(n, p) for n in names if n != "none" for p in (0.25, 0.75)}
     for (name, p), value in got.items():
-        expected = np.quantile([v for v in data[name] if v is not None], p)
-        assert value == pytest.approx(expected, rel=1e-12), (name, p)
+        ordered = sorted(present[name])
+        place = (len(ordered) - 1) * p
+        low, high = ordered[int(place)], ordered[min(int(place) + 1, len(ordered) - 1)]
+        assert value == low + (high - low) * (place - int(place)), (name, p)
+        assert value == pytest.approx(np.quantile(present[name], p), rel=1e-12), (name, p)
 
 
 def test_quantiles_of_tiny_columns(spark):
     for values in ([3.0], [1.0, 2.0], [1.0, 2.0, 10.0], [1.0, 2.0, 3.0, 4.0, 50.0, 60.0]):
         df = spark.createDataFrame([(v,) for v in values], "x double")
-        found = quantiles.exact_quantiles({"t": df}, {"t": {"x": len(values)}}).collect()
+        found = quantiles.exact_quantiles({"t": df}).collect()
         for r in found:
             assert r["value"] == pytest.approx(np.quantile(values, r["probability"]))
 
@@ -169,8 +177,10 @@ def test_quantiles_of_tiny_columns(spark):
 def test_quantiles_beside_infinite_values(spark):
     values = [float("-inf")] * 30 + [float(i) for i in range(40)] + [float("inf")] * 30
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    found = quantiles.exact_quantiles({"t": df}, {"t": {"x": 100}}, (0.4, 0.5, 0.6), limit=20, accuracy=50).collect()
-    assert {r["probability"]: round(r["value"], 9) for r in found} == {0.4: 9.6, 0.5: 19.5, 0.6: 29.4}
+    found = quantiles.exact_quantiles({"t": df}, (0.1, 0.4, 0.5, 0.6, 0.9), buckets=4).collect()
+    assert {r["probability"]: round(r["value"], 9) for r in found} == {0.1: float("-inf"), 0.4: 9.6, 0.5: 19.5, 0.6: 29.4, 0.9: float("inf")}
+    assert quantiles.exact_quantiles({"t": df.limit(0)}) is None
+    assert quantiles.exact_quantiles({"t": df.selectExpr("CAST(x AS STRING) AS x")}) is None
 
 
 def test_outlier_gates(spark):

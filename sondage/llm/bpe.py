@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sondage.llm.tables import Memo
+from sondage.llm.tables import Memo, give_back
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -142,6 +142,7 @@ class Codec:
         """Drop what was remembered of texts, so that an idle worker holds only the vocabulary."""
         for memo in (self.follows, self.piece, self.word):
             memo.clear()
+        give_back()
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
@@ -186,6 +187,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids", text: str = "d
         own = codec(shared.value)
         for part in parts:
             yield pd.Series([own.decode(x or b"") for x in part], dtype=object)
+        give_back()
 
     return encoded.withColumn(text, decoded(F.col(ids)))
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from sondage.llm.tables import give_back
 from sondage.llm.texts import SHAPES, describe, fold_of, sample, shapes
 
 #: Parameters of the fit: rows of either kind at most, and the folds of which one is held out.
@@ -128,6 +129,8 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "
         for part in parts:
             features = np.stack([describe(x or "", forms) for x in part]) if len(part) else np.empty((0, SHAPES + 8))
             yield pd.Series(shared.value.score(features))
+        del forms
+        give_back()
 
     return docs.withColumn(out, scored(F.col(text)))
 

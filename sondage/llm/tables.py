@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
@@ -94,6 +95,16 @@ def fold(document: bytes) -> list[bytes]:
     return document.lower().split()
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: workers wait for further tasks beside each other, and
+    the allocators would keep it. Where the C library cannot do that, its part stays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut record batches so that the texts of each piece stay near ``limit`` bytes."""
     for batch in batches:
@@ -108,6 +119,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = BATCH_BYTE
             part = batch.slice(start, stop - start)
             yield part, part.column(part.schema.get_field_index(text)).to_pylist()
             start = stop
+    give_back()
 
 
 class Memo(dict):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sondage.llm.tables import finished, let, row_key, stored
+from sondage.llm.tables import finished, let, row_key, stored, unused
 
 WORDS = 5
 #: 5 * shared >= 4 * all is a similarity of 0.8.
@@ -185,6 +185,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold an item. Rows go by key and text: those of a null key go too, and
     a clean row stays when another of its key holds an item."""
-    named = docs.withColumn("__row", row_key(key, text))
-    held = contaminated(named.select("__row", text), items, "__row", text).select("__row").distinct()
-    return named.join(held, "__row", "left_anti").select(*docs.columns)
+    row = unused(docs, "row")
+    named = docs.withColumn(row, row_key(key, text))
+    held = contaminated(named.select(row, text), items, row, text).select(row).distinct()
+    return named.join(held, row, "left_anti").select(*docs.columns)

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -82,11 +82,16 @@ def signature(members: np.ndarray) -> np.ndarray:
     return ((both * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(np.uint16)
 
 
-SUMMARY = "key bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, signature binary"
+def text_name(text: str = "text") -> list[Column]:
+    """``text_hi`` and ``text_lo``, 128 bits that name a text; null counts as empty."""
+    return [F.xxhash64(utf8(text)).alias("text_hi"), F.xxhash64(F.lit("second"), utf8(text)).alias("text_lo")]
+
+
+SUMMARY = "key bigint, text_hi bigint, text_lo bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, signature binary"
 
 
 def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similarity = AT_85) -> DataFrame:
-    """One row per text: size of its shingle set, a 128-bit name of the set, band keys, signature."""
+    """One row per text: its name, size of its shingle set, a 128-bit name of the set, band keys, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = word_numbers()
@@ -100,9 +105,9 @@ def summarise(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Simi
                 rows.append((len(members), *names, bands, values.tobytes()))
             columns = list(zip(*rows, strict=True))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.record_batch([part.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["key", "n_shingles", "set_hi", "set_lo", "bands", "signature"])
+            yield pa.record_batch([*part.columns[:3], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["key", "text_hi", "text_lo", "n_shingles", "set_hi", "set_lo", "bands", "signature"])
 
-    return docs.select(F.col(key).cast("bigint").alias("key"), utf8(text).alias("t")).mapInArrow(run, SUMMARY)
+    return docs.select(F.col(key).cast("bigint").alias("key"), *text_name(text), utf8(text).alias("t")).mapInArrow(run, SUMMARY)
 
 
 def linked(percent: int) -> Callable:
@@ -124,8 +129,8 @@ def linked(percent: int) -> Callable:
 
 def confirmed(pairs: DataFrame, texts: DataFrame, at: Similarity) -> DataFrame:
     """Those of the pairs ``(a, b)`` whose texts are linked."""
-    right = pairs.join(texts.select(F.col("key").alias("b"), F.col("t").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("key").alias("a"), F.col("t").alias("text_a")), "a")
+    right = pairs.join(texts.select(F.col("node").alias("b"), F.col("t").alias("text_b")), "b")
+    both = right.join(texts.select(F.col("node").alias("a"), F.col("t").alias("text_a")), "a")
     return both.where(linked(at.percent)("text_a", "text_b")).select("a", "b")
 
 
@@ -141,9 +146,9 @@ def likely_pairs(similar: Similarity) -> Callable:
             if left.empty or right.empty:
                 continue
             values = np.frombuffer(b"".join(right.signature), np.uint16).reshape(len(right), -1)
-            keys, parts = right.key.to_numpy(), right.component.to_numpy()
-            for key, part, own in zip(left.key, left.component, left.signature, strict=True):
-                wanted = (parts != part) & ((keys > key) if diagonal else True)
+            nodes, parts = right.node.to_numpy(), right.component.to_numpy()
+            for node, part, own in zip(left.node, left.component, left.signature, strict=True):
+                wanted = (parts != part) & ((nodes > node) if diagonal else True)
                 if wanted.any():
                     at = np.flatnonzero(wanted)
                     equal = values[at] == np.frombuffer(own, np.uint16)
@@ -151,7 +156,7 @@ def likely_pairs(similar: Similarity) -> Callable:
                     at, equal = at[enough], equal[enough]
                     at = at[~equal[:, similar.bands[:band]].all(axis=2).any(axis=1)]
                     if len(at):
-                        yield pa.record_batch([pa.array(np.minimum(keys[at], key)), pa.array(np.maximum(keys[at], key))], names=["a", "b"])
+                        yield pa.record_batch([pa.array(np.minimum(nodes[at], node)), pa.array(np.maximum(nodes[at], node))], names=["a", "b"])
 
     return run
 
@@ -175,7 +180,6 @@ def by_group(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield tuple(held[0][names].iloc[0]), pd.concat(held)
 
 
-@finished
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similarity = AT_85) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
 
@@ -186,45 +190,55 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", at
     Texts are read whole. Equal sets are one node from the start, so copies cost nothing further.
     Repeated rows give repeated rows, and a key on several texts joins them only where links do. Null
     keys stay alone, with a null component, and are kept."""
+    return groups(docs, key, text, at).select(F.col("key").alias(key), "n_shingles", "component_id", "kept")
+
+
+@finished
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similarity = AT_85) -> DataFrame:
+    """What ``near_duplicates`` says, with ``text_hi`` and ``text_lo`` that tell the texts of one key apart
+    (``text_name``), and ``first``: of the rows of a group those of its least key and, under that key, of one
+    text. Rows without shingles or key are first."""
     every = stored(summarise(docs, key, text, at), "summaries")
     named = every.where("n_shingles > 0 AND key IS NOT NULL")
-    alike = ["set_hi", "set_lo"]
-    nodes = stored(
-        named.groupBy(*alike).agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "signature"))),
-        "nodes",
-    )
-    occupied = nodes.select("key", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
-    shared = occupied.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("key").alias("hub"), F.max("key").alias("last"))
+    # Nodes are sets. Their numbers are settled by being stored; each stands for its least row.
+    sets, row = ["set_hi", "set_lo"], ["key", "text_hi", "text_lo"]
+    alike = named.groupBy(*sets).agg(F.min(F.struct(*row)).alias("row"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")))
+    nodes = stored(alike.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    occupied = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    shared = occupied.groupBy("band", "bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     shared = shared.where("hub < last").select("band", "bucket", "hub")
     met = stored(occupied.join(shared, ["band", "bucket"]), "met")
 
-    needed = met.select("key").distinct()
-    texts = docs.select(F.col(key).cast("bigint").alias("key"), utf8(text).alias("t"))
-    # Where rows of one key differ, the text that gave the node's set must be the one compared; keys are
-    # unique in practice, so this costs nothing else.
-    texts = stored(texts.join(needed, "key", "left_semi"), "texts").dropDuplicates(["key"])
+    # The text of a node is that of its row, whatever other texts have the same key.
+    needed = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "row.*")
+    texts = docs.select(F.col(key).cast("bigint").alias("key"), *text_name(text), utf8(text).alias("t"))
+    texts = stored(texts.join(needed, row).dropDuplicates(row).select("node", "t"), "texts")
 
-    # First everything against the least key of its bucket.
-    sizes = nodes.select(F.col("key").alias("hub"), F.col("n_shingles").alias("hub_size"))
-    stars = met.where("hub < key").select("hub", "key", "n_shingles").distinct().join(sizes, "hub")
+    # First everything against the least node of its bucket.
+    sizes = nodes.select(F.col("node").alias("hub"), F.col("n_shingles").alias("hub_size"))
+    stars = met.where("hub < node").select("hub", "node", "n_shingles").distinct().join(sizes, "hub")
     stars = stars.where(f"100 * least(n_shingles, hub_size) >= {at.percent} * greatest(n_shingles, hub_size)")
-    links = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("key").alias("b")), texts, at), "stars")
-    joined = stored(components(links).withColumnRenamed("node", "key"), "joined")
+    links = stored(confirmed(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), texts, at), "stars")
+    joined = stored(components(links), "joined")
 
     # Then, in buckets that still hold several components, across those.
-    placed = met.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    placed = met.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = placed.join(mixed.select("band", "bucket"), ["band", "bucket"]).select("band", "bucket", "key", "component")
-    rest = tiles(rest, ["band", "bucket"], "key", TILE).join(nodes.select("key", "signature"), "key")
+    rest = placed.join(mixed.select("band", "bucket"), ["band", "bucket"]).select("band", "bucket", "node", "component")
+    rest = tiles(rest, ["band", "bucket"], "node", TILE).join(nodes.select("node", "signature"), "node")
     tile = ["band", "bucket", "tile_i", "tile_j"]
     pairs = rest.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(likely_pairs(at), "a bigint, b bigint").distinct()
     links = links.unionByName(confirmed(pairs, texts, at))
 
-    found = components(links).withColumnRenamed("node", "low")
-    sets = nodes.select(*alike, F.col("key").alias("low")).join(found, "low", "left")
-    sets = sets.select(*alike, F.coalesce("component", "low").alias("component"))
-    result = every.join(sets, alike, "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("key")))
+    rows = nodes.select("node", "row")
+    found = stored(components(links).join(rows, "node"), "found")
+    least = found.groupBy("component").agg(F.min("row").alias("least"))
+    found = found.join(least, "component").select("node", "least")
+    placed = nodes.select("node", *sets, "row").join(found, "node", "left").select(*sets, F.coalesce("least", "row").alias("least"))
+    result = every.join(placed, sets, "left")
+    grouped = (F.col("n_shingles") > 0) & F.col("key").isNotNull()
+    result = result.withColumn("component_id", F.when(grouped, F.col("least.key")).otherwise(F.col("key")))
     return result.select(
-        F.col("key").alias(key), "n_shingles", F.when(F.col("key").isNotNull(), F.col("component_id")).alias("component_id"),
-        F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
+        *row, "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(True)).alias("kept"),
+        (~grouped | F.struct(*row).eqNullSafe(F.col("least"))).alias("first"),
     )

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sondage.llm.tables import Memo, finished, mix, pieces, row_key, stored, utf8
+from sondage.llm.tables import Memo, finished, mix, pieces, row_key, stored, unused, utf8
 
 LENGTH, GRAM = 400, 64
 #: A block of places ends at a mark; if none follows within REACH places, the place is its own block.
@@ -484,9 +484,10 @@ def whole_letters(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; all rows and other columns stay as they are. Bytes
     of a letter that a cut has split are dropped, so the text stays UTF-8. Null texts stay null."""
-    spans = repeated_spans(docs, key, text, words).select(F.col("row").alias("__row"), whole_letters("kept").alias("__kept"))
-    cut = docs.withColumn("__row", row_key(key, text)).join(spans, "__row", "left")
-    return cut.withColumn(text, F.coalesce("__kept", text)).select(*docs.columns)
+    row, kept = unused(docs, "row"), unused(docs, "kept")
+    spans = repeated_spans(docs, key, text, words).select(F.col("row").alias(row), whole_letters("kept").alias(kept))
+    cut = docs.withColumn(row, row_key(key, text)).join(spans, row, "left")
+    return cut.withColumn(text, F.coalesce(kept, text)).select(*docs.columns)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 from functools import wraps
 from pathlib import Path
 
@@ -20,6 +21,8 @@ from sondage.sources.sinks import remove
 
 #: Texts are handed to numpy in pieces of about so many bytes, whatever the number of rows.
 BATCH_BYTES = 4 << 20
+#: Large groups are dealt over so many keys before they are cut into tiles.
+SALTS = 32
 
 
 def prepare(spark: SparkSession) -> None:
@@ -43,33 +46,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    if _kept:
-        _kept[-1].append(path)
+    paths = _paths.get()
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Paths stored by the operators that are running, innermost last.
-_kept: list[list[str]] = []
+#: Paths stored by the innermost operator that is running; each thread has its own.
+_paths: ContextVar[list[str] | None] = ContextVar("paths", default=None)
 
 
 def finished(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """An operator whose result is stored, and whose intermediate tables are deleted once it is."""
+    """An operator whose result is stored, and whose intermediate tables are deleted once it is, or once it
+    has failed."""
 
     @wraps(operator)
     def run(table: DataFrame, *args, **options) -> DataFrame:
-        _kept.append([])
+        inner: list[str] = []
         try:
-            result = operator(table, *args, **options)
-            inner, _kept[-1] = _kept[-1], []
-            result = stored(result, operator.__name__)
-            path = _kept[-1]
+            outer = _paths.set(inner)
+            try:
+                result = operator(table, *args, **options)
+            finally:
+                _paths.reset(outer)
+            return stored(result, operator.__name__)
         finally:
-            _kept.pop()
-        for old in inner:
-            remove(table.sparkSession, old)
-        if _kept:
-            _kept[-1] += path
-        return result
+            for old in inner:
+                remove(table.sparkSession, old)
 
     return run
 
@@ -79,6 +82,14 @@ def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, however often it is used. (The optimizer would put the
     whole expression in the place of each use, inside lambdas too.)"""
@@ -150,9 +161,13 @@ def tiles(rows: DataFrame, group: list[str], member: str, size: int) -> DataFram
     has more than about twice ``size`` rows. Adds ``tile_i``, ``tile_j`` and ``side``: 0 for rows of the
     part tile_i, 1 for those of tile_j; on the diagonal all are 0. A group of up to ``size`` rows is one
     tile; a larger one of k parts has its rows in k tiles each."""
-    parts = rows.groupBy(*group).agg(F.ceil(F.count("*") / size).cast("int").alias("tile_parts"))
+    # Only groups of several parts are looked up, each under SALTS keys, so that no group meets in one task.
+    parts = rows.groupBy(*group).agg(F.ceil(F.count("*") / size).cast("int").alias("tile_parts")).where("tile_parts > 1")
+    parts = parts.withColumn("tile_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("tile_salt", F.pmod(F.xxhash64(F.col(member), F.lit("salt")), F.lit(SALTS)).cast("int"))
+    dealt = salted.join(parts, [*group, "tile_salt"], "left").drop("tile_salt").withColumn("tile_parts", F.coalesce("tile_parts", F.lit(1)))
     part = F.pmod(F.xxhash64(F.col(member), F.lit("part")), F.col("tile_parts")).cast("int")
-    dealt = rows.join(parts, group).withColumn("tile_part", part)
+    dealt = dealt.withColumn("tile_part", part)
     dealt = dealt.withColumn("tile_other", F.explode(F.sequence(F.lit(0), F.col("tile_parts") - 1)))
     return (
         dealt.withColumn("tile_i", F.least("tile_part", "tile_other"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sondage.llm import bpe, decontaminate, minhash, quality, suffix
 from sondage.llm.queries import TOKENIZER
-from sondage.llm.tables import prepare, stored, table
+from sondage.llm.tables import prepare, stored, table, unused
 
 #: Repeated passages of so many words are cut, however few bytes they have.
 PASSAGE = 51
@@ -21,16 +21,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier does not reject. All of them go through it."""
     prepare(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out="__score").where(F.col("__score") >= quality.THRESHOLD).select(*docs.columns)
+    score = unused(docs, "score")
+    return quality.score(docs, model, out=score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group of near duplicates, texts whose five-word shingles have a
-    similarity of 0.8 or more; the first of rows that repeat it, and every row whose id is null."""
+    similarity of 0.8 or more. Different texts under one id are documents of their own; of rows that repeat id
+    and text the first stays, and every row whose id is null."""
     prepare(spark)
-    kept = minhash.near_duplicates(docs, at=minhash.AT_80).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    names = [unused(docs, name) for name in ("key", "text_hi", "text_lo")]
+    kept = minhash.groups(docs, at=minhash.AT_80).where("first AND key IS NOT NULL").select("key", "text_hi", "text_lo").distinct().toDF(*names)
     named, unnamed = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
-    return named.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    values = [F.col("doc_id").cast("bigint"), *minhash.text_name()]
+    named = named.select("*", *(value.alias(name) for value, name in zip(values, names, strict=True)))
+    return named.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns).unionByName(unnamed)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +43,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     place cut out of their texts; ``n_chars`` is counted anew where a text changes. A text may end up empty;
     its row stays."""
     prepare(spark)
-    cut = suffix.without_repeats(docs.withColumn("__before", F.col("text")), words=PASSAGE)
+    before = unused(docs, "before")
+    cut = suffix.without_repeats(docs.withColumn(before, F.col("text")), words=PASSAGE)
     if "n_chars" in docs.columns:
-        changed = ~F.col("text").eqNullSafe(F.col("__before"))
+        changed = ~F.col("text").eqNullSafe(F.col(before))
         cut = cut.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 

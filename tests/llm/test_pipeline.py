@@ -59,6 +59,20 @@ def test_stages_keep_extra_columns_repeated_rows_and_nulls(spark, tmp_path):
     assert all(stage(spark, empty, FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_stages_keep_different_texts_of_one_id_and_columns_of_any_name(spark):
+    generator = random.Random(7)
+    texts = [cases.words(generator, 40) for _ in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, f"{texts[0]} x"), (3, texts[2]), (3, "")]
+    extra = ["key", "text_hi", "text_lo", "row", "kept", "score", "before", "node", "__row"]
+    docs = spark.createDataFrame([(*r, *extra) for r in rows], f"doc_id bigint, text string, {', '.join(f'{c} string' for c in extra)}")
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, FOLDER)
+        assert docs.columns == ["doc_id", "text", *extra]
+    left = docs.collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted([rows[0], rows[1], rows[4], rows[5]])
+    assert all(list(r[2:]) == extra for r in left)
+
+
 def test_near_copies_from_a_similarity_of_four_fifths_on_are_dropped(spark):
     base = [f"w{i}" for i in range(104)]
     # A changed word takes five of 100 shingles out: similarities of 95 / 105, 90 / 110, 85 / 115.

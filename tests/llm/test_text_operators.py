@@ -1,5 +1,9 @@
+import glob
 import hashlib
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -7,7 +11,8 @@ from public_tokenizers import path
 from tokenizers import Tokenizer
 
 from sondage.llm import bpe, decontaminate, minhash, suffix, token_files
-from sondage.llm.tables import prepare, tiles
+from sondage.llm.tables import finished, prepare, stored, tiles
+from sondage.session import scratch_path
 from tests.llm import cases
 
 TOKENIZER = path("byte_bpe_50k.json")
@@ -60,6 +65,40 @@ def test_minhash_of_null_keys_repeated_rows_and_nothing(session):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_minhash_of_different_texts_under_one_key_whatever_their_order(session):
+    generator = random.Random(6)
+    first, second = cases.words(generator, 60), cases.words(generator, 60)
+    near = f"{second} more"
+    for given in ([(1, first), (1, second), (2, near)], [(2, near), (1, second), (1, first)], [(1, second), (1, first), (2, near)]):
+        docs = session.createDataFrame(given, "doc_id bigint, text string").coalesce(1)
+        rows = minhash.near_duplicates(docs).collect()
+        assert sorted((r.doc_id, r.component_id, r.kept) for r in rows) == [(1, 1, True), (1, 1, True), (2, 1, False)]
+        kept = sorted((r.key, r.first) for r in minhash.groups(docs).collect())
+        assert kept == [(1, True), (1, True), (2, False)]
+
+
+def test_stored_tables_of_threads_and_of_failed_operators(session):
+    def held(label):
+        return set(glob.glob(f"{urlparse(scratch_path(session, label)).path.rsplit('/', 1)[0]}/*"))
+
+    @finished
+    def slow(table, label, fails=False):
+        inner = stored(table, f"{label}-inner")
+        meeting.wait()
+        if fails:
+            raise ArithmeticError
+        return inner.selectExpr("id + 1 AS id")
+
+    meeting, before = threading.Barrier(3), held("before")
+    with ThreadPoolExecutor(3) as pool:
+        runs = [pool.submit(slow, session.range(5), f"thread{i}", i == 2) for i in range(3)]
+        assert [sorted(r.id for r in run.result().collect()) for run in runs[:2]] == [[1, 2, 3, 4, 5]] * 2
+        with pytest.raises(ArithmeticError):
+            runs[2].result()
+    left = held("after") - before
+    assert len([p for p in left if "slow" in p]) == 2 and not [p for p in left if "inner" in p]
+
+
 def test_tiles_bring_every_pair_together_once(session):
     rows = session.range(50).selectExpr("id % 2 AS g", "id")
     dealt = [r.asDict() for r in tiles(rows, ["g"], "id", 7).collect()]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sondage.functions.variants import entries, is_object, items, member, with_type_name
+from sondage.operators.keys import looks_like_identifier
 from sondage.session import durable
 
 # Fixed values.
@@ -63,6 +64,75 @@ def field_catalog(records: DataFrame, min_present_pct: float = MIN_FIELD_PRESENT
     return catalog_of(durable(field_type_counts(records, record=record)), (), min_present_pct)
 
 
+def survey(records: DataFrame, shard: Column | None = None, shards: int = 1, order: Column | None = None, record: str = "record") -> DataFrame:
+    """All that a plan is made of, from one parse of the records: ``(kind, field, name, rows, starts, most, seen)``.
+
+    Of ``kind`` ``type`` there is a row per field and type ``name``, of ``inner`` one per field and key ``name``
+    of objects in its list, of ``value`` one per scalar field whose name hints at an identifier. ``rows`` and
+    ``starts`` count by shard, 0 to ``shards`` - 1; the ``starts`` of all types add up to the records. ``most`` is
+    how often the most frequent value of a ``value`` field occurs, ``seen`` the first record (by ``order``) and
+    place in the list of an inner key. Each task sends a row per kind and, for the hinted fields, per value."""
+    at = F.pmod(shard, F.lit(shards)).cast("int") if shard is not None else F.lit(0)
+    marked = records.withColumns({"_shard": at, "_line": order if order is not None else F.lit(0)})
+    typed = with_type_name(record_fields(marked, ["_shard", "_line"], record), "value", "type")
+
+    none = F.lit(None).cast("string")
+    # No record has a place of its own in a list.
+    spot = F.struct(F.col("_line").alias("line"), F.lit(-1).alias("item_no"))
+
+    def fact(kind: str, name: Column, value: Column, seen: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"), value.alias("value"), seen.alias("seen"))
+
+    def inner(item: Column, place: Column) -> Column:
+        keys = F.coalesce(F.map_keys(F.when(is_object(item), entries(item))), F.array().cast("array<string>"))
+        return F.transform(keys, lambda key: fact("inner", key, none, F.struct(F.col("_line").alias("line"), place.alias("item_no"))))
+
+    listed = F.flatten(F.transform(items(F.col("value")), inner))
+    hinted = looks_like_identifier(F.col("field")) & F.col("type").isin("bool", "float", "int", "str")
+    text = F.col("value").try_cast("string")
+    facts = [
+        F.array(fact("type", F.col("type"), none, spot)),
+        F.when(hinted, F.array(fact("value", none, text, spot))),
+        F.when(F.col("type").startswith("list["), listed),
+    ]
+    found = F.array_compact(F.flatten(F.array_compact(F.array(*facts))))
+    started = (F.col("pos").isNull() | (F.col("pos") == 0)) & (F.col("fact.kind") == "type")
+    every = typed.select("_shard", "field", "pos", F.explode(found).alias("fact"))
+
+    def by_shard(test: Column, name: str) -> list[Column]:
+        return [F.count_if(test & (F.col("_shard") == i)).alias(f"{name}_{i}") for i in range(shards)]
+
+    merged = every.groupBy("fact.kind", "field", "fact.name", "fact.value").agg(
+        *by_shard(F.lit(True), "rows"), *by_shard(started, "starts"), F.count("*").alias("all"), F.min("fact.seen").alias("seen")
+    )
+    return merged.groupBy("kind", "field", "name").agg(
+        *(F.array(*(F.sum(f"{c}_{i}") for i in range(shards))).alias(c) for c in ("rows", "starts")),
+        F.max("all").alias("most"), F.min("seen").alias("seen"),
+    )
+
+
+def surveyed_types(found: DataFrame, by: str | None = None) -> DataFrame:
+    """``(*by, field, type, rows, starts)`` of a survey, over all its shards or for each."""
+    each = found.filter("kind = 'type'").select("field", F.col("name").alias("type"), F.posexplode(F.arrays_zip("rows", "starts")).alias("shard", "n"))
+    keys = ([F.col("shard").alias(by)] if by else []) + ["field", "type"]
+    return each.groupBy(*keys).agg(F.sum("n.rows").alias("rows"), F.sum("n.starts").alias("starts")).filter("rows > 0")
+
+
+def surveyed_keys(found: DataFrame) -> DataFrame:
+    """``(field)``: hinted fields of a survey with distinct values in all records."""
+    total = found.filter("kind = 'type'").agg(F.sum(F.aggregate("starts", F.lit(0).cast("bigint"), lambda a, b: a + b))).scalar()
+    rows = F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return found.filter("kind = 'value' AND most = 1").filter(rows == total).select("field")
+
+
+def surveyed_inner(found: DataFrame, ordered: bool) -> DataFrame:
+    """``(source_field, inner_field, place)`` of a survey, as ``object_fields`` gives them."""
+    uses = F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    first = [F.col("seen"), F.col("name")] if ordered else [F.desc(uses), F.col("name")]
+    place = F.row_number().over(Window.partitionBy("field").orderBy(*first))
+    return found.filter("kind = 'inner'").select(F.col("field").alias("source_field"), F.col("name").alias("inner_field"), place.alias("place"))
+
+
 def object_fields(
     records: DataFrame, source_field: str | list[str], order: Column | None = None, limit: int | None = None, record: str = "record"
 ) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sondage.functions.variants import member
-from sondage.operators.fields import catalog_of, field_type_counts, object_fields
+from sondage.operators import fields
+from sondage.operators.fields import catalog_of, field_type_counts
 from sondage.operators.keys import looks_like_identifier
 from sondage.session import durable
 
@@ -77,27 +78,27 @@ def key_candidates(records: DataFrame, names: list[str], record: str = "record")
     return values.groupBy("field").agg((most == 1).alias("is_key"))
 
 
-def choose_key(records: DataFrame, catalog: DataFrame, record: str = "record") -> str:
-    """The first identifier-named scalar field (by name) that is a key; failing that, any scalar
-    field that is one."""
+def choose_key(records: DataFrame, found: DataFrame, record: str = "record") -> str:
+    """The first identifier-named scalar field (by name) that is a key, which the survey tells; failing that,
+    any scalar field that is one, which takes a second look at the records."""
+    hinted = fields.surveyed_keys(found).orderBy("field").first()
+    if hinted is not None:
+        return hinted["field"]
     scalars = F.forall("types", lambda t: t.isin(*SCALARS))
-    always = catalog.filter(scalars & (F.col("present_pct") >= 100))
-    rows = always.select("field", looks_like_identifier(F.col("field")).alias("hinted")).orderBy("field").collect()
-    for hinted in (True, False):
-        names = [r["field"] for r in rows if r["hinted"] == hinted]
-        if names:
-            keys = {r["field"] for r in key_candidates(records, names, record).filter("is_key").collect()}
-            for name in names:
-                if name in keys:
-                    return name
+    always = catalog_of(fields.surveyed_types(found)).filter(scalars & (F.col("present_pct") >= 100))
+    names = [r["field"] for r in always.filter(~looks_like_identifier(F.col("field"))).orderBy("field").collect()]
+    if names:
+        first = key_candidates(records, names, record).filter("is_key").orderBy("field").first()
+        if first is not None:
+            return first["field"]
     raise ValueError("no field is present in all records with distinct values")
 
 
-def propose(records: DataFrame, name: str, order=None, record: str = "record", catalog: DataFrame | None = None) -> FlatteningPlan:
-    """A plan by rule from the field catalog. Only field names reach the driver."""
-    if catalog is None:
-        catalog = catalog_of(durable(field_type_counts(records, record=record)))
-    return _plan_from(table_kinds(catalog), name, choose_key(records, catalog, record), records, order, record)
+def propose(records: DataFrame, name: str, order=None, record: str = "record") -> FlatteningPlan:
+    """A plan by rule from one pass over the records. Only field names reach the driver."""
+    found = durable(fields.survey(records, order=order, record=record))
+    kinds = table_kinds(catalog_of(fields.surveyed_types(found)))
+    return _plan_from(kinds, name, choose_key(records, found, record), found, order)
 
 
 def proposals_by_shard(records: DataFrame, shard, runs: int = CONSENSUS_RUNS, record: str = "record") -> DataFrame:
@@ -116,24 +117,27 @@ def consensus(proposals: DataFrame) -> DataFrame:
 
 
 def propose_by_consensus(records: DataFrame, name: str, shard, order=None, runs: int = CONSENSUS_RUNS, record: str = "record") -> FlatteningPlan:
-    catalog = catalog_of(durable(field_type_counts(records, record=record)))
-    kinds = consensus(proposals_by_shard(records, shard, runs, record))
-    return _plan_from(kinds, name, choose_key(records, catalog, record), records, order, record)
+    """The plan on which proposals by shard agree; they, the key and the inner keys come from the same pass."""
+    found = durable(fields.survey(records, shard, runs, order, record))
+    catalog = catalog_of(fields.surveyed_types(found, "proposal"), ["proposal"])
+    kinds = consensus(table_kinds(catalog, ["proposal"]))
+    return _plan_from(kinds, name, choose_key(records, found, record), found, order)
 
 
-def _plan_from(kinds: DataFrame, name: str, key: str, records: DataFrame, order, record: str) -> FlatteningPlan:
+def _plan_from(kinds: DataFrame, name: str, key: str, found: DataFrame, order) -> FlatteningPlan:
     # One row per field and place, then one per inner field.
     rows = kinds.orderBy("source_field").collect()
-    fields = tuple(r["source_field"] for r in rows if r["kind"] == "main" and r["source_field"] != key)
+    main = tuple(r["source_field"] for r in rows if r["kind"] == "main" and r["source_field"] != key)
     inner: dict[str, list[str]] = {r["source_field"]: [] for r in rows if r["kind"] == "objects"}
     if inner:
-        for i in object_fields(records, list(inner), order, record=record).orderBy("source_field", "place").collect():
-            inner[i["source_field"]].append(i["inner_field"])
+        for i in fields.surveyed_inner(found, order is not None).orderBy("source_field", "place").collect():
+            if i["source_field"] in inner:
+                inner[i["source_field"]].append(i["inner_field"])
     children = tuple(
         ChildTable(f"{name}_{r['source_field']}", r["source_field"], r["kind"], tuple(inner.get(r["source_field"], ())))
         for r in rows if r["kind"] != "main"
     )
-    return FlatteningPlan(name, key, fields, children)
+    return FlatteningPlan(name, key, main, children)
 
 
 def plan_rows(spark, plan: FlatteningPlan) -> DataFrame:

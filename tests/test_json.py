@@ -112,6 +112,34 @@ def test_proposed_plan(spark):
     assert flattening.plan_rows(spark, plan).count() == 7
 
 
+def test_survey_says_what_separate_passes_say(spark, records):
+    found = fields.survey(records, F.col("line"), 3, F.col("line"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1
+    found = found.cache()
+    counts = fields.field_type_counts(records)
+    assert sorted(map(str, fields.surveyed_types(found).collect())) == sorted(map(str, counts.filter("rows > 0").collect()))
+    sharded = fields.field_type_counts(records.withColumn("p", (F.col("line") % 3).cast("int")), ["p"])
+    assert sorted(map(str, fields.surveyed_types(found, "p").collect())) == sorted(map(str, sharded.collect()))
+    lists = ["b", "d", "dot.k", "l", "n"]
+    for order in (F.col("line"), None):
+        inner = fields.surveyed_inner(fields.survey(records, order=order), order is not None)
+        expected = fields.object_fields(records, lists, order)
+        assert sorted(map(tuple, inner.collect())) == sorted(map(tuple, expected.collect()))
+    found.unpersist()
+
+
+def test_keys_of_a_survey(spark):
+    def plan(rows):
+        return flattening.propose(files.parse_objects(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")), "t").primary_key
+
+    assert plan([{"b_id": 1, "a_id": "1", "n": 1}, {"b_id": "1", "a_id": "2", "n": 2}]) == "a_id"
+    assert plan([{"id": 1, "a_id": None, "n": 1}, {"id": 2, "a_id": 2, "n": 2}]) == "id"
+    # A hinted field that is missing once, null once or repeated is no key; one without a hint may be.
+    assert plan([{"id": 1, "n": 1}, {"n": 2}]) == plan([{"id": 1, "n": 1}, {"id": None, "n": 2}]) == plan([{"id": 1, "n": 1}, {"id": 1, "n": 2}]) == "n"
+    with pytest.raises(ValueError):
+        plan([{"id": 1}, {}])
+
+
 def test_no_key_is_an_error(spark):
     data = files.parse_objects(spark.createDataFrame([('{"id":1}',), ('{"id":1}',)], "value string"))
     with pytest.raises(ValueError):

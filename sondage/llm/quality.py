@@ -139,9 +139,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for each row of ``docs``; every text is read whole.
 
     Labels of the held-out fold are never used, nor is any column of ``docs`` but the text. Repeated rows
-    get equal scores; an empty table of labels gives a half everywhere."""
+    get equal scores; an empty table of labels gives a half everywhere. A row without an id is not held out,
+    and no label is its own."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels))
     return scored.select(
-        "doc_id", (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score",
+        "doc_id", F.coalesce(fold_of("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )

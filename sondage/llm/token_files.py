@@ -8,6 +8,7 @@ what a document has in earlier blocks to where it ends.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,13 @@ from sondage.llm.tables import finished, pieces, stored, utf8
 BLOCK_IDS, FAN = 1 << 16, 1 << 10
 LEVELS = 3
 
+def width_of(vocabulary: str, end: int | None = None) -> int:
+    """Bytes of an id: 2 if all ids of a vocabulary file's contents, and the end, are below 65,536, else 4."""
+    held = json.loads(vocabulary)
+    ids = [*held["model"]["vocab"].values(), *(token["id"] for token in held.get("added_tokens") or []), end or 0]
+    return 2 if max(ids) < 1 << 16 else 4
+
+
 FLAT = "file bigint, block bigint, ids binary, names array<bigint>"
 
 
@@ -30,13 +38,16 @@ def write_flat(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     """Lay the token ids of all texts end to end, each closed by the end id, one file per task, cut into
     blocks ``(file, block, ids)``. ``names`` lists the keys of the documents that end in a block, in
     order; it holds no positions. Special tokens in a text are written as ordinary text, so that the end
-    id stands at ends only. Null and empty texts have no ids but the end; texts are read whole."""
-    shared = docs.sparkSession.sparkContext.broadcast(definition(path))
+    id stands at ends only. Null and empty texts have no ids but the end; texts are read whole. Ids have 16
+    bits if the vocabulary allows that (``width_of``), else 32."""
+    vocabulary = definition(path)
+    width = width_of(vocabulary, end)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, file = codec(shared.value), TaskContext.get().partitionId()
-        closing = np.array([max(own.bytes_of) if end is None else end], "<u2").tobytes()
-        size, block, held, pending = 2 * block_ids, 0, bytearray(), []
+        closing = np.array([max(own.bytes_of) if end is None else end], f"<u{width}").tobytes()
+        size, block, held, pending = width * block_ids, 0, bytearray(), []
 
         def cut(block: int) -> pa.RecordBatch:
             names = [name for name, stop in pending if stop <= size]
@@ -45,7 +56,7 @@ def write_flat(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
         for part, texts in pieces(batches, "t"):
             for name, document in zip(part.column(0).to_pylist(), texts, strict=True):
-                held += np.frombuffer(own.encode(document.decode(), False), "<u4").astype("<u2").tobytes() + closing
+                held += np.frombuffer(own.encode(document.decode(), False), "<u4").astype(f"<u{width}").tobytes() + closing
                 pending.append((name, len(held)))
                 while len(held) >= size:
                     yield cut(block)
@@ -130,7 +141,9 @@ def token_counts(blocks: DataFrame, end: int, width: int = 2) -> DataFrame:
 
 @finished
 def document_counts(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """Write all documents to flat token files and count each one's tokens from these alone."""
+    """Write all documents to flat token files and count each one's tokens from these alone: ``(doc_id,
+    n_tokens)`` for each row, null and empty texts with 0, null and repeated ids as often as they stand
+    there. Texts of any length are laid out whole; an empty table gives no rows."""
     flat = stored(write_flat(docs, path, end=end), "flat")
-    counts = token_counts(flat, end)
+    counts = token_counts(flat, end, width_of(definition(path), end))
     return counts.select(F.get("names", "position").alias("doc_id"), "n_tokens")

@@ -187,3 +187,12 @@ def test_urls_match_trying_every_rule(session):
     assert twice.count() == 2 * len(given)
     assert urls.judge(pages.limit(0), urls.rule_table(session, tuple(rules))).count() == 0
     assert {r.verdict for r in urls.judge(pages, urls.rule_table(session, tuple(rules)).limit(0)).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize(("operator", "label"), [(quality, "quality"), (toxicity, "toxic")])
+def test_rows_without_an_id_are_judged_and_not_held_out(session, operator, label):
+    docs = session.createDataFrame([(None, "some words"), (1, None), (2, "")], "doc_id bigint, text string")
+    labels = session.createDataFrame([], f"doc_id bigint, {label} int")
+    rows = operator.judge(docs, labels).collect()
+    assert len(rows) == 3 and all(isinstance(r.held_out, bool) and 0 <= r.score <= 1 and r.predicted in (0, 1) for r in rows)
+    assert [r.held_out for r in rows if r.doc_id is None] == [False]

@@ -1,5 +1,6 @@
 import glob
 import hashlib
+import json
 import random
 import threading
 from concurrent.futures import ThreadPoolExecutor
@@ -185,6 +186,23 @@ def test_token_counts_from_flat_files(session, block_ids, monkeypatch):
     assert len(rows) == len(texts) and token_files.token_counts(flat.limit(0), 50256).count() == 0
 
 
+def test_ids_beyond_sixteen_bits_keep_all_their_bits(session, tmp_path):
+    held = json.loads(bpe.definition(TOKENIZER))
+    # The same vocabulary, its last word piece under an id that only 32 bits hold.
+    last = max(held["model"]["vocab"], key=held["model"]["vocab"].get)
+    moved = {**held["model"]["vocab"], last: 70_000}
+    wide = tmp_path / "wide.json"
+    wide.write_text(json.dumps({**held, "model": {**held["model"], "vocab": moved}, "added_tokens": []}), "utf-8")
+    assert token_files.width_of(bpe.definition(TOKENIZER)) == 2 == token_files.width_of(bpe.definition(TOKENIZER), 65_535)
+    assert token_files.width_of(wide.read_text("utf-8")) == 4 == token_files.width_of(bpe.definition(TOKENIZER), 65_536)
+    # 65,793 has the low bits of 257: cut to 16 bits, that id would look like an end.
+    texts = ["one two three", None, "", "again " * 40, last]
+    docs = session.createDataFrame([*enumerate(texts), (None, "one"), (0, texts[0])], "doc_id bigint, text string")
+    narrow, broad = (sorted((r.doc_id or -1, r.n_tokens) for r in token_files.document_counts(docs, TOKENIZER, end).collect()) for end in (50_256, 65_793))
+    assert narrow == broad and len(narrow) == len(texts) + 2
+    assert [n for i, n in narrow if i in (1, 2)] == [0, 0]
+
+
 def test_token_counts_of_raw_files(session, tmp_path):
     ids = np.array([1, 2, 9, 9, 3, 4, 5, 6, 7, 8, 9, 1], "<u2")
     (tmp_path / "a.bin").write_bytes(ids.tobytes())

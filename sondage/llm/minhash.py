@@ -200,10 +200,13 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", at: Similar
     text. Rows without shingles or key are first."""
     every = stored(summarise(docs, key, text, at), "summaries")
     named = every.where("n_shingles > 0 AND key IS NOT NULL")
-    # Nodes are sets. Their numbers are settled by being stored; each stands for its least row.
     sets, row = ["set_hi", "set_lo"], ["key", "text_hi", "text_lo"]
-    alike = named.groupBy(*sets).agg(F.min(F.struct(*row)).alias("row"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")))
-    nodes = stored(alike.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # Nodes are sets, numbered in the order of their least rows: so the hub of a bucket is its least document,
+    # and buckets of one group share few hubs. The numbers are settled by being stored.
+    least = F.min(F.struct(*row)).alias("row")
+    numbers = named.groupBy(*sets).agg(least).orderBy("row").withColumn("node", F.monotonically_increasing_id())
+    alike = named.groupBy(*sets).agg(*(F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")))
+    nodes = stored(alike.join(numbers, sets), "nodes")
     occupied = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     shared = occupied.groupBy("band", "bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     shared = shared.where("hub < last").select("band", "bucket", "hub")

@@ -185,7 +185,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold an item. Rows go by key and text: those of a null key go too, and
     a clean row stays when another of its key holds an item."""
-    row = unused(docs, "row")
+    row = unused(docs, "__row")
     named = docs.withColumn(row, row_key(key, text))
     held = contaminated(named.select(row, text), items, row, text).select(row).distinct()
     return named.join(held, row, "left_anti").select(*docs.columns)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondage.operators import keys
 from sondage.operators.profile import DatabaseProfile
 
 # Price of a million tokens in USD, and EUR per USD.
@@ -109,26 +110,30 @@ def usage_by_call(calls: DataFrame, by: list[str]) -> DataFrame:
     return priced.withColumn("cost_usd", F.round("cost_usd", 6)).join(run, by)
 
 
-def report_document(profile: DatabaseProfile, kpis: DataFrame) -> DataFrame:
+def report_document(profile: DatabaseProfile, kpis: DataFrame, calls: DataFrame | None = None) -> DataFrame:
     """The report as one nested row, ready for ``write_json``. Its lists hold one entry per table,
-    key edge, finding or KPI."""
+    key edge, possible fact table, breakdown column, finding or KPI. ``cost`` sums up ``calls`` (with
+    ``prompt_tokens`` and ``completion_tokens``), and is all zeros without any."""
 
-    def listed(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.collect_list(F.struct("*")).alias(name))
-
-    def column(df: DataFrame, name: str):
-        return listed(df, name).scalar().alias(name)
+    def column(df: DataFrame, name: str, *order: str):
+        """All rows as one list, in the given order."""
+        listed = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("order"), F.struct(*df.columns).alias("entry"))))
+        return df.agg(F.transform(listed, lambda e: e["entry"])).scalar().alias(name)
 
     tables, columns = profile.table_profile, profile.column_profile
+    edges = profile.fk_candidates
+    breakdowns = keys.breakdown_columns(profile.facts, profile.distincts, profile.cardinality_ratio)
     findings = quality_findings(tables, columns)
-    ranked = findings.withColumn("_line", F.row_number().over(Window.orderBy("priority", "table", "column", "finding")))
-    lines = ranked.agg(F.array_sort(F.collect_list(F.struct("_line", "finding"))).alias("f")).select(
-        F.transform("f", lambda s: s["finding"]).alias("quality_findings")
-    )
+    if calls is None:
+        calls = kpis.sparkSession.range(0).selectExpr("id AS prompt_tokens", "id AS completion_tokens")
+    cost = usage_cost(calls, []).na.fill(0)
     return kpis.sparkSession.range(1).select(
         F.current_timestamp().alias("generated_at"),
-        column(tables, "tables"),
-        column(profile.fk_candidates, "fk_candidates"),
-        lines.scalar().alias("quality_findings"),
-        column(kpis, "kpis"),
+        cost.select(F.struct(*cost.columns)).scalar().alias("cost"),
+        column(tables, "tables", "table"),
+        column(edges, "fk_candidates", *edges.columns),
+        column(keys.star_candidates(edges, profile.row_counts), "star_candidates", "place"),
+        column(breakdowns, "breakdown_columns", "table", "column"),
+        column(findings, "quality_findings", "priority", "table", "column", "finding"),
+        column(kpis, "kpis", "name"),
     )

@@ -117,8 +117,10 @@ def report_document(profile: DatabaseProfile, kpis: DataFrame, calls: DataFrame
 
     def column(df: DataFrame, name: str, *order: str):
         """All rows as one list, in the given order."""
-        listed = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("order"), F.struct(*df.columns).alias("entry"))))
-        return df.agg(F.transform(listed, lambda e: e["entry"])).scalar().alias(name)
+        listed = F.collect_list(F.struct(F.struct(*order).alias("order"), F.struct(*df.columns).alias("entry")))
+        # Compared by the order alone, since entries may hold maps.
+        placed = F.array_sort(listed, lambda a, b: F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0))
+        return df.agg(F.transform(placed, lambda e: e["entry"])).scalar().alias(name)
 
     tables, columns = profile.table_profile, profile.column_profile
     edges = profile.fk_candidates

@@ -61,6 +61,26 @@ def test_vectors_match_comparing_all_pairs(session, monkeypatch, size, tile):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found) and sum(links.values()) > 100
 
 
+@pytest.mark.parametrize(("size", "dims", "reach"), [(1, 8, 0.1), (300, 8, 0.3), (500, 2, 0.05), (400, 3, 5.0)])
+def test_pairs_within_reach_match_comparing_all(monkeypatch, size, dims, reach):
+    monkeypatch.setattr(embeddings, "SLICE", 1000)
+    points = np.random.default_rng(5).normal(size=(size, dims)) / 8
+    points[size // 2 : size // 2 + 30] = points[0]
+    found = np.concatenate([np.stack(p) for p in embeddings.close(points, reach)], axis=1)
+    gaps = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    expected = np.stack(np.nonzero(np.triu(gaps <= reach * reach, 1)))
+    assert sorted(zip(*found.tolist(), strict=True)) == list(zip(*expected.tolist(), strict=True))
+    assert (np.sort(embeddings.decoded(embeddings.encoded(found, size), size)) == np.sort(found)).all()
+
+
+def test_unrelated_vectors_are_hardly_compared(monkeypatch):
+    points, pairs = np.random.default_rng(6).normal(size=(2000, 8)) / 8, []
+    einsum = np.einsum
+    monkeypatch.setattr(embeddings.np, "einsum", lambda spec, a, b: pairs.append(len(a)) or einsum(spec, a, b))
+    list(embeddings.close(points, 0.0708))
+    assert sum(pairs) < 2000 * 1999 / 2 / 50
+
+
 def test_vectors_of_null_keys_and_nothing(session):
     rows = [(None, [1.0, 2.0], 1), (5, [1.0, 2.0], 1), (5, [1.0, 2.0], 1)]
     given = session.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sondage.operators import kpi, report
 from sondage.operators.profile import DatabaseProfile
-from sondage.queries.inputs import run, table, tables
+from sondage.queries import profile_sql as sql
+from sondage.queries.inputs import run, table, tables, untidy
 from sondage.session import scratch_path
 from sondage.sources import files, sinks
 
@@ -184,9 +185,30 @@ def usage_by_call(spark, folder):
     return files.read_json_document(spark, path, found.schema)
 
 
+def report_document(spark, folder):
+    """The report over the untidy tables, its KPIs and the costs of its calls, written as a JSON document, read back
+    and laid out line by line."""
+    document = report.report_document(DatabaseProfile(untidy(spark, folder)), _report(spark, folder), run(spark, folder, CALLS, "conversations"))
+    path = scratch_path(spark, "report")
+    sinks.write_json(document, path)
+    back = files.read_json_document(spark, path, document.schema)
+    lines = {
+        "table": ("tables", lambda e: F.format_string("%s: %d rows, %d duplicates, keys %s", e["table"], e["row_count"], e["duplicate_rows"], F.array_join(e["pk_candidates"], ", "))),
+        "key": ("fk_candidates", lambda e: F.format_string("%s.%s in %s.%s", e["child_table"], e["child_column"], e["parent_table"], e["parent_column"])),
+        "fact table": ("star_candidates", lambda e: F.format_string("%d %s", e["place"], e["table"])),
+        "breakdown": ("breakdown_columns", lambda e: F.format_string("%s.%s by %d", e["table"], e["column"], e["distinct_count"])),
+        "finding": ("quality_findings", lambda e: F.format_string("%d %s", e["priority"], e["finding"])),
+        "kpi": ("kpis", lambda e: F.format_string("%s: %s", e["name"], e["status"])),
+    }
+    listed = [F.transform(column, lambda e: F.struct(F.lit(part).alias("part"), line(e).alias("line"))) for part, (column, line) in lines.items()]  # noqa: B023
+    tokens = F.format_string("%d calls, %d tokens", "cost.calls", "cost.total_tokens")
+    cost = F.array(F.struct(F.lit("cost").alias("part"), tokens.alias("line")))
+    return back.select(F.inline(F.concat(*listed, cost)))
+
+
 QUERIES = {name: partial(_shared, name=name) for name in SHARED} | {
     f.__name__: f
-    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_report, kpi_status_counts, kpi_guard, translate_values, usage_cost_rollup, usage_by_call)
+    for f in (kpi_quoted_columns, kpi_fanout_avg, kpi_avg_cast, kpi_batch, kpi_report, kpi_status_counts, kpi_guard, translate_values, usage_cost_rollup, usage_by_call, report_document)
 }
 
 
@@ -237,6 +259,20 @@ ORACLES = {name: sql for name, (_, sql) in SHARED.items()} | {
             (SELECT 'distinct in ' || CAST(round(count(DISTINCT c_name) / count(*) * 100) AS INTEGER) || '% of its rows' FROM customer)),
         ('by customer', 'skipped', 0, 'its name marks it as an identifier'),
         ('by day', 'ok', 0, NULL)) AS t(name, status, row_count, reason)""",
+    "report_document": sql.with_parts(
+        [*sql.TABLE_PARTS, *sql.COLUMN_PARTS, *sql.KEY_PARTS, sql.RATIOS],
+        f"""SELECT 'table' AS part, t || ': ' || n || ' rows, ' || duplicate_rows || ' duplicates, keys ' || pk_candidates AS line FROM table_profile
+        UNION ALL SELECT 'key', ct || '.' || cc || ' in ' || pt || '.' || pc FROM fks
+        UNION ALL SELECT 'fact table', row_number() OVER (ORDER BY dimensions DESC, n DESC, t) || ' ' || t FROM
+            (SELECT ct AS t, count(DISTINCT pt) AS dimensions FROM fks GROUP BY ct) AS e JOIN row_counts USING (t)
+        UNION ALL SELECT 'breakdown', f.t || '.' || f.c || ' by ' || s.d FROM facts f JOIN sizes s ON s.t = f.t AND s.c = f.c
+            LEFT JOIN ratios r ON r.c = f.c
+            WHERE NOT regexp_matches(lower(f.c), 'id|code|key|ref') AND s.d BETWEEN 2 AND 50 AND coalesce(r.ratio, 0) < 0.9
+        UNION ALL SELECT 'finding', priority || ' ' || finding FROM ({sql.FINDINGS}) AS q
+        UNION ALL SELECT 'kpi', unnest(['orders: ok', 'customers by home: ok', 'mean price by status: ok', 'first days: ok',
+            'by customer: skipped', 'a command: failed'])
+        UNION ALL SELECT 'cost', count(*) || ' calls, ' || CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) || ' tokens' FROM ({CALLS}) AS c""",
+    ),
     "translate_values": _plain(f"""SELECT c.c_custkey, coalesce(s.english, c.c_mktsegment) AS c_mktsegment,
         coalesce(h.english, c.home) AS home FROM ({CODED}) AS c
         LEFT JOIN (SELECT code, arg_max(english, entry) AS english FROM ({LOOKUP}) AS a WHERE english <> '' GROUP BY code) AS s

@@ -277,13 +277,7 @@ ORACLES = {
     ),
     "quality_findings": sql.with_parts(
         [*sql.TABLE_PARTS, *sql.COLUMN_PARTS],
-        """SELECT 1 AS priority, t || '.' || c || ': possible personal data (' || entity || ' in ' || hits || ' values)' AS finding
-            FROM pii
-        UNION ALL SELECT 2, t || '.' || c || ': inconsistent casing or spacing (' || casing_issues || ' values)'
-            FROM column_profile WHERE casing_issues > 0
-        UNION ALL SELECT 3, t || '.' || c || ': ' || null_count || ' values missing' FROM column_profile WHERE null_count > 0
-        UNION ALL SELECT 4, t || ': ' || duplicate_rows || ' duplicate rows' FROM table_profile WHERE duplicate_rows > 0
-        UNION ALL SELECT 5, t || '.' || c || ': ' || outlier_count || ' outliers' FROM column_profile WHERE outlier_count > 0""",
+        sql.FINDINGS,
     ),
     "systematic_sample": f"""SELECT position, o_orderkey, o_custkey, o_totalprice FROM (
             SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders) AS numbered,

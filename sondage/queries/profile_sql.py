@@ -138,6 +138,14 @@ COLUMN_PROFILE = """column_profile AS MATERIALIZED (SELECT f.t, f.c, f.ordinal,
         LEFT JOIN outliers o ON o.t = f.t AND o.c = f.c
         LEFT JOIN free_text ft ON ft.t = f.t AND ft.c = f.c)"""
 
+FINDINGS = """SELECT 1 AS priority, t || '.' || c || ': possible personal data (' || entity || ' in ' || hits || ' values)' AS finding
+        FROM pii
+    UNION ALL SELECT 2, t || '.' || c || ': inconsistent casing or spacing (' || casing_issues || ' values)'
+        FROM column_profile WHERE casing_issues > 0
+    UNION ALL SELECT 3, t || '.' || c || ': ' || null_count || ' values missing' FROM column_profile WHERE null_count > 0
+    UNION ALL SELECT 4, t || ': ' || duplicate_rows || ' duplicate rows' FROM table_profile WHERE duplicate_rows > 0
+    UNION ALL SELECT 5, t || '.' || c || ': ' || outlier_count || ' outliers' FROM column_profile WHERE outlier_count > 0"""
+
 KEY_PARTS = (FACTS, VALS, PKS, FREE_TEXT, PII, FKS)
 COLUMN_PARTS = (FACTS, VALS, BOUNDS, OUTLIERS, FREE_TEXT, SAMPLES, PII, CASING, COLUMN_PROFILE)
 TABLE_PARTS = (ROWS, DUPLICATES, FACTS, VALS, PKS, TABLE_PROFILE)

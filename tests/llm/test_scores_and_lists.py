@@ -165,6 +165,113 @@ def test_language_model_counts_base_and_better_scores(session):
     assert language_model.scores(docs.limit(0)).count() == 0
 
 
+def test_binomial_draws_have_the_mean_and_variance_of_tries():
+    generator = np.random.default_rng(1)
+    for n, p in [(1, 0.3), (20, 0.05), (50, 0.97), (400, 0.5), (5000, 0.2)]:
+        u, v = generator.random((2, 40_000))
+        drawn = language_model.binomial(np.full(40_000, n), np.full(40_000, p), u, v)
+        assert abs(drawn.mean() - n * p) < 0.02 * max(n * p, 1) and abs(drawn.var() / (n * p * (1 - p)) - 1) < 0.05
+        assert drawn.min() >= 0 and drawn.max() <= n
+
+
+def test_tables_are_as_many_as_when_customers_sit_one_by_one():
+    generator, discount = random.Random(4), 0.6
+    for count, fresh in [(2, 0.5), (40, 3.0), (900, 0.2), (900, 40.0)]:
+        rows = []
+        for _ in range(400):
+            tables = 0
+            for sitting in range(count):
+                tables += not sitting or generator.random() < fresh / (fresh + sitting - discount * tables)
+            rows.append(tables)
+        names = np.arange(4000, dtype=np.uint64)
+        found = language_model.seat(np.full(4000, count), np.full(4000, fresh), discount, (names, 3))
+        assert abs(found.mean() / np.mean(rows) - 1) < 0.06 and found.max() <= count
+
+
+class Restaurants:
+    """Customers of every context at tables of their own, moved one at a time; the plain form of the model."""
+
+    def __init__(self, tokens: list[tuple[int, bytes]], seed: int):
+        self.random, self.tokens = random.Random(seed), tokens
+        pairs = Counter(tokens)
+        served = Counter(word for _, word in pairs)
+        self.words = len(served)
+        ones = [sum(n == k for n in counts.values()) for counts in (pairs, served) for k in (1, 2)]
+        share = lambda one, two: min(max(one / (one + 2 * two) if one else 0.5, 0.05), 0.95)
+        self.discounts = share(*ones[:2]), share(*ones[2:])
+        self.tables, self.parent = {}, {}
+        self.sizes = [Counter(), Counter()]  # customers, tables of each context; None is the parent
+        for token in tokens:
+            self.sit(*token)
+
+    def top(self, word) -> float:
+        own, (c, t) = self.parent.get(word, []), (self.sizes[0][None], self.sizes[1][None])
+        return (sum(own) - self.discounts[1] * len(own) + (1 + self.discounts[1] * t) / (self.words + 1)) / (1 + c)
+
+    def chance(self, context, word) -> float:
+        own = self.tables.get((context, word), [])
+        rest = (1 + self.discounts[0] * self.sizes[1][context]) * self.top(word)
+        return (sum(own) - self.discounts[0] * len(own) + rest) / (1 + self.sizes[0][context])
+
+    def join(self, rows: list, where, discount: float, above: float) -> bool:
+        weights = [n - discount for n in rows] + [(1 + discount * self.sizes[1][where]) * above]
+        at = self.random.choices(range(len(weights)), weights)[0]
+        self.sizes[0][where] += 1
+        if at < len(rows):
+            rows[at] += 1
+            return False
+        rows.append(1)
+        self.sizes[1][where] += 1
+        return True
+
+    def leave(self, rows: list, where) -> bool:
+        at = self.random.choices(range(len(rows)), rows)[0]
+        rows[at] -= 1
+        self.sizes[0][where] -= 1
+        if rows[at]:
+            return False
+        del rows[at]
+        self.sizes[1][where] -= 1
+        return True
+
+    def sit(self, context, word) -> None:
+        if self.join(self.tables.setdefault((context, word), []), context, self.discounts[0], self.top(word)):
+            self.join(self.parent.setdefault(word, []), None, self.discounts[1], 1 / (self.words + 1))
+
+    def sweep(self) -> None:
+        for context, word in self.tokens:
+            if self.leave(self.tables[context, word], context):
+                self.leave(self.parent[word], None)
+            self.sit(context, word)
+
+
+def test_language_model_scores_are_near_an_exact_sampler(session):
+    generator = random.Random(8)
+    names = [f"word{i}" for i in range(60)] + list("abcdef")
+    texts = {i: " ".join(generator.choices(names, [1 / (k + 1) for k in range(len(names))], k=40)) for i in range(120)}
+    docs = session.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in language_model.scores(docs).collect()}
+
+    def tokens(text):
+        words = [*text.encode().split(), b"\n"]
+        numbers = [0, *(language_model.word_number(w) % language_model.CONTEXTS for w in words)]
+        return list(zip(numbers, words, strict=False))
+
+    learned = [t for i, text in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1 for t in tokens(text)]
+    model, chances = Restaurants(learned, 1), Counter()
+    every = {t for text in texts.values() for t in tokens(text)}
+    for turn in range(16):
+        model.sweep()
+        if turn >= 4:
+            for token in every:
+                chances[token] += model.chance(*token) / 12
+    for held in (True, False):
+        rows = [i for i in texts if found[i].held_out == held]
+        own = sum(found[i].score for i in rows)
+        exact = sum(np.log10(chances[t]) for i in rows for t in tokens(texts[i]))
+        assert abs(own - exact) / (41 * len(rows)) < 0.01, (held, own, exact)
+
+
 def test_language_model_predictions_sum_to_one():
     totals = language_model.Totals(np.array([30, 10]), np.array([4, 3]), 5, 6, 0.5, 0.4)
     tables, seated = np.array([2, 2, 3]), np.array([2, 1, 2])

@@ -40,11 +40,14 @@ def _add_offsets(marked: DataFrame, grouped, keys: list[str], place, position: s
     # One row per file or split, which the scan has listed already.
     sizes = grouped.agg(F.count("*").alias("_rows"), F.min(place).alias("_first"))
     before = F.sum("_rows").over(Window.orderBy(*keys)) - F.col("_rows")
-    offsets = durable(sizes.select(*keys, (before - F.col("_first")).alias("_offset")))
+    offsets = durable(sizes.select(*keys, "_rows", "_first", (before - F.col("_first")).alias("_offset")))
     if offsets.count() <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    joined = marked.join(offsets, keys)
-    return joined.withColumn(position, place + F.col("_offset")).drop("_file", "_start", "_id", "_place", "_offset")
+    joined = marked.join(offsets, keys, "left")
+    # Positions hold only if both scans were split alike and nothing was written between them.
+    known = (place >= F.col("_first")) & (place < F.col("_first") + F.col("_rows"))
+    placed = F.when(known, place + F.col("_offset")).otherwise(F.raise_error(F.lit("the files were split otherwise or changed while rows were numbered")))
+    return joined.withColumn(position, placed).drop("_file", "_start", "_id", "_place", "_rows", "_first", "_offset")
 
 
 def stride_for(rows: int, threshold: int = SAMPLE_ROW_THRESHOLD) -> int | None:
@@ -59,11 +62,14 @@ def systematic_sample(df: DataFrame, rows: int, threshold: int = SAMPLE_ROW_THRE
     return numbered if stride is None else numbered.filter(F.col("position") % stride == 0)
 
 
-def head_lines(lines: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` raw lines, blank and unreadable ones included. Files are taken in name
-    order, twice as many each time, until they hold enough lines; the others are never read."""
-    names, needed = sorted(lines.inputFiles()), 1
-    reader = lines.sparkSession.read
-    while needed < len(names) and reader.text(names[:needed]).count() < count:
-        needed *= 2
-    return with_line_position(reader.text(names[:needed]), "line_no").filter(F.col("line_no") < count)
+def head_lines(lines: DataFrame, count: int, **options: str) -> DataFrame:
+    """The first ``count`` raw lines, blank and unreadable ones included, with their ``line_no``. Files are taken
+    in name order, twice as many each time, until they hold enough lines; each is counted once, the others are
+    never read. ``options`` are those that ``lines`` was read with, such as ``lineSep``, which it does not tell."""
+    names, reader = sorted(lines.inputFiles()), lines.sparkSession.read.options(**options)
+    held, taken, step = 0, 0, 1
+    while taken < len(names) and held < count:
+        held += reader.text(names[taken : taken + step]).count()
+        taken, step = taken + step, step * 2
+    head = reader.text(names[: max(taken, 1)]) if names else lines
+    return with_line_position(head, "line_no").filter(F.col("line_no") < count)

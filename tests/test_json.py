@@ -171,6 +171,23 @@ def test_head_lines_count_raw_lines(spark, tmp_path):
     assert [r["value"] for r in found] == expected and [r["line_no"] for r in found] == list(range(150))
 
 
+def test_head_lines_with_options_of_the_reader(spark, tmp_path):
+    for number in range(3):
+        (tmp_path / f"part-{number}.txt").write_text(";".join(f"{number}-{i}" for i in range(10)))
+    lines = spark.read.text(str(tmp_path), lineSep=";")
+    found = sampling.head_lines(lines, 15, lineSep=";").orderBy("line_no").collect()
+    assert [r["value"] for r in found] == [f"{n}-{i}" for n in range(3) for i in range(10)][:15]
+    assert sampling.head_lines(lines, 0, lineSep=";").count() == 0
+
+
+def test_positions_refuse_files_that_have_changed(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text("a\nb\n")
+    numbered = sampling.with_line_position(files.read_lines(spark, str(tmp_path)), "line_no")
+    (tmp_path / "lines.txt").write_text("a\nb\nc\n")
+    with pytest.raises(Exception, match="changed while rows were numbered"):
+        numbered.collect()
+
+
 def test_line_positions_across_splits(spark, tmp_path):
     (tmp_path / "lines.txt").write_text("\n".join(str(i) for i in range(20_000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

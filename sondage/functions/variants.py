@@ -53,10 +53,13 @@ def _scalar_type(shape: Column) -> Column:
 def with_type_name(df: DataFrame, value: str, into: str) -> DataFrame:
     """Add the type name of a JSON value: bool, int, float, str, null, object, or list[...], where a
     list is ``list[object]`` when its first item is an object, else the sorted types of all items,
-    ``empty`` for none. Shapes are read in steps of their own, so that each is read once."""
-    outer = df.withColumn("_shape", F.schema_of_variant(value))
-    listed = F.when(F.col("_shape").startswith("ARRAY<"), F.transform(items(F.col(value)), F.schema_of_variant))
-    shaped = outer.withColumn("_shapes", listed)
+    ``empty`` for none. Shapes are read in steps of their own, so that each is read once, and not where the
+    type is known without: of a list itself, and of the items behind an object."""
+    outer = df.withColumn("_items", items(F.col(value)))
+    outer = outer.withColumn("_shape", F.when(F.col("_items").isNull(), F.schema_of_variant(value)))
+    outer = outer.withColumn("_first", F.schema_of_variant(F.get("_items", F.lit(0))))
+    shapes = F.when(F.col("_first").startswith("OBJECT<"), F.array("_first")).otherwise(F.transform("_items", F.schema_of_variant))
+    shaped = outer.withColumn("_shapes", F.when(F.col("_items").isNotNull(), shapes))
 
     def item_type(shape: Column) -> Column:
         nested = F.when(shape.startswith("OBJECT<"), "dict").when(shape.startswith("ARRAY<"), "list")
@@ -72,4 +75,4 @@ def with_type_name(df: DataFrame, value: str, into: str) -> DataFrame:
         .when(F.col("_shape").startswith("OBJECT<"), "object")
         .otherwise(_scalar_type(F.col("_shape")))
     )
-    return shaped.withColumn(into, named).drop("_shape", "_shapes")
+    return shaped.withColumn(into, named).drop("_items", "_shape", "_first", "_shapes")

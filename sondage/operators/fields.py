@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
-from sondage.functions.variants import entries, is_object, items, member, with_type_name
+from sondage.functions.variants import entries, items, member, with_type_name
 from sondage.operators.keys import looks_like_identifier
 from sondage.session import durable
 
@@ -64,6 +65,22 @@ def field_catalog(records: DataFrame, min_present_pct: float = MIN_FIELD_PRESENT
     return catalog_of(durable(field_type_counts(records, record=record)), (), min_present_pct)
 
 
+def _start(records: DataFrame, order: Column | None) -> Column:
+    """What the place of a record is told by. Whole numbers are scaled so that places in a list fit between
+    them (``_spot``): the least number is kept in a hash table, where a struct would have all rows sorted."""
+    start = order if order is not None else F.lit(0)
+    if not isinstance(records.select(start).schema[0].dataType, IntegralType):
+        return start
+    return F.coalesce(start.cast("decimal(20,0)"), F.lit(-(1 << 63)).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(10,0)")
+
+
+def _spot(rows: DataFrame, line: str, item_no: Column) -> Column:
+    """Orders records, and items within them; ``line`` is a ``_start``."""
+    if isinstance(rows.schema[line].dataType, DecimalType):
+        return F.col(line) + item_no.cast("decimal(10,0)")
+    return F.struct(F.col(line).alias("line"), item_no.alias("item_no"))
+
+
 def survey(records: DataFrame, shard: Column | None = None, shards: int = 1, order: Column | None = None, record: str = "record") -> DataFrame:
     """All that a plan is made of, from one parse of the records: ``(kind, field, name, rows, starts, most, seen)``.
 
@@ -73,19 +90,19 @@ def survey(records: DataFrame, shard: Column | None = None, shards: int = 1, ord
     how often the most frequent value of a ``value`` field occurs, ``seen`` the first record (by ``order``) and
     place in the list of an inner key. Each task sends a row per kind and, for the hinted fields, per value."""
     at = F.pmod(shard, F.lit(shards)).cast("int") if shard is not None else F.lit(0)
-    marked = records.withColumns({"_shard": at, "_line": order if order is not None else F.lit(0)})
+    marked = records.withColumns({"_shard": at, "_line": _start(records, order)})
     typed = with_type_name(record_fields(marked, ["_shard", "_line"], record), "value", "type")
 
     none = F.lit(None).cast("string")
     # No record has a place of its own in a list.
-    spot = F.struct(F.col("_line").alias("line"), F.lit(-1).alias("item_no"))
+    spot = _spot(typed, "_line", F.lit(-1))
 
     def fact(kind: str, name: Column, value: Column, seen: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), name.alias("name"), value.alias("value"), seen.alias("seen"))
 
     def inner(item: Column, place: Column) -> Column:
-        keys = F.coalesce(F.map_keys(F.when(is_object(item), entries(item))), F.array().cast("array<string>"))
-        return F.transform(keys, lambda key: fact("inner", key, none, F.struct(F.col("_line").alias("line"), place.alias("item_no"))))
+        keys = F.coalesce(F.map_keys(entries(item)), F.array().cast("array<string>"))
+        return F.transform(keys, lambda key: fact("inner", key, none, _spot(typed, "_line", place)))
 
     listed = F.flatten(F.transform(items(F.col("value")), inner))
     hinted = looks_like_identifier(F.col("field")) & F.col("type").isin("bool", "float", "int", "str")
@@ -140,18 +157,17 @@ def object_fields(
     records, found in one pass. They come in first-seen order by ``order`` of the record and place in
     the list (keys of one object by name), or most frequent first when no order is given. All keys are
     given unless there is a ``limit``."""
-    start = order if order is not None else F.lit(0)
+    start = _start(records, order)
     names = [source_field] if isinstance(source_field, str) else list(source_field)
     lists = [F.struct(F.lit(n).alias("source_field"), items(member(record, n)).alias("listed")) for n in names]
     found = (
         records.select(start.alias("line"), F.inline(F.array(*lists)))
         .select("line", "source_field", F.posexplode("listed").alias("item_no", "item"))
-        .filter(is_object(F.col("item")))
         .select("line", "source_field", "item_no", F.explode(F.map_keys(entries(F.col("item")))).alias("inner_field"))
-        .groupBy("source_field", "inner_field")
-        .agg(F.min(F.struct("line", "item_no", "inner_field")).alias("seen"), F.count("*").alias("uses"))
     )
-    first = [F.col("seen")] if order is not None else [F.desc("uses"), F.col("inner_field")]
+    seen = F.min(_spot(found, "line", F.col("item_no"))).alias("seen")
+    found = found.groupBy("source_field", "inner_field").agg(seen, F.count("*").alias("uses"))
+    first = [F.col("seen"), F.col("inner_field")] if order is not None else [F.desc("uses"), F.col("inner_field")]
     place = F.row_number().over(Window.partitionBy("source_field").orderBy(*first))
     placed = found.withColumn("place", place)
     kept = placed if limit is None else placed.filter(F.col("place") <= limit)

@@ -5,6 +5,10 @@ unseen endings of known stems are recognised. Filters of several widths slide ov
 answer of each is kept, and a logistic layer weighs them. Since each filter answers at one place only,
 the gradient touches a few words per text.
 
+All labelled texts of the training folds are learned from, whole, in shards of some SHARD rows: in each pass
+every task goes once over its shard from the common parameters, and the parameters of all shards are averaged,
+a part of them in each task. The driver holds one set of parameters, and counts of binned answers.
+
 Scores are calibrated by language. The language is guessed from common short words of the text itself;
 on the training texts of each language a threshold on the raw probability is chosen, and scores are moved
 so that it lies at CUT for all of them.
@@ -18,20 +22,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from sondage.llm.tables import Memo
-from sondage.llm.texts import fold_of, sample
+from sondage.llm.texts import fold_of
+from sondage.session import durable
 
-#: Parameters of the fit: labelled rows of either class at most, and words of a training text at most
-#: (longer texts are left out of the training, never cut; scoring reads any text whole).
-TOXIC, CLEAN, TRAINING_WORDS = 2_000, 3_500, 3_000
+#: Rows of a shard, and floats of the parameters that are averaged in one group.
+SHARD, PART = 10_000, 1 << 16
+#: Passes over all labelled texts: the more texts, the fewer, from the first number down to the second.
+PASSES, TEXTS_PASSED = (12, 2), 66_000
 FOLDS, HELD_OUT = 3, 1
 BUCKETS, STEMS, DIMS, WIDTHS, FILTERS = 1 << 14, (4, 5), 12, (1, 2, 3), 8
 PARTS = 1 + len(STEMS)
-EPOCHS, BATCH, RATE = 12, 64, 0.01
+BATCH, RATE = 64, 0.01
 CUT = 0.7
 
 # Common short words by which a text's language is guessed.
@@ -54,10 +61,13 @@ def word_code(word: str) -> int:
     return sum(zlib.crc32(p.encode()) % BUCKETS << 16 * i for i, p in enumerate(parts)) | hints << 16 * len(parts)
 
 
-def codes_of(text: str, memo: Memo) -> np.ndarray:
-    """A row for each word: a place in the embedding for itself and each stem, then its languages."""
+def numbers_of(text: str, memo: Memo) -> np.ndarray:
     words = text.split()
-    codes = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+
+
+def codes_of(codes: np.ndarray) -> np.ndarray:
+    """A row for each word's number: a place in the embedding for itself and each stem, then its languages."""
     places = [(codes >> 16 * i & 0xFFFF) + BUCKETS * i for i in range(PARTS)]
     return np.stack([*places, codes >> 16 * PARTS], axis=1).astype(np.int32)
 
@@ -99,80 +109,140 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(moved, -30, 30)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray) -> Network:
-    """Train with Adagrad on balanced classes, then calibrate the languages."""
-    generator = np.random.default_rng(4)
-    count = FILTERS * len(WIDTHS)
-    net = Network(
-        generator.normal(0, 0.01, (PARTS * BUCKETS, DIMS)).astype(np.float32),
-        [generator.normal(0, 0.4, (w, DIMS, FILTERS)).astype(np.float32) for w in WIDTHS],
-        np.zeros(count, np.float32), generator.normal(0, 0.3, count).astype(np.float32), 0.0,
-    )
-    seen = {"embedding": np.full((PARTS * BUCKETS, DIMS), 1e-3, np.float32), "bias": 1e-3, "weights": 1e-3, "offset": 1e-3}
-    seen_kernels = [np.full_like(k, 1e-3) for k in net.kernels]
-    share = np.clip(labels.mean(), 0.02, 0.98)
-    heavy = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    step_size = RATE * 5
-    for epoch in range(EPOCHS):
-        for batch in np.array_split(generator.permutation(len(texts)), max(1, len(texts) // BATCH)):
-            g_bias, g_weights, g_offset = np.zeros(count), np.zeros(count), 0.0
-            g_kernels = [np.zeros_like(k) for k in net.kernels]
-            words, slopes = [], []
-            for row in batch:
-                codes = texts[row]
-                pooled, places = net.answers(codes)
-                chance = 1 / (1 + np.exp(-np.clip(pooled @ net.weights + net.offset, -30, 30)))
-                slope = heavy[row] * (chance - labels[row]) / len(batch)
-                g_weights += slope * pooled
-                g_offset += slope
-                inner = slope * net.weights * (pooled > 0)
-                g_bias += inner
-                for k, kernel in enumerate(net.kernels):
-                    own, at = inner[k * FILTERS : (k + 1) * FILTERS], places[k * FILTERS : (k + 1) * FILTERS]
-                    for i in range(len(kernel)):
-                        there = at + i < len(codes)
-                        which = codes[np.minimum(at + i, len(codes) - 1), :PARTS]
-                        rows = net.embedding[which].sum(axis=1) * there[:, None]
-                        g_kernels[k][i] += (rows * own[:, None]).T
-                        back = (kernel[i] * own).T * there[:, None]
-                        words += list(which.T)
-                        slopes += [back] * PARTS
-            at, inverse = np.unique(np.concatenate(words), return_inverse=True)
-            g_embedding = np.zeros((len(at), DIMS), np.float32)
-            np.add.at(g_embedding, inverse, np.concatenate(slopes).astype(np.float32))
-            seen["embedding"][at] += g_embedding**2
-            net.embedding[at] -= step_size * g_embedding / np.sqrt(seen["embedding"][at])
-            for kernel, past, g in zip(net.kernels, seen_kernels, g_kernels, strict=True):
-                past += g**2
-                kernel -= step_size * g / np.sqrt(past)
-            for name, g in (("bias", g_bias), ("weights", g_weights), ("offset", g_offset)):
-                seen[name] = seen[name] + g**2
-                setattr(net, name, getattr(net, name) - step_size * g / np.sqrt(seen[name]))
-    net.moves = calibrated(net, texts, labels)
-    return net
+@dataclass
+class Learner:
+    """A network and, for Adagrad, the sums of its squared gradients."""
+
+    net: Network
+    seen: Network
+
+    @staticmethod
+    def start() -> Learner:
+        generator = np.random.default_rng(4)
+        count = FILTERS * len(WIDTHS)
+        net = Network(
+            generator.normal(0, 0.01, (PARTS * BUCKETS, DIMS)).astype(np.float32),
+            [generator.normal(0, 0.4, (w, DIMS, FILTERS)).astype(np.float32) for w in WIDTHS],
+            np.zeros(count, np.float32), generator.normal(0, 0.3, count).astype(np.float32), 0.0,
+        )
+        full = [np.full_like(k, 1e-3) for k in net.kernels]
+        return Learner(net, Network(np.full_like(net.embedding, 1e-3), full, np.full_like(net.bias, 1e-3), np.full_like(net.bias, 1e-3), 1e-3))
+
+    def flat(self) -> np.ndarray:
+        parts = [p for n in (self.net, self.seen) for p in (n.embedding, *n.kernels, n.bias, n.weights, [n.offset])]
+        return np.concatenate([np.ravel(p) for p in parts]).astype(np.float32)
+
+    @staticmethod
+    def of(flat: np.ndarray) -> Learner:
+        count, at, nets = FILTERS * len(WIDTHS), 0, []
+        shapes = [(PARTS * BUCKETS, DIMS), *((w, DIMS, FILTERS) for w in WIDTHS), (count,), (count,), (1,)]
+        for _ in range(2):
+            parts = []
+            for shape in shapes:
+                size = int(np.prod(shape))
+                parts.append(flat[at : at + size].reshape(shape).copy())
+                at += size
+            nets.append(Network(parts[0], parts[1:-3], parts[-3], parts[-2], float(parts[-1][0])))
+        return Learner(*nets)
+
+    def step(self, texts: list[np.ndarray], labels: list[int], share: float) -> None:
+        """One step of Adagrad on a batch, with both classes in balance; ``share`` is that of label 1 in all texts."""
+        net, count = self.net, FILTERS * len(WIDTHS)
+        g_bias, g_weights, g_offset = np.zeros(count), np.zeros(count), 0.0
+        g_kernels = [np.zeros_like(k) for k in net.kernels]
+        words, slopes = [], []
+        for codes, label in zip(texts, labels, strict=True):
+            pooled, places = net.answers(codes)
+            chance = 1 / (1 + np.exp(-np.clip(pooled @ net.weights + net.offset, -30, 30)))
+            slope = (0.5 / share if label else 0.5 / (1 - share)) * (chance - label) / len(texts)
+            g_weights += slope * pooled
+            g_offset += slope
+            inner = slope * net.weights * (pooled > 0)
+            g_bias += inner
+            for k, kernel in enumerate(net.kernels):
+                own, at = inner[k * FILTERS : (k + 1) * FILTERS], places[k * FILTERS : (k + 1) * FILTERS]
+                for i in range(len(kernel)):
+                    there = at + i < len(codes)
+                    which = codes[np.minimum(at + i, len(codes) - 1), :PARTS]
+                    rows = net.embedding[which].sum(axis=1) * there[:, None]
+                    g_kernels[k][i] += (rows * own[:, None]).T
+                    back = (kernel[i] * own).T * there[:, None]
+                    words += list(which.T)
+                    slopes += [back] * PARTS
+        at, inverse = np.unique(np.concatenate(words), return_inverse=True)
+        g_embedding = np.zeros((len(at), DIMS), np.float32)
+        np.add.at(g_embedding, inverse, np.concatenate(slopes).astype(np.float32))
+        step_size, seen = RATE * 5, self.seen
+        seen.embedding[at] += g_embedding**2
+        net.embedding[at] -= step_size * g_embedding / np.sqrt(seen.embedding[at])
+        for kernel, past, g in zip(net.kernels, seen.kernels, g_kernels, strict=True):
+            past += g**2
+            kernel -= step_size * g / np.sqrt(past)
+        for name, g in (("bias", g_bias), ("weights", g_weights), ("offset", g_offset)):
+            setattr(seen, name, getattr(seen, name) + g**2)
+            setattr(net, name, getattr(net, name) - step_size * g / np.sqrt(getattr(seen, name)))
+
+
+def passed(spark, held: DataFrame, flat: np.ndarray, share: float) -> np.ndarray:
+    """The parameters after one pass over all texts: the mean of those of the shards, by their rows."""
+    shared = spark.sparkContext.broadcast(flat)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner, rows, texts, labels = Learner.of(shared.value), 0, [], []
+        for batch in batches:
+            for codes, label in zip(batch.column(0), batch.column(1), strict=True):
+                texts.append(codes_of(np.frombuffer(codes.as_py(), np.int64)))
+                labels.append(label.as_py())
+                rows += 1
+                if len(texts) == BATCH:
+                    learner.step(texts, labels, share)
+                    texts, labels = [], []
+        if texts:
+            learner.step(texts, labels, share)
+        if rows:
+            own = learner.flat()
+            cut = [own[at : at + PART].tobytes() for at in range(0, len(own), PART)]
+            yield pa.record_batch([pa.array(range(len(cut)), pa.int32()), pa.array([rows] * len(cut), pa.int64()), pa.array(cut, pa.binary())], names=["part", "rows", "own"])
+
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(own, np.float32) * np.float64(rows) for rows, own in zip(frame.rows, frame.own, strict=True))
+        return pd.DataFrame({"part": frame.part.iloc[:1], "own": [(total / frame.rows.sum()).astype(np.float32).tobytes()]})
+
+    parts = held.select("codes", "toxic").mapInArrow(run, "part int, rows bigint, own binary").groupBy("part").applyInPandas(mean, "part int, own binary")
+    after = np.concatenate([np.frombuffer(r["own"], np.float32) for r in sorted(parts.collect(), key=lambda r: r["part"])])
+    shared.unpersist()
+    return after
+
+
+def calibrated(spark, held: DataFrame, net: Network) -> np.ndarray:
+    """What to add to the logits of each language so that its best threshold lies at CUT. Languages in
+    which one class is missing take the threshold over all. Logits are counted in bins of a thousandth."""
+    shared = spark.sparkContext.broadcast(net)
 
+    @F.pandas_udf("struct<language: int, bin: int>")
+    def answered(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            texts = [codes_of(np.frombuffer(x, np.int64)) for x in part]
+            bins = [int(np.rint(1000 * np.clip(shared.value.logit(t), -1000, 1000))) for t in texts]
+            yield pd.DataFrame({"language": [language_of(t) for t in texts], "bin": bins})
 
-def calibrated(net: Network, texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """What to add to the logits of each language so that its best threshold lies at CUT. Languages in
-    which one class is missing take the threshold over all."""
-    logits = np.array([net.logit(t) for t in texts])
-    languages = np.array([language_of(t) for t in texts])
-    common = threshold(logits, labels)
+    counts = held.select(answered("codes").alias("at"), "toxic").groupBy("at.language", "at.bin").agg(F.sum("toxic").alias("ones"), F.count("*").alias("all"))
+    found = counts.toPandas().sort_values(["language", "bin"])
+    common = threshold(found.groupby("bin", as_index=False)[["ones", "all"]].sum())
     out = []
     for i in range(len(LANGUAGES)):
-        own = languages == i
-        both = own.any() and 0 < labels[own].mean() < 1
-        out.append(np.log(CUT / (1 - CUT)) - (threshold(logits[own], labels[own]) if both else common))
+        own = found[found.language == i]
+        both = 0 < own.ones.sum() < own["all"].sum()
+        out.append(np.log(CUT / (1 - CUT)) - (threshold(own) if both else common))
     return np.array(out)
 
 
-def threshold(logits: np.ndarray, labels: np.ndarray) -> float:
+def threshold(counts: pd.DataFrame) -> float:
     """Between the classes where the balanced error is least, amid the widest gap there."""
-    if not 0 < labels.mean() < 1:
-        return 0.0
-    order = np.argsort(logits)
-    z, y = logits[order], labels[order]
-    missed, wrong = np.cumsum(y) / y.sum(), 1 - np.cumsum(1 - y) / (1 - y).sum()
+    z, y, n = counts.bin.to_numpy() / 1000, counts.ones.to_numpy(float), counts["all"].to_numpy(float)
+    if len(z) < 2 or not 0 < y.sum() < n.sum():
+        return float(z[0]) if len(z) and 0 < y.sum() < n.sum() else 0.0
+    missed, wrong = np.cumsum(y) / y.sum(), 1 - np.cumsum(n - y) / (n - y).sum()
     error = (missed + wrong)[:-1]
     best = np.flatnonzero(error <= error.min() + 1e-12)
     gaps = z[best + 1] - z[best]
@@ -184,23 +254,29 @@ def threshold(logits: np.ndarray, labels: np.ndarray) -> float:
 def coded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     memo = Memo(word_code, 200_000)
     for part in parts:
-        yield pd.Series([codes_of(x or "", memo).tobytes() for x in part], dtype=object)
+        yield pd.Series([numbers_of(x or "", memo).tobytes() for x in part], dtype=object)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network | None:
-    """Fit on at most TOXIC and CLEAN labelled texts of the training folds, none longer than TRAINING_WORDS;
-    None if one of the classes is missing."""
-    known = labels.where(F.col("toxic").isNotNull() & (fold_of("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "toxic")
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = sample(known.where("toxic = 1"), "doc_id", TOXIC).unionByName(sample(known.where("toxic = 0"), "doc_id", CLEAN))
-    # The sample is bounded by its parameters, so it may be broadcast and its words' numbers collected.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.size(F.split("text", r"\s+")) <= TRAINING_WORDS)
-    held = rows.select("doc_id", "toxic", coded("text").alias("codes")).toPandas()
-    held = held[held.codes.str.len() > 0].sort_values(["doc_id", "codes"])
-    target = held.toxic.to_numpy(float)
-    if not len(held) or not 0 < target.mean() < 1:
+    """Fit on all labelled texts of the training folds that hold a word, however long; None if one of the classes
+    is missing. Texts are coded once and kept as shards, dealt by the hash of their id, so results repeat."""
+    spark = docs.sparkSession
+    known = labels.where(F.col("toxic").isin(0, 1) & (fold_of("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "toxic")
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "toxic", coded("text").alias("codes"))
+    dealt = F.xxhash64("doc_id")
+    shards = max(1, -(-known.count() // SHARD))
+    # Each partition is a shard; where a session deals keys to more of them, some are put together.
+    held = durable(rows.repartition(shards, dealt).sortWithinPartitions(dealt, "doc_id", "codes").coalesce(shards)).where("length(codes) > 0")
+    texts, ones = held.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < ones < texts:
         return None
-    return fit([np.frombuffer(c, np.int32).reshape(-1, PARTS + 1) for c in held.codes], target)
+    flat = Learner.start().flat()
+    for _ in range(int(np.clip(np.ceil(TEXTS_PASSED / texts), PASSES[1], PASSES[0]))):
+        flat = passed(spark, held, flat, float(np.clip(ones / texts, 0.02, 0.98)))
+    net = Learner.of(flat).net
+    net.moves = calibrated(spark, held, net)
+    return net
 
 
 def score(docs: DataFrame, network: Network | None, text: str = "text", out: str = "score") -> DataFrame:
@@ -214,7 +290,7 @@ def score(docs: DataFrame, network: Network | None, text: str = "text", out: str
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo, net = Memo(word_code, 200_000), shared.value
         for part in parts:
-            yield pd.Series([net.score(codes_of(x or "", memo)) for x in part], dtype=float)
+            yield pd.Series([net.score(codes_of(numbers_of(x or "", memo))) for x in part], dtype=float)
 
     return docs.withColumn(out, scored(F.col(text)))
 

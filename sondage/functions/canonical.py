@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 # Type families: values are only ever compared within one family.
 NUM, STR, TS, OTHER = 0, 1, 2, 3
-# Whole rows of the i-th table form the family ROW + i.
-ROW = 100
 
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
 

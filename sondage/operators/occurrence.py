@@ -14,10 +14,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, TimestampNTZType, TimestampType
 
-from sondage.functions.canonical import ROW, quoted, row_digest, value_key
+from sondage.functions.canonical import quoted, row_digest, value_key
 
 BITS_PER_WORD = 62
+#: Types whose ``value_key`` has no text.
+TEXTLESS = (IntegralType, BooleanType, DoubleType, FloatType, DateType, TimestampType, TimestampNTZType)
 ROW_FIRST, ROW_SECOND = "_row_first", "_row_second"
 
 
@@ -57,25 +60,21 @@ def _word_names(slots: list[Slot]) -> list[str]:
     return sorted({s.word for s in slots}, key=lambda w: int(w[4:]))
 
 
-def _table_values(df: DataFrame, row_family: int, slots: list[Slot], words: list[str]) -> DataFrame:
-    """Every (slot, value) pair of one table, expanded inside the scan stage."""
+KEY = ("family", "whole", "frac", "text")
+
+
+def _table_values(df: DataFrame, slots: list[Slot], words: list[str], key_names: tuple[str, ...] = KEY) -> DataFrame:
+    """Every (slot, value) pair of columns of one table, expanded inside the scan stage."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    if any(s.column is None for s in slots):
-        first, second = row_digest([(quoted(c), t) for c, t in types.items()])
-        df = df.withColumns({ROW_FIRST: first, ROW_SECOND: second})
     projected, entries = [], []
     for slot in slots:
-        if slot.column is None:
-            key = (str(row_family), ROW_FIRST, "CAST(NULL AS DOUBLE)", f"HEX({ROW_SECOND})")
-        else:
-            key = value_key(slot.column, types[slot.column])
-        cells = dict(zip(("family", "whole", "frac", "text"), key))
+        cells = {name: cell for name, cell in zip(KEY, value_key(slot.column, types[slot.column]), strict=True) if name in key_names}
         cells |= {w: f"{slot.bit if w == slot.word else 0}L" for w in words}
         names = [f"s{slot.index}_{name}" for name in cells]
         projected += [f"{cell} AS {name}" for cell, name in zip(cells.values(), names)]
         entries.append("(" + ", ".join(names) + ")")
     wide = df.selectExpr(*projected)
-    output = ", ".join(["family", "whole", "frac", "text", *words])
+    output = ", ".join([*key_names, *words])
     return wide.sparkSession.sql(
         f"SELECT {output} FROM {{wide}} UNPIVOT INCLUDE NULLS "
         f"(({output}) FOR slot IN ({', '.join(entries)})) WHERE family IS NOT NULL",
@@ -83,21 +82,39 @@ def _table_values(df: DataFrame, row_family: int, slots: list[Slot], words: list
     )
 
 
+def _table_rows(df: DataFrame, slot: Slot, words: list[str]) -> DataFrame:
+    """The digest of every row of one table; rows meet nothing but rows of their own table."""
+    bits = [F.lit(slot.bit if w == slot.word else 0).cast("bigint").alias(w) for w in words]
+    return df.select(*bits, *[d.alias(n) for d, n in zip(row_digest([(quoted(f.name), f.dataType) for f in df.schema.fields]), (ROW_FIRST, ROW_SECOND), strict=True)])
+
+
 def signatures(tables: dict[str, DataFrame], slots: list[Slot]) -> DataFrame:
     """``(word0, word1, ..., values)``: how many distinct values occur in exactly those slots."""
     words = _word_names(slots)
-    parts = []
-    for position, (table, df) in enumerate(tables.items()):
-        mine = [s for s in slots if s.table == table]
-        if mine:
-            parts.append(_table_values(df, ROW + position, mine, words))
-    occurrences = reduce(DataFrame.unionAll, parts)
-    return (
-        occurrences.groupBy("family", "whole", "frac", "text")
-        .agg(*[F.bit_or(w).alias(w) for w in words])
-        .groupBy(*words)
-        .agg(F.count("*").alias("values"))
-    )
+    types = {(t, f.name): f.dataType for t, df in tables.items() for f in df.schema.fields}
+    # Numbers and times are told by two numbers and can meet no text: without one in their key they are merged in
+    # quick hash tables. Decimals may be told by their digits and yet meet whole numbers; then all stay together.
+    apart = not any(isinstance(types.get((s.table, s.column)), DecimalType) for s in slots)
+    kinds: dict[tuple[str, ...], list[Slot]] = {KEY: [], KEY[:3]: []}
+    for slot in slots:
+        if slot.column is None:
+            continue
+        kind = types.get((slot.table, slot.column))
+        kinds[KEY[:3] if apart and isinstance(kind, TEXTLESS) else KEY].append(slot)
+    found = []
+    for names, own in kinds.items():
+        parts = []
+        for table, df in tables.items():
+            mine = [s for s in own if s.table == table]
+            if mine:
+                parts.append(_table_values(df, mine, words, names))
+        if parts:
+            merged = reduce(DataFrame.unionAll, parts).groupBy(*names).agg(*[F.bit_or(w).alias(w) for w in words])
+            found.append(merged.groupBy(*words).agg(F.count("*").alias("values")))
+    whole = [_table_rows(tables[s.table], s, words) for s in slots if s.column is None]
+    if whole:
+        found.append(reduce(DataFrame.unionAll, whole).distinct().groupBy(*words).agg(F.count("*").alias("values")))
+    return reduce(DataFrame.unionAll, found).groupBy(*words).agg(F.sum("values").alias("values"))
 
 
 def _present_slots(slots: list[Slot]) -> Column:

@@ -17,8 +17,9 @@ FREE_TEXT_MIN_AVG_LENGTH = 40
 FREE_TEXT_MIN_DISTINCT_RATIO = 0.5
 PII_SAMPLE_SIZE = 200
 
-#: Listed names up to so many are broadcast (some 100 bytes each); beyond, each is dealt to so many tasks.
-BROADCAST_NAMES, SALTS = 100_000, 16
+#: Listed names up to so many are broadcast (some 100 bytes each); beyond, one that more than so many texts
+#: mention is dealt to so many tasks.
+BROADCAST_NAMES, HOT_TEXTS, SALTS = 100_000, 100_000, 16
 #: The filter of opening words has at most 2 to this power 64-bit cells: 1 MB.
 FILTER_CELLS = 17
 
@@ -121,9 +122,14 @@ def name_mentions(df: DataFrame, column: str, names: DataFrame) -> DataFrame:
     listed = listed.select("phrase", "entity")
     if shape["names"] <= BROADCAST_NAMES:
         return spoken.join(F.broadcast(listed), "phrase").select("row", "entity", "phrase")
-    # A name that very many texts mention is dealt out to several tasks.
-    salted = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spoken.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(salted, ["phrase", "salt"]).select("row", "entity", "phrase")
+    # A name that very many texts mention is dealt out to several tasks; the others, nearly all, are sent once.
+    spoken = durable(spoken)
+    often = spoken.groupBy("phrase").agg(F.count("*").alias("texts")).filter(F.col("texts") > HOT_TEXTS).select("phrase", F.lit(SALTS).alias("salts"))
+    salted = listed.join(often, "phrase", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salted = salted.select("phrase", "entity", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt = spoken.join(often.withColumnRenamed("salts", "dealt"), "phrase", "left").withColumn("dealt", F.coalesce("dealt", F.lit(1)))
+    dealt = dealt.select("row", "phrase", F.pmod("row", "dealt").cast("int").alias("salt"))
+    return dealt.join(salted.drop("salts"), ["phrase", "salt"]).select("row", "entity", "phrase")
 
 
 def scan_name_list(df: DataFrame, columns: list[str], names: DataFrame) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from sondage.functions.text import CARD, EMAIL, IBAN, PHONE, WORD, card_numbers, iban_codes, redact
 from sondage.operators import text_scan
-from sondage.queries.inputs import run, table, untidy, untidy_sql
+from sondage.queries.inputs import run, run_over, table, untidy, untidy_sql
 from sondage.queries.profile_queries import named
 from sondage.queries.profile_sql import NORMAL, masked, union
+from sondage.session import spread
 
 TEXTS = {"documents": ["text", "source"], "pages": ["url", "html"], "conversations": ["text"], "benchmark": ["text"]}
 CATEGORIES = {"customer": ["c_name", "c_mktsegment"], "part": ["p_name", "p_brand", "p_type"], "events": ["event_type"]}
@@ -70,7 +71,8 @@ NOTES = """SELECT o_orderkey AS id, CASE o_orderstatus
 
 def pii_names(spark, folder):
     names = run(spark, folder, NAMES, "customer", "supplier", "nation", "region")
-    texts = {"orders": (run(spark, folder, NOTES, "orders"), ["note"]), **{t: (table(spark, folder, t), columns) for t, columns in TEXTS.items()}}
+    orders = spread(table(spark, folder, "orders"))
+    texts = {"orders": (run_over({"orders": orders}, NOTES), ["note"]), **{t: (table(spark, folder, t), columns) for t, columns in TEXTS.items()}}
     scans = [text_scan.scan_name_list(df, columns, names).select(F.lit(t).alias("table"), "*") for t, (df, columns) in texts.items()]
     return named(reduce(DataFrame.unionAll, scans))
 

@@ -23,9 +23,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from sondage.llm.tables import Memo
 from sondage.llm.texts import fold_of
@@ -35,6 +34,8 @@ from sondage.session import durable
 SHARD, PART = 10_000, 1 << 16
 #: Passes over all labelled texts: the more texts, the fewer, from the first number down to the second.
 PASSES, TEXTS_PASSED = (12, 2), 66_000
+#: Places of the filter of labelled ids: for each id, and at most (8 MB). Spark's bitmaps hold BITMAP of them.
+SPARSE, FILTER, BITMAP = 16, 1 << 26, 1 << 15
 FOLDS, HELD_OUT = 3, 1
 BUCKETS, STEMS, DIMS, WIDTHS, FILTERS = 1 << 14, (4, 5), 12, (1, 2, 3), 8
 PARTS = 1 + len(STEMS)
@@ -250,24 +251,59 @@ def threshold(counts: pd.DataFrame) -> float:
     return float((z[at] + z[at + 1]) / 2)
 
 
-@F.pandas_udf(BinaryType())
-def coded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    memo = Memo(word_code, 200_000)
-    for part in parts:
-        yield pd.Series([numbers_of(x or "", memo).tobytes() for x in part], dtype=object)
+def place_of(key: str, places: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(places))
+
+
+def marked(known: DataFrame, rows: int) -> np.ndarray:
+    """A bit for each place of a filter, set where an id of ``known`` falls: SPARSE places for each of its rows, at
+    most FILTER of them. Beyond that more ids pass, and the join drops them."""
+    places = min(FILTER, max(BITMAP, 1 << (SPARSE * rows - 1).bit_length()))
+    # Spark counts the places of its bitmaps from 1 on, and the bitmaps too.
+    at = place_of("doc_id", places) + 1
+    found = known.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    out = np.zeros(places // 8, np.uint8)
+    for row in found.collect():
+        out[(row.part - 1) * BITMAP // 8 :][: BITMAP // 8] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def coded(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``(doc_id, codes)`` of the texts whose ids pass the filter and that hold a word. Codes are made where
+    the texts are read, so texts themselves are not moved, nor anything of those without a label."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(word_code, 200_000)
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            held = batch.filter(pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+            codes = [numbers_of(x or "", memo).tobytes() or None for x in held.column(2).to_pylist()]
+            yield pa.record_batch([held.column(1), pa.array(codes, pa.binary())], names=["doc_id", "codes"])
+
+    given = docs.where("doc_id IS NOT NULL").where(fold_of("doc_id", FOLDS) != HELD_OUT)
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, codes binary"
+    return given.select(place_of("doc_id", 8 * len(bits)).alias("place"), "doc_id", "text").mapInArrow(run, kinds).where("codes IS NOT NULL")
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, toxic, codes)`` of all labelled texts of the training folds that hold a word. Each partition is
+    a shard, dealt by id as the join needs it, so that codes are moved once."""
+    known = labels.where(F.col("toxic").isin(0, 1) & (fold_of("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "toxic")
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = known.count()
+    shards = max(1, -(-rows // SHARD))
+    # Merged, so that neither side is broadcast and the shards stay what they are.
+    dealt = coded(docs, marked(known, rows)).repartition(shards, "doc_id").join(known.repartition(shards, "doc_id").hint("merge"), "doc_id")
+    # Where a session deals keys to more partitions, some are put together.
+    return dealt.select("doc_id", "toxic", "codes").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "codes").coalesce(shards)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Fit on all labelled texts of the training folds that hold a word, however long; None if one of the classes
     is missing. Texts are coded once and kept as shards, dealt by the hash of their id, so results repeat."""
     spark = docs.sparkSession
-    known = labels.where(F.col("toxic").isin(0, 1) & (fold_of("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "toxic")
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "toxic", coded("text").alias("codes"))
-    dealt = F.xxhash64("doc_id")
-    shards = max(1, -(-known.count() // SHARD))
-    # Each partition is a shard; where a session deals keys to more of them, some are put together.
-    held = durable(rows.repartition(shards, dealt).sortWithinPartitions(dealt, "doc_id", "codes").coalesce(shards)).where("length(codes) > 0")
+    held = durable(labelled(docs, labels))
     texts, ones = held.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < ones < texts:
         return None

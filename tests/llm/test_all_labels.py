@@ -1,6 +1,7 @@
 """The toxicity network learns from every labelled text of its folds."""
 
 import random
+import re
 import zlib
 
 from sondage.llm import toxicity
@@ -30,3 +31,26 @@ def test_long_texts_and_every_shard_are_learned_from(spark, monkeypatch):
     assert sum(rows[i].predicted == labels[i] for i in held) / len(held) > 0.93
     again = {r.doc_id: r.score for r in toxicity.judge(docs.repartition(5), known.repartition(2)).collect()}
     assert again == {i: r.score for i, r in rows.items()}
+
+
+def test_codes_of_labelled_texts_alone_are_moved_once(spark, monkeypatch):
+    """Also where ids are too many for the filter, and where the labels are too many to be broadcast."""
+    prepare(spark)
+    docs = spark.range(3_000).selectExpr("id AS doc_id", "concat('a', id, ' b') AS text").unionByName(spark.sql("SELECT 9L AS doc_id, CAST(NULL AS STRING) AS text"))
+    known = spark.range(300).selectExpr("CAST(id * 7 AS INT) AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    expected = {7 * i: i % 2 for i in range(300) if zlib.crc32(str(7 * i).encode()) % 3 != 1}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, passed in ((1 << 26, 1_000), (1 << 15, 1_000)):
+            monkeypatch.setattr(toxicity, "FILTER", most)
+            held = toxicity.labelled(docs, known)
+            assert {r.doc_id: r.toxic for r in held.collect()} == expected
+            bits = toxicity.marked(known.where("doc_id IS NOT NULL"), 300)
+            assert len(expected) <= toxicity.coded(docs, bits).count() < passed
+        plan = held._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[(.*?)\]", plan)
+    assert moved and not any("text" in m for m in moved)
+    # The plan shows the exchange as it was planned and as it was run.
+    assert len({m for m in moved if "codes" in m}) == 1

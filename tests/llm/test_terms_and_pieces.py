@@ -260,3 +260,23 @@ def test_counts_are_merged_by_chunk_and_language_in_any_order():
 def test_chunks_of_a_long_text_are_those_of_its_parts():
     text = "\n".join(["One  two", "x" * 90, "three\tone", "é è"] * 40).encode()
     assert divergence.chunks_of(text, 37) == divergence.chunks_of(text) == Counter(text.lower().split())
+
+
+def test_numbers_of_rows_are_read_as_they_lie():
+    rows = [np.arange(k, dtype=np.int64).tobytes() for k in (2, 0, 3, 1)]
+    column = pa.array(rows, pa.binary())
+    for part, numbers in ((column, [0, 1, 0, 1, 2, 0]), (column.slice(1, 2), [0, 1, 2]), (column.slice(1, 1), []), (column.slice(4), [])):
+        values, sizes = divergence.unpacked(part)
+        assert values.tolist() == numbers
+        assert sizes.tolist() == [len(r.as_py()) for r in part]
+    values, _ = divergence.unpacked(column.slice(2))
+    assert np.shares_memory(values, np.frombuffer(column.cast(pa.large_binary()).buffers()[2], np.int64))
+
+
+def test_chunks_that_share_a_hash_may_come_in_several_rows(session, monkeypatch):
+    real = divergence.F.xxhash64
+    monkeypatch.setattr(divergence, "MERGED", 2)
+    monkeypatch.setattr(divergence.F, "xxhash64", lambda *c: divergence.F.lit(7).cast("bigint") if isinstance(c[0], str) else real(*c))
+    rows = audit_rows()
+    docs = session.createDataFrame(rows, "lang string, source string, text string").repartition(5)
+    assert sorted(map(tuple, divergence.audit(docs).collect())) == plain_audit(rows)

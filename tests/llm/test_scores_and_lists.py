@@ -272,6 +272,24 @@ def test_language_model_scores_are_near_an_exact_sampler(session):
         assert abs(own - exact) / (41 * len(rows)) < 0.01, (held, own, exact)
 
 
+def test_language_model_tokens_are_those_of_plain_words():
+    generator = random.Random(12)
+    marks = b" \t\n\r\x0b\x0c\x00\x1c\x85\xa0\xc3\xa9AZazbcdef"
+    odd = [bytes(generator.choice(marks) for _ in range(generator.randint(0, 30))) for _ in range(500)]
+    for texts in ([(t or "").encode() for t in cases.awkward()], odd, [b""], [b" ", b"a"]):
+        found = language_model.Tokens.of(texts)
+        numbers, contexts = [], []
+        for text in texts:
+            own = [language_model.word_number(w) for w in text.lower().split()]
+            numbers += [*own, language_model.END]
+            contexts += [language_model.END, *(n % language_model.CONTEXTS for n in own)]
+        assert found.numbers[found.place].tolist() == numbers
+        assert found.context.tolist() == contexts
+        assert found.sizes.tolist() == [len(t.split()) + 1 for t in texts]
+        # Each distinct word is hashed once.
+        assert len(found.numbers) == len({w for t in texts for w in t.lower().split()}) + 1
+
+
 def test_language_model_predictions_sum_to_one():
     totals = language_model.Totals(np.array([30, 10]), np.array([4, 3]), 5, 6, 0.5, 0.4)
     tables, seated = np.array([2, 2, 3]), np.array([2, 1, 2])

@@ -82,16 +82,27 @@ def table_row_counts(records: DataFrame, plan: FlatteningPlan, record: str = "re
     return seen.withColumn("rows_loaded", F.when(F.col("table") == plan.name, loaded).otherwise(F.col("rows_seen")))
 
 
-def load_records(records: DataFrame, plan: FlatteningPlan, folder: str, order: str, record: str = "record") -> DataFrame:
+def parsed_records(records: DataFrame, order: str, record: str = "record") -> tuple[DataFrame, str]:
+    """The records in their parsed form, stored so that they are parsed once however many tables and loads are
+    made from them, and the folder they lie in."""
+    path = scratch_path(records.sparkSession, "parsed")
+    records.select(order, record).write.parquet(path)
+    return records.sparkSession.read.parquet(path), path
+
+
+def load_records(
+    records: DataFrame, plan: FlatteningPlan, folder: str, order: str, record: str = "record", parsed: bool = False
+) -> DataFrame:
     """Replace the tables in ``folder`` by those of the plan, and count what was loaded. The records
-    are parsed once: their parsed form is stored, every table is made from it, and it is deleted."""
-    spark = records.sparkSession
-    parsed = scratch_path(spark, "parsed")
-    records.select(order, record).write.parquet(parsed)
-    records = spark.read.parquet(parsed)
+    are parsed once: their parsed form is stored, every table is made from it, and it is deleted. Records that
+    are read from a stored form of ``parsed_records`` are not stored again."""
+    spark, path = records.sparkSession, None
+    if not parsed:
+        records, path = parsed_records(records, order, record)
     tables = shred(records, plan, order, record)
     replace_all(spark, folder, tables)
-    remove(spark, parsed)
+    if path is not None:
+        remove(spark, path)
     written = load_tables(spark, folder, list(tables))
     counts = [df.agg(F.count("*").alias("rows_loaded")).select(F.lit(t).alias("table"), "rows_loaded") for t, df in written.items()]
     return reduce(DataFrame.unionAll, counts)

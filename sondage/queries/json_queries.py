@@ -17,6 +17,7 @@ from sondage.queries.profile_queries import named
 from sondage.queries.profile_sql import union
 from sondage.session import scratch_path, spread
 from sondage.sources import files
+from sondage.sources.sinks import remove
 
 LINES = """SELECT o_orderkey * 2 + pos AS line, value FROM (SELECT o_orderkey, posexplode(array_compact(array(
     concat(IF(o_orderkey % 8 = 0, '  ', ''), '{"order_id":', o_orderkey, ',"status":"', o_orderstatus, '","total":', o_totalprice,
@@ -184,9 +185,10 @@ def replace_all_load(spark, folder):
     """Two loads into one folder: the second leaves nothing of the first."""
     target = scratch_path(spark, "warehouse")
     first = FlatteningPlan("stale", "order_id", ("status",), (ChildTable("stale_tags", "tags", "values"),))
-    data = records(spark, folder)
-    shred.load_records(data, first, target, "line").count()
-    shred.load_records(data, LOOSE_PLAN, target, "line").count()
+    data, parsed = shred.parsed_records(records(spark, folder), "line")
+    shred.load_records(data, first, target, "line", parsed=True).count()
+    shred.load_records(data, LOOSE_PLAN, target, "line", parsed=True).count()
+    remove(spark, parsed)
     return named(columns.row_counts(files.load_tables(spark, target)))
 
 

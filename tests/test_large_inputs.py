@@ -3,8 +3,9 @@
 import pyspark.sql.functions as F
 
 from sondage import session
-from sondage.operators import fields
-from sondage.queries import io_queries
+from sondage.functions import variants
+from sondage.operators import fields, shred
+from sondage.queries import io_queries, json_queries
 
 
 def test_a_single_row_group_of_many_splits_is_spread_over_tasks_by_its_rows(spark, tmp_path, monkeypatch):
@@ -41,3 +42,25 @@ def test_first_places_of_inner_keys_are_kept_in_hash_tables(spark):
         assert [(r["source_field"], r["inner_field"]) for r in inner] == [("l", k) for k in first]
         listed = fields.object_fields(records, "l", F.col("line")).orderBy("place").collect()
         assert [r["inner_field"] for r in listed] == first
+
+
+def test_two_loads_of_the_same_records_parse_them_once(spark, tmp_path, monkeypatch):
+    spark.sql(
+        "SELECT id AS o_orderkey, id % 5 AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS o_orderdate,"
+        " '1-URGENT' AS o_orderpriority FROM range(300)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    labels = []
+    for module in (shred, json_queries):
+        real = module.scratch_path
+        monkeypatch.setattr(module, "scratch_path", lambda spark, label, real=real: labels.append(label) or real(spark, label))
+    loaded = {r[0]: r[1] for r in json_queries.replace_all_load(spark, str(tmp_path)).collect()}
+    assert labels.count("parsed") == 1
+    counted = {r[0]: r[2] for r in json_queries.flatten_row_counts(spark, str(tmp_path)).collect()}
+    assert loaded == counted
+
+
+def test_the_shape_of_a_value_is_read_once_to_tell_whether_it_is_nested(spark):
+    rows = spark.sql("SELECT n, parse_json(v) AS v FROM VALUES (0, '1'), (1, '{}'), (2, '[1]'), (3, '\"ARRAY<\"'), (4, 'null'), (5, '{\"a\":[]}'), (6, NULL) AS t(n, v)")
+    found = rows.select("n", variants.is_nested(F.col("v")).alias("nested"))
+    assert {r.n: r.nested for r in found.collect()} == {0: False, 1: True, 2: True, 3: False, 4: False, 5: True, 6: None}
+    assert found._jdf.queryExecution().analyzed().toString().count("schema_of_variant") == 1

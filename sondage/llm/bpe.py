@@ -11,17 +11,20 @@ from __future__ import annotations
 import json
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from sondage.llm.tables import Memo, give_back
+from sondage.llm.tables import Memo, give_back, pieces, utf8
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -45,49 +48,53 @@ class Codec:
     def __init__(self, definition: str):
         parsed = json.loads(definition)
         letters = byte_letters()
-        vocabulary = {t: i for t, i in parsed["model"]["vocab"].items()}
-        self.text = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items()}
+        vocabulary = parsed["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
-        self.rank: dict[tuple[int, int], int] = {}
-        self.halves: dict[int, tuple[int, int]] = {}
-        self.made_at: dict[int, int] = {}
+        self.bytes_of = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items()}
+        size = 1 + max([*vocabulary.values(), *self.special.values()])
+        # By token: its halves, and the position of the merge that makes it; -1 where no merge does. By pair of
+        # tokens, two in one number: the position of its merge.
+        self.first, self.second, self.made_at = (array("i", [-1]) * size for _ in range(3))
+        self.rank: dict[int, int] = {}
         for position, merge in enumerate(parsed["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
-            pair, whole = (vocabulary[left], vocabulary[right]), vocabulary[left + right]
-            self.rank.setdefault(pair, position)
-            if whole not in self.halves:
-                self.halves[whole], self.made_at[whole] = pair, position
-        self.ends, self.starts = {}, {}
-        usable: dict[int, bool] = {}
+            one, two, whole = vocabulary[left], vocabulary[right], vocabulary[left + right]
+            self.rank.setdefault(one << 32 | two, position)
+            if self.made_at[whole] < 0:
+                self.first[whole], self.second[whole], self.made_at[whole] = one, two, position
+        usable = bytearray(size)
         self.automaton = ahocorasick.Automaton()
-        for token in sorted(self.text, key=lambda t: self.made_at.get(t, -1)):
-            halves = self.halves.get(token)
-            # From a single byte outwards: what stands at the token's right and left edge, each with the
-            # position of the merge that takes it up.
-            self.ends[token] = self.edge(self.ends, halves and halves[1], token)
-            self.starts[token] = self.edge(self.starts, halves and halves[0], token)
+        for token in sorted(self.bytes_of, key=self.made_at.__getitem__):
+            halves = (self.first[token], self.second[token]) if self.made_at[token] >= 0 else None
             usable[token] = not halves or (usable[halves[0]] and usable[halves[1]] and self.crossing(*halves) == halves)
-            if usable[token] and (halves or len(self.text[token]) == 1):
-                written = self.text[token].decode("latin-1")
+            if usable[token] and (halves or len(self.bytes_of[token]) == 1):
+                written = self.bytes_of[token].decode("latin-1")
                 self.automaton.add_word(written, (token, len(written)))
         self.automaton.make_automaton()
+        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.written = pa.array(map(self.bytes_of.get, range(size)), pa.large_binary())
         # Keys are two tokens in one number.
         self.follows = Memo(lambda pair: self.crossing(pair >> 32, pair & 0xFFFFFFFF) is None, 200_000)
-        self.piece = Memo(self.encode_piece, 150_000)
-        self.word = Memo(self.encode_word, 100_000)
-        self.bytes_of = {**self.text, **{i: t.encode() for t, i in self.special.items()}}
-
-    def edge(self, edges: dict, half: int | None, token: int) -> tuple[tuple[int, int], ...]:
-        inner = edges[half] if half is not None else ()
-        return (*inner[:-1], *(((half, self.made_at[token]),) if inner else ()), (token, NEVER))
+        # Words without marks are held by ``word`` alone. A task has some hundred thousand distinct words.
+        self.piece = Memo(self.encode_piece, 20_000)
+        self.word = Memo(self.encode_word, 400_000)
+
+    def edge(self, halves: array, token: int) -> Iterator[tuple[int, int]]:
+        """From a single byte outwards: what stands at a token's edge, each with the position of the merge that
+        takes it up."""
+        until, out = NEVER, []
+        while token >= 0:
+            out.append((token, until))
+            until, token = self.made_at[token], halves[token]
+        return reversed(out)
 
     def crossing(self, first: int, second: int) -> tuple[int, int] | None:
         """The pair of neighbours that would be merged first across the border of two tokens, if any:
         both edges grow from single bytes in the order of their merges, equal merges from the left."""
-        rank, left, right = self.rank, iter(self.ends[first]), iter(self.starts[second])
+        rank, left, right = self.rank, self.edge(self.second, first), self.edge(self.first, second)
         (end, end_until), (start, start_until) = next(left), next(right)
         while True:
-            across = rank.get((end, start), NEVER)
+            across = rank.get(end << 32 | start, NEVER)
             if across < end_until and across <= start_until:
                 return end, start
             if end_until <= start_until:
@@ -101,11 +108,13 @@ class Codec:
         """Ids of a piece as little-endian 32-bit integers."""
         written, follows = piece.encode().decode("latin-1"), self.follows
         last, opened = [-1] * (len(written) + 1), [0] * (len(written) + 1)
+        # Matches come by their end, the longest first. Single bytes are tokens, so every shorter prefix has its last.
         for end, (token, size) in self.automaton.iter(written):
-            if last[end + 1] < 0:
-                start = end + 1 - size
-                if not start or (last[start] >= 0 and follows[last[start] << 32 | token]):
-                    last[end + 1], opened[end + 1] = token, start
+            end += 1
+            if last[end] < 0:
+                start = end - size
+                if not start or follows[last[start] << 32 | token]:
+                    last[end], opened[end] = token, start
         ids, at = [], len(written)
         while at:
             ids.append(last[at])
@@ -118,7 +127,7 @@ class Codec:
         # Latin letters with at most one mark behind them need no pattern matching.
         letters, mark = (word, "") if word.isalpha() else (word[:-1], word[-1])
         if letters.isalpha() and max(letters) < "\u0250" and mark in PLAIN_MARKS:
-            return self.piece[" " + letters] + (self.piece[mark] if mark else b"")
+            return self.word[letters] + self.piece[mark] if mark else self.encode_piece(" " + letters)
         return b"".join(map(self.piece.__getitem__, PIECES.findall(" " + word)))
 
     def encode_plain(self, text: str) -> bytes:
@@ -145,7 +154,18 @@ class Codec:
         give_back()
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, texts: list[bytes]) -> list[str]:
+        """The texts of many rows of ids, whose bytes are looked up together."""
+        ids = np.frombuffer(b"".join(texts), "<u4")
+        found = self.written.take(pa.array(ids))
+        if found.null_count:
+            raise KeyError(f"ids that are not in the vocabulary: {np.unique(ids[found.is_null().to_numpy(zero_copy_only=False)])[:10]}")
+        ends = np.cumsum([0, *(len(t) // 4 for t in texts)])
+        cuts = np.frombuffer(found.buffers()[1], np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        held = memoryview(found.buffers()[2] or b"")
+        return [str(held[start:stop], "utf-8", "replace") for start, stop in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -186,16 +206,31 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids", text: str = "d
     def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(shared.value)
         for part in parts:
-            yield pd.Series([own.decode(x or b"") for x in part], dtype=object)
+            yield pd.Series(own.decode_all([x or b"" for x in part]), dtype=object)
         give_back()
 
     return encoded.withColumn(text, decoded(F.col(ids)))
 
 
+def encode_and_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``token_ids`` and ``decoded`` of every row: what ``encode`` and ``decode`` give one after the other,
+    by one worker instead of two, which hold the vocabulary each."""
+    shared = docs.sparkSession.sparkContext.broadcast(definition(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(shared.value)
+        for part, texts in pieces(batches, "t"):
+            ids = [own.encode(x.decode()) for x in texts]
+            yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(own.decode_all(ids), pa.string())], names=[key, "token_ids", "decoded"])
+        own.forget()
+
+    schema = StructType([docs.schema[key], StructField("token_ids", BinaryType()), StructField("decoded", StringType())])
+    return docs.select(key, utf8(text).alias("t")).mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every text, and reduce both to digests."""
-    both = decode(encode(docs.select("doc_id", "text"), path), path)
-    return both.select(
+    return encode_and_decode(docs, path).select(
         "doc_id",
         F.expr("CAST(octet_length(token_ids) / 4 AS BIGINT)").alias("n_tokens"),
         F.sha2(F.col("token_ids"), 256).alias("ids_sha256"),

@@ -50,6 +50,23 @@ def test_encode_and_decode_whole_tables(session):
     assert bpe.round_trip(docs.limit(0), TOKENIZER).count() == 0
 
 
+def test_round_trip_takes_one_worker_a_task_and_encodes_words_once_whatever_mark_follows(session):
+    docs = cases.documents(session, [*cases.awkward(), "one two"])
+    plan = bpe.round_trip(docs, TOKENIZER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+    one, two = bpe.encode_and_decode(docs, TOKENIZER), bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER).select("doc_id", "token_ids", "decoded")
+    assert one.schema["doc_id"] == docs.schema["doc_id"] and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    own, encoded = bpe.Codec(bpe.definition(TOKENIZER)), []
+    inner = own.encode_piece
+    own.encode_piece = lambda piece: encoded.append(piece) or inner(piece)
+    own.encode("see unhousely unhousely, unhousely. unhousely")
+    assert encoded.count(" unhousely") == 1
+    ids = [own.encode(t) for t in ("", "é", "a b", "")]
+    assert own.decode_all(ids) == ["", "é", "a b", ""] and own.decode_all([]) == [] and own.decode(b"") == ""
+    with pytest.raises((KeyError, IndexError)):
+        own.decode(np.array([1 << 20], "<u4").tobytes())
+
+
 def test_minhash_groups_match_comparing_all_pairs(session):
     texts = [*cases.awkward(), *cases.near_copies(), *cases.near_copies(2, 2, 30), "one", "a b c d e", "A B c d e"]
     expected = cases.near_duplicate_groups(dict(enumerate(texts)))

@@ -85,6 +85,8 @@ def described(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     forms = shapes()
     for part in parts:
         yield pd.Series([describe(x or "", forms).tobytes() for x in part])
+    forms.clear()
+    give_back()
 
 
 def class_prior(labels: DataFrame) -> float:
@@ -129,7 +131,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "
         for part in parts:
             features = np.stack([describe(x or "", forms) for x in part]) if len(part) else np.empty((0, SHAPES + 8))
             yield pd.Series(shared.value.score(features))
-        del forms
+        forms.clear()
         give_back()
 
     return docs.withColumn(out, scored(F.col(text)))

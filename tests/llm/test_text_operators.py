@@ -3,15 +3,17 @@ import hashlib
 import json
 import random
 import threading
+import weakref
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from sondage.llm import bpe, decontaminate, minhash, suffix, token_files
+from sondage.llm import bpe, decontaminate, minhash, suffix, tables, token_files
 from sondage.llm.tables import finished, prepare, stored, tiles
 from sondage.session import scratch_path
 from tests.llm import cases
@@ -75,6 +77,27 @@ def test_minhash_groups_match_comparing_all_pairs(session):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows) and len(rows) == len(texts)
 
 
+def test_tasks_give_memory_back_when_their_own_tables_are_gone(monkeypatch):
+    held, gone = weakref.WeakSet(), []
+    monkeypatch.setattr(tables, "give_back", lambda: gone.append(len(held)))
+
+    class Numbers(dict):
+        __hash__ = object.__hash__
+
+    @tables.tidy
+    def task(batches):
+        numbers = Numbers()
+        held.add(numbers)
+        for _ in tables.pieces(batches, "t"):
+            yield len(held)
+
+    batch = pa.record_batch([pa.array([b"one"])], names=["t"])
+    assert list(task(iter([batch]))) == [1] and gone == [1, 0]
+    for run in (suffix.cut_blocks, suffix.compare_blocks, minhash.links_across(minhash.AT_85)):
+        gone.clear()
+        assert list(run(iter([]))) == [] and gone and gone[-1] == 0
+
+
 def test_minhash_of_null_keys_repeated_rows_and_nothing(session):
     text = cases.words(random.Random(4), 50)
     docs = session.createDataFrame([(None, text), (3, text), (3, text), (1, text)], "doc_id bigint, text string")

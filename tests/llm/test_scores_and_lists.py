@@ -1,8 +1,10 @@
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sondage.llm import embeddings, language_model, quality, toxicity, urls
@@ -341,3 +343,17 @@ def test_rows_without_an_id_are_judged_and_not_held_out(session, operator, label
     rows = operator.judge(docs, labels).collect()
     assert len(rows) == 3 and all(isinstance(r.held_out, bool) and 0 <= r.score <= 1 and r.predicted in (0, 1) for r in rows)
     assert [r.held_out for r in rows if r.doc_id is None] == [False]
+
+
+def test_language_model_packets_are_small_and_numbers_come_back():
+    for values in (np.empty(0, np.int64), np.array([7, 1 << 60, 3], np.uint64), np.array([True, False]), np.arange(70_000, dtype=np.uint16), np.array([0.5, -3.25])):
+        back = language_model.unpacked(language_model.packed(values), values.dtype)
+        assert back.dtype == values.dtype and back.tolist() == values.tolist()
+        if values.dtype.kind == "u":
+            assert np.cumsum(language_model.steps(values), dtype=values.dtype).tolist() == values.tolist()
+    generator = random.Random(11)
+    texts = [cases.words(generator, 60).encode() for _ in range(2_000)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array([i % 5 > 0 for i in range(len(texts))]), pa.array(texts)], names=["row", "learn", "t"])
+    out = pa.Table.from_batches(language_model.deal(SimpleNamespace(value=np.empty(0, np.uint64)), 3)(iter([batch])))
+    tokens = sum(len(language_model.unpacked(c, np.uint16)) for c in out["contexts"].to_pylist())
+    assert tokens == 61 * len(texts) and sum(len(b) for c in ("counts", "contexts", "texts") for b in out[c].to_pylist()) < 4 * tokens
